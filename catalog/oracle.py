@@ -24,9 +24,9 @@ def strip(sql: str) -> str:
     return f"trim({sql}, {quoted(fixed.WHITESPACE)})"
 
 
-def filled(text: str, **slots: str) -> str:
+def filled(template: str, /, **slots: str) -> str:
     """SQL for a text with slots: constants and expressions joined by ``||``."""
-    sql = quoted(text)
+    sql = quoted(template)
     for name, expression in slots.items():
         sql = sql.replace("{" + name + "}", f"' || {expression} || '")
     return f"({sql})"
@@ -305,9 +305,9 @@ SELECT dimension, first(output_name ORDER BY mean DESC, output_name) AS output_n
 SELECT id, md5(question) AS question_md5, md5(answer) AS thinking_answer_text_md5, messages, conversations_md5
   FROM nested JOIN last USING (id) WHERE question <> '' AND answer <> ''""",
         "replace_last_assistant": f"""WITH {MESSY}, {NORMAL},
-latest AS (SELECT id, max(turn) FILTER (WHERE norm IN ('gpt', 'assistant')) AS at FROM normal GROUP BY id),
-rows AS (SELECT id, turn, role || ':' || CASE WHEN turn = at THEN 'new answer' ELSE value END AS line FROM normal JOIN latest USING (id)
-  UNION ALL SELECT id, 1000000, 'gpt:new answer' FROM latest WHERE at IS NULL)
+latest AS (SELECT id, max(turn) FILTER (WHERE norm IN ('gpt', 'assistant')) AS spot FROM normal GROUP BY id),
+rows AS (SELECT id, turn, role || ':' || CASE WHEN turn = spot THEN 'new answer' ELSE value END AS line FROM normal JOIN latest USING (id)
+  UNION ALL SELECT id, 1000000, 'gpt:new answer' FROM latest WHERE spot IS NULL)
 SELECT id, {messages('line')} FROM rows GROUP BY id""",
         "delivery_conversations": f"""WITH {MESSY}, {NORMAL}, answers AS (SELECT DISTINCT id FROM turns), {answered("'new answer'")}
 SELECT * FROM built""",
@@ -330,11 +330,11 @@ SELECT * FROM built""",
         "split_by_think": f"""WITH {TURNS}, {NORMAL}, {LAST}, {STAGE2_PAIRS} SELECT id, contains(response, '</think>') AS think,
   CAST(3 AS BIGINT) AS messages, {_SPLIT_ROW} AS conversations_md5 FROM pairs""",
         "merge_stage1": f"""WITH {MESSY}, {NORMAL},
-latest AS (SELECT id, max(turn) FILTER (WHERE norm IN ('gpt', 'assistant')) AS at FROM normal GROUP BY id),
+latest AS (SELECT id, max(turn) FILTER (WHERE norm IN ('gpt', 'assistant')) AS spot FROM normal GROUP BY id),
 outputs AS (SELECT id, turn AS asked, stripped AS answer FROM normal WHERE stripped <> ''),
-rows AS (SELECT o.id, asked, turn, role || ':' || CASE WHEN turn = at THEN answer ELSE value END AS line
+rows AS (SELECT o.id, asked, turn, role || ':' || CASE WHEN turn = spot THEN answer ELSE value END AS line
     FROM outputs o JOIN normal USING (id) JOIN latest USING (id) WHERE asked <> 0
-  UNION ALL SELECT o.id, asked, 1000000, 'gpt:' || answer FROM outputs o JOIN latest USING (id) WHERE at IS NULL AND asked <> 0
+  UNION ALL SELECT o.id, asked, 1000000, 'gpt:' || answer FROM outputs o JOIN latest USING (id) WHERE spot IS NULL AND asked <> 0
   UNION ALL SELECT 'x' || id, asked, 1000000, 'gpt:' || answer FROM outputs WHERE asked = 0)
 SELECT id, messages, conversations_md5 FROM (SELECT id, asked, {messages('line')} FROM rows GROUP BY id, asked)""",
         "merge_stage2": f"""WITH {TURNS}, {NORMAL}, {LAST}, {STAGE2_PAIRS},
