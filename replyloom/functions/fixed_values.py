@@ -118,10 +118,13 @@ THINK_BLOCKS = (
     r"(?s)<\|begin_of_thought\|>.*?<\|end_of_thought\|>",
 )
 
+THINK_OPENINGS = ("<think>", "<|begin_of_thought|>")
+
 # --- Fixed values: where a score object is looked for (W = WHITESPACE_CLASS) ---
 STRICT_TAG = r"(?s)<result>W*(\{.*?\})W*</result>"
 STRICT_BARE = r'\{[^{}]*"correctness"[^{}]*"total_score"[^{}]*\}'
 ROBUST_TAG = r"(?s)<result>W*(\{.*?)W*</result>"
+OUTER_BRACES = r"(?s)^[^{]*+(\{.*\})"
 ROBUST_CORRECTNESS = r'(?s)\{W*"correctness"W*:W*\p{Nd}+.*?\}'
 ROBUST_TOTAL = r'\{[^{}]*"total_score"[^{}]*\}'
 

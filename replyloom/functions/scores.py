@@ -7,6 +7,8 @@ evaluates each of them once.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,7 +28,8 @@ def json_envelope(text: Column) -> Column:
     ``try_parse_json(text)`` alone stops after the first value and accepts whatever
     follows it.
     """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    whole = F.concat(F.lit("["), text, F.lit(f',"{_END}"]'))
+    return F.when(text != "", F.try_parse_json(whole))
 
 
 def open_envelope(envelope: Column) -> Column:
@@ -53,11 +56,28 @@ def has_score_key(obj: Column) -> Column:
 # -- strict extraction ---------------------------------------------------------
 
 
+def search(text: Column, needle: str, pattern: str, group: int) -> Column:
+    """First match of ``pattern``; ``''`` or null if there is none.
+
+    Only texts with ``needle`` are searched.
+    """
+    return F.when(F.contains(text, F.lit(needle)), F.regexp_extract(text, pattern, group))
+
+
+def strict_tag(text: Column) -> Column:
+    """JSON text of the first result tag."""
+    return search(text, "<result>", spaced(fixed.STRICT_TAG), 1)
+
+
+def strict_bare(text: Column) -> Column:
+    """The first flat object with the first and last score field."""
+    return search(text, '"total_score"', fixed.STRICT_BARE, 0)
+
+
 def strict_candidate(text: Column) -> Column:
-    """JSON text of the first result tag, else of the first flat score object."""
-    tagged = F.regexp_extract(text, spaced(fixed.STRICT_TAG), 1)
-    bare = F.regexp_extract(text, fixed.STRICT_BARE, 0)
-    return F.when(tagged != "", tagged).otherwise(bare)
+    """What the strict way parses: the tagged text, else the bare object."""
+    tagged = strict_tag(text)
+    return F.when(tagged != "", tagged).otherwise(strict_bare(text))
 
 
 def extract_score_strict(text: Column) -> Column:
@@ -69,17 +89,13 @@ def extract_score_strict(text: Column) -> Column:
 
 
 def tag_candidate(text: Column) -> Column:
-    return F.when(
-        F.contains(text, F.lit("<result>")), F.regexp_extract(text, spaced(fixed.ROBUST_TAG), 1)
-    )
+    """JSON text of the first result tag."""
+    return search(text, "<result>", spaced(fixed.ROBUST_TAG), 1)
 
 
 def brace_candidate(cleaned: Column) -> Column:
-    """From the first ``{`` to the last ``}``, by position so that it stays linear."""
-    start = F.nullif(F.position(F.lit("{"), cleaned), F.lit(0))
-    opened = F.substr(cleaned, start)
-    after = F.substring_index(opened, "}", -1)
-    return F.left(opened, F.length(opened) - F.length(after))
+    """From the first ``{`` to the last ``}``, in one anchored match that stays linear."""
+    return search(cleaned, "{", fixed.OUTER_BRACES, 1)
 
 
 def scan_candidates(cleaned: Column) -> Column:
@@ -123,34 +139,44 @@ def _shown(value: Column) -> Column:
     )
 
 
-def validate_scores(obj: Column, strict: bool = False) -> Column:
-    """``STRUCT<ok, error>``: required fields first, then type and range field by field.
+def score_fields(obj: Column) -> dict[str, Column]:
+    """The raw score fields of an object, as VARIANT columns by name."""
+    return {name: field(obj, name) for name in fixed.SCORE_RANGES}
+
 
-    ``strict`` words the errors with value and range.
+def first_error(obj: Column, values: Mapping[str, Column], strict: bool = False) -> Column:
+    """What is wrong with an object and its :func:`score_fields`; null if nothing is.
+
+    Required fields come first, then type and range field by field. ``strict`` words the
+    errors with value and range.
     """
+    absent = F.lit(fixed.NO_SCORE_STRICT if strict else fixed.NO_SCORE_ROBUST)
     missing = [
-        F.when(field(obj, name).isNull(), F.lit(f"Missing field: {name}"))
-        for name in fixed.SCORE_RANGES
+        F.when(value.isNull(), F.lit(f"Missing field: {name}")) for name, value in values.items()
     ]
     checks = []
     for name, (low, high) in fixed.SCORE_RANGES.items():
-        value = field(obj, name)
+        value = values[name]
         number = F.try_variant_get(value, "$", "double")
         not_number, outside = F.lit(f"{name} is not a number"), F.lit(f"{name} out of range")
         if strict:
-            not_number = F.concat(not_number, F.lit(": "), _shown(value))
-            outside = F.concat(outside, F.lit(f" [{low}, {high}]: "), _shown(value))
-        checks.append(F.when(~_is_number(value), not_number))
-        checks.append(F.when(~number.between(low, high), outside))
-    absent = F.lit(fixed.NO_SCORE_STRICT if strict else fixed.NO_SCORE_ROBUST)
-    error = F.coalesce(F.when(obj.isNull(), absent), *missing, *checks)
+            shown = _shown(value)
+            not_number = F.concat(not_number, F.lit(": "), shown)
+            outside = F.concat(outside, F.lit(f" [{low}, {high}]: "), shown)
+        checks.append(
+            F.when(~_is_number(value), not_number).when(~number.between(low, high), outside)
+        )
+    return F.coalesce(F.when(obj.isNull(), absent), *missing, *checks)
+
+
+def validate_scores(obj: Column, strict: bool = False) -> Column:
+    """``STRUCT<ok, error>`` of a score object, see :func:`first_error`."""
+    error = first_error(obj, score_fields(obj), strict)
     return F.struct(error.isNull().alias("ok"), error.alias("error"))
 
 
-def score_struct(obj: Column) -> Column:
-    """Typed score struct of a VARIANT score object."""
-    numbers = [
-        F.try_variant_get(obj, f"$.{name}", "double").alias(name) for name in fixed.SCORE_RANGES
-    ]
+def score_struct(obj: Column, values: Mapping[str, Column]) -> Column:
+    """Typed score struct of an object and its :func:`score_fields`."""
+    numbers = [F.try_variant_get(v, "$", "double").alias(name) for name, v in values.items()]
     comment = F.coalesce(F.try_variant_get(obj, "$.brief_comment", "string"), F.lit(""))
     return F.struct(*numbers, comment.alias("brief_comment"))

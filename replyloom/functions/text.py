@@ -28,6 +28,11 @@ def compact_len(col: Column) -> Column:
     return F.length(F.regexp_replace(col, fixed.WHITESPACE_CLASS + "+", ""))
 
 
+def remove(col: Column, pattern: str, needle: str) -> Column:
+    """Remove every match of ``pattern``; texts without ``needle`` are not searched."""
+    return F.when(F.contains(col, F.lit(needle)), F.regexp_replace(col, pattern, "")).otherwise(col)
+
+
 def strip_think_tokens(col: Column) -> Column:
     """Remove think blocks and stray think tokens, then strip."""
     for pattern in fixed.THINK_MARKUP:
@@ -35,15 +40,20 @@ def strip_think_tokens(col: Column) -> Column:
     return py_strip(col)
 
 
-def clean_think_blocks(col: Column) -> Column:
-    """Remove think blocks, then everything up to the last blank line.
+def drop_to_last_blank_line(col: Column) -> Column:
+    """Text after the last blank line, for :func:`clean_think_blocks`.
 
     Blank lines are newline pairs counted from the left, so an odd run of newlines
     leaves one behind. One anchored greedy match does it in time linear in the text.
     """
-    for pattern in fixed.THINK_BLOCKS:
-        col = F.regexp_replace(col, pattern, "")
-    return F.regexp_replace(col, r"(?s)^(?:.*[^\n])?(?:\n\n)+", "")
+    return remove(col, r"(?s)^(?:.*[^\n])?(?:\n\n)+", "\n\n")
+
+
+def clean_think_blocks(col: Column) -> Column:
+    """Remove think blocks, then everything up to the last blank line."""
+    for pattern, needle in zip(fixed.THINK_BLOCKS, fixed.THINK_OPENINGS):
+        col = remove(col, pattern, needle)
+    return drop_to_last_blank_line(col)
 
 
 def after_last_think(col: Column) -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import scores as S
-from ..functions.text import clean_think_blocks
+from ..functions.text import drop_to_last_blank_line, remove
 from .records import compute_once
 
 
@@ -19,26 +19,37 @@ def score_responses(df: DataFrame, mode: str = "robust", response: str = "respon
     """
     if mode not in ("robust", "strict"):
         raise ValueError(f"unknown mode: {mode}")
-    text = F.col(response)
-    if mode == "strict":
-        found = df.withColumn("_envelope", S.json_envelope(S.strict_candidate(text)))
-        found = found.withColumn("extracted", S.open_envelope(F.col("_envelope")))
-    else:
-        found = (
-            df.withColumn("_clean", clean_think_blocks(text))
-            .withColumn("_tag_env", S.json_envelope(S.tag_candidate(text)))
-            .withColumn("_brace_env", S.json_envelope(S.brace_candidate(F.col("_clean"))))
-            .withColumn("_tagged", S.open_envelope(F.col("_tag_env")))
-            .withColumn("_braced", S.open_envelope(F.col("_brace_env")))
-            .withColumn(
-                "extracted", S.robust_object(F.col("_tagged"), F.col("_braced"), F.col("_clean"))
-            )
-        )
-    checked = found.withColumn(
-        "_error", S.validate_scores(F.col("extracted"), strict=mode == "strict")["error"]
-    ).drop("_envelope", "_clean", "_tag_env", "_brace_env", "_tagged", "_braced")
-    good = F.when(F.col("_error").isNull(), S.score_struct(F.col("extracted")))
-    return compute_once(checked, error=F.col("_error"), scores=good).drop("_error")
+    found = _strict(df, F.col(response)) if mode == "strict" else _robust(df, F.col(response))
+    names = list(fixed.SCORE_RANGES)
+    raw = S.score_fields(F.col("extracted"))
+    fields = found.withColumns({f"_{name}": value for name, value in raw.items()})
+    values = {name: F.col(f"_{name}") for name in names}
+    extracted = F.col("extracted")
+    checked = fields.withColumn("_error", S.first_error(extracted, values, mode == "strict"))
+    good = F.when(F.col("_error").isNull(), S.score_struct(extracted, values))
+    scored = compute_once(checked, error=F.col("_error"), scores=good)
+    return scored.drop("_error", *[f"_{name}" for name in names])
+
+
+def _strict(df: DataFrame, text: Column) -> DataFrame:
+    tagged = F.col("_tagged")
+    steps = df.withColumn("_tagged", S.strict_tag(text))
+    steps = steps.withColumn("_tagged", F.when(tagged != "", tagged).otherwise(S.strict_bare(text)))
+    steps = steps.withColumn("_tagged", S.json_envelope(tagged))
+    return steps.withColumn("extracted", S.open_envelope(tagged)).drop("_tagged")
+
+
+def _robust(df: DataFrame, text: Column) -> DataFrame:
+    tagged, clean, braced = F.col("_tagged"), F.col("_clean"), F.col("_braced")
+    steps = df.withColumns({"_tagged": S.tag_candidate(text), "_clean": text})
+    for pattern, needle in zip(fixed.THINK_BLOCKS, fixed.THINK_OPENINGS):
+        steps = steps.withColumn("_clean", remove(clean, pattern, needle))
+    steps = steps.withColumn("_clean", drop_to_last_blank_line(clean))
+    steps = steps.withColumn("_braced", S.brace_candidate(clean))
+    for step in (S.json_envelope, S.open_envelope):
+        steps = steps.withColumns({"_tagged": step(tagged), "_braced": step(braced)})
+    found = S.robust_object(tagged, braced, clean)
+    return steps.withColumn("extracted", found).drop("_clean", "_tagged", "_braced")
 
 
 def ok_rows(scored: DataFrame) -> DataFrame:
