@@ -60,15 +60,13 @@ def keep_prompt_roles(conv: Column) -> Column:
 def replace_last_assistant(conv: Column, text: Column) -> Column:
     """Put ``text`` into the last answer, or append an answer if there is none."""
     whole = _of(conv)
-    last = F.array_max(
-        F.transform(whole, lambda m, i: F.when(_has_role(m, fixed.ANSWER_ROLES), i))
-    )
-    replaced = F.transform(
-        whole,
-        lambda m, i: F.when(i == last, message(m["from"], text)).otherwise(m),
-    )
-    return F.when(last.isNull(), F.concat(whole, F.array(message(F.lit("gpt"), text)))).otherwise(
-        replaced
+    answers = F.transform(whole, lambda m, i: F.when(_has_role(m, fixed.ANSWER_ROLES), i))
+    spot = F.coalesce(F.array_max(answers), F.size(whole))
+    role = F.coalesce(F.get(whole, spot)["from"], F.lit("gpt"))
+    return F.concat(
+        F.slice(whole, F.lit(1), spot),
+        F.array(message(role, text)),
+        F.slice(whole, spot + 2, F.size(whole)),
     )
 
 

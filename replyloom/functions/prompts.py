@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as fixed
-from .text import compact_len, py_strip, strip_think_tokens
+from .text import compact_len, py_strip
 
 Template = tuple[str, str] | Callable[[Column], Column] | None
 
@@ -33,12 +33,12 @@ def judge_prompt(question: Column, reference_answer: Column, model_answer: Colum
     )
 
 
-def rewrite_prompt(question: Column, text: Column) -> Column:
-    """Instruction to rewrite ``text`` (think markup removed) without thinking."""
-    cleaned = strip_think_tokens(text)
-    requirements = fill_slots(
-        fixed.REWRITE_REQUIREMENTS, src_len=compact_len(cleaned).cast("string")
-    )
+def rewrite_prompt(question: Column, cleaned: Column, src_len: Column) -> Column:
+    """Instruction to rewrite a text without thinking.
+
+    ``cleaned`` is the text without think markup, ``src_len`` its :func:`compact_len`.
+    """
+    requirements = fill_slots(fixed.REWRITE_REQUIREMENTS, src_len=src_len.cast("string"))
     return F.concat(
         F.lit(fixed.REWRITE_TASK),
         requirements,

@@ -104,7 +104,8 @@ def scan_candidates(cleaned: Column) -> Column:
         F.regexp_extract_all(cleaned, F.lit(spaced(fixed.ROBUST_CORRECTNESS)), 0),
         F.regexp_extract_all(cleaned, F.lit(fixed.ROBUST_TOTAL), 0),
     )
-    good = F.filter(F.transform(found, strict_json), has_score_key)
+    parsed = F.transform(F.transform(found, json_envelope), open_envelope)
+    good = F.filter(parsed, has_score_key)
     return F.try_element_at(good, F.lit(1))
 
 

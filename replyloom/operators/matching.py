@@ -7,7 +7,7 @@ the join's partitioning; null keys are spread on purpose.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from ..functions import conversations as C
 from ..functions import fixed_values as fixed
 from ..functions.prompts import is_short
 from ..functions.text import py_strip, strip_think_tokens
-from .records import optional
+from .records import compute_once, optional
 
 NULL_KEY_SPREAD = 1024
 
@@ -64,6 +64,12 @@ def _latest(source: DataFrame, order_by: Sequence[str] | None) -> DataFrame:
     return keep_one(source, "id", order_by, last=True) if order_by else source
 
 
+def _answers(output: DataFrame, clean: Callable[[Column], Column]) -> DataFrame:
+    """``id, _response``: cleaned responses that are not empty."""
+    rows = compute_once(output.select("id", "response"), _response=clean(F.col("response")))
+    return rows.where(F.col("_response") != "").select("id", "_response")
+
+
 def merge_stage1(
     source: DataFrame, output: DataFrame, order_by: Sequence[str] | None = None
 ) -> DataFrame:
@@ -72,9 +78,7 @@ def merge_stage1(
     ``order_by`` names the source columns whose last row wins where an id is repeated;
     leave it out when ids are unique, which saves the deduplication.
     """
-    answers = output.select("id", py_strip(F.col("response")).alias("_response")).where(
-        F.col("_response") != ""
-    )
+    answers = _answers(output, py_strip)
     carried = [c for c in source.columns if c not in ("id", "question")]
     merged = answers.join(_latest(source, order_by).select("id", *carried), "id", "left")
     return merged.withColumn(
@@ -95,9 +99,7 @@ def merge_stage2(
     Responses lose their think markup; one that comes out too short is replaced by the
     cleaned source text.
     """
-    answers = output.select("id", strip_think_tokens(F.col("response")).alias("_response")).where(
-        F.col("_response") != ""
-    )
+    answers = _answers(output, strip_think_tokens)
     text = F.coalesce(strip_think_tokens(optional(source, "thinking_answer_text")), F.lit(""))
     texts = _latest(source, order_by).select("id", "conversations", text.alias("_source"))
     merged = answers.join(texts, "id", "left").withColumn(
@@ -117,8 +119,10 @@ def merge_stage_report(output: DataFrame, merged: DataFrame, think: bool = False
     """One row: responses, those skipped as empty, those replaced as too short."""
     clean = strip_think_tokens if think else py_strip
     empty = F.coalesce(clean(F.col("response")), F.lit("")) == ""
-    counted = output.agg(
-        F.count_if(~empty).alias("written"), F.count_if(empty).alias("skipped_empty")
+    marked = compute_once(output.select("response"), empty=empty)
+    counted = marked.agg(
+        F.count_if(~F.col("empty")).alias("written"),
+        F.count_if(F.col("empty")).alias("skipped_empty"),
     )
     if "replaced_short" not in merged.columns:
         return counted
@@ -135,28 +139,29 @@ def join_responses(
     return prepared.join(responses.select(*keys, "response"), list(keys))
 
 
-def _spread_nulls(key: Column, *tie: Column) -> Column:
-    """Number for a join: 0 for real keys, spread over many values where the key is null."""
-    return F.when(key.isNull(), F.pmod(F.xxhash64(*tie), F.lit(NULL_KEY_SPREAD))).otherwise(0)
+def _join_key(key: Column, spread: Column) -> Column:
+    return F.struct(key.alias("key"), spread.cast("bigint").alias("spread"))
 
 
 def enrich_with_conversations(scores: DataFrame, original: DataFrame) -> DataFrame:
     """Add ``conversations`` by ``original_idx``; rows without a match or key stay as they are.
 
-    ``original`` has ``original_idx`` (or ``line``) and ``conversations``. Rows without a
-    key match nothing wherever they are sent, so they are spread evenly.
+    ``original`` has ``original_idx`` (or ``line``) and ``conversations``. A row without a
+    key matches nothing wherever it is sent, so the join's key holds a hash of the row
+    for it, which spreads such rows evenly.
     """
     key = F.col("original_idx") if "original_idx" in original.columns else F.col("line")
-    texts = original.where(F.size("conversations") > 0).select(
-        key.cast("bigint").alias("original_idx"),
-        F.lit(0).cast("bigint").alias("_spread"),
-        "conversations",
-    )
-    tie = [F.col(c) for c in ("question", "output_idx") if c in scores.columns]
-    kept = scores.drop("conversations").withColumn(
-        "_spread", _spread_nulls(F.col("original_idx"), *tie or [F.rand()]).cast("bigint")
+    usable = original.where((F.size("conversations") > 0) & key.isNotNull())
+    texts = usable.select(
+        _join_key(key.cast("bigint"), F.lit(0)).alias("_join"), "conversations"
     )
-    return kept.join(texts, ["original_idx", "_spread"], "left").drop("_spread")
+    kept = scores.drop("conversations")
+    hashable = [c for c, t in kept.dtypes if "map<" not in t and "variant" not in t]
+    row_hash = F.pmod(F.xxhash64(*hashable), F.lit(NULL_KEY_SPREAD))
+    number = F.col("original_idx").cast("bigint")
+    spread = F.when(number.isNull(), row_hash).otherwise(0)
+    keyed = kept.withColumn("_join", _join_key(number, spread))
+    return keyed.join(texts, "_join", "left").drop("_join")
 
 
 def enrich_report(enriched: DataFrame) -> DataFrame:

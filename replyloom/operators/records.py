@@ -9,7 +9,7 @@ from ..functions import conversations as C
 from ..functions import envelopes, prompts
 from ..functions import fixed_values as fixed
 from ..functions.prompts import Template
-from ..functions.text import after_last_think
+from ..functions.text import after_last_think, compact_len, strip_think_tokens
 
 
 def optional(df: DataFrame, name: str, kind: str = "string") -> Column:
@@ -51,17 +51,19 @@ def normalize_stage2(df: DataFrame) -> DataFrame:
     row_id = F.coalesce(
         optional(df, "id").cast("string"), optional(df, "index").cast("string"), line_id(df)
     )
-    return (
-        df.withColumn("id", row_id)
-        .withColumn("question", C.last_question(F.col("conversations")))
-        .withColumn("thinking_answer_text", C.last_answer(F.col("conversations")))
-        .where((F.col("question") != "") & (F.col("thinking_answer_text") != ""))
+    found = compute_once(
+        df,
+        id=row_id,
+        question=C.last_question(F.col("conversations")),
+        thinking_answer_text=C.last_answer(F.col("conversations")),
     )
+    return found.where((F.col("question") != "") & (F.col("thinking_answer_text") != ""))
 
 
 def prepare_stage1(df: DataFrame, template: Template = None) -> DataFrame:
     """``{id, prompt}``: the last question, in a chat template if one is given."""
-    asked = with_row_id(df).select("id", C.last_question(F.col("conversations")).alias("question"))
+    rows = with_row_id(df).select("id", "conversations")
+    asked = compute_once(rows, question=C.last_question(F.col("conversations")))
     return asked.where(F.col("question") != "").select(
         "id", prompts.apply_chat_template(F.col("question"), template).alias("prompt")
     )
@@ -69,27 +71,32 @@ def prepare_stage1(df: DataFrame, template: Template = None) -> DataFrame:
 
 def prepare_stage2(df: DataFrame, template: Template = None) -> DataFrame:
     """``{id, prompt}``: the instruction to rewrite ``thinking_answer_text``."""
-    asked = with_row_id(df).select(
-        "id",
-        prompts.stripped_text(F.col("question")).alias("question"),
-        prompts.stripped_text(F.col("thinking_answer_text")).alias("text"),
-    )
-    prompt = prompts.rewrite_prompt(F.col("question"), F.col("text"))
-    return asked.where((F.col("question") != "") & (F.col("text") != "")).select(
-        "id", prompts.apply_chat_template(prompt, template).alias("prompt")
-    )
+    rows = with_row_id(df).select("id", "question", "thinking_answer_text")
+    asked = compute_once(
+        rows,
+        question=prompts.stripped_text(F.col("question")),
+        text=prompts.stripped_text(F.col("thinking_answer_text")),
+    ).where((F.col("question") != "") & (F.col("text") != ""))
+    cleaned = asked.withColumn("text", strip_think_tokens(F.col("text")))
+    sized = cleaned.withColumn("src_len", compact_len(F.col("text")))
+    prompt = prompts.rewrite_prompt(F.col("question"), F.col("text"), F.col("src_len"))
+    return sized.select("id", prompts.apply_chat_template(prompt, template).alias("prompt"))
 
 
 def judge_context(df: DataFrame) -> DataFrame:
     """Add ``question`` (with system context) and ``reference_answer``; drop rows without question."""
     conv = F.col("conversations")
-    system, human = C.last_exact(conv, "system"), C.last_exact(conv, "human")
-    with_system = prompts.fill_slots(fixed.QUESTION_WITH_SYSTEM, system=system, question=human)
-    return (
-        df.where(human != "")
-        .withColumn("question", F.when(system != "", with_system).otherwise(human))
-        .withColumn("reference_answer", C.last_exact(conv, "gpt"))
+    found = compute_once(
+        df,
+        _system=C.last_exact(conv, "system"),
+        _human=C.last_exact(conv, "human"),
+        reference_answer=C.last_exact(conv, "gpt"),
+    ).where(F.col("_human") != "")
+    with_system = prompts.fill_slots(
+        fixed.QUESTION_WITH_SYSTEM, system=F.col("_system"), question=F.col("_human")
     )
+    question = F.when(F.col("_system") != "", with_system).otherwise(F.col("_human"))
+    return found.withColumn("question", question).drop("_system", "_human")
 
 
 def prepare_judge(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +28,16 @@ def json_line(df: DataFrame) -> Column:
     return F.when(F.size("extra") > 0, joined).otherwise(own)
 
 
-def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One JSON object per line, UTF-8, characters unescaped."""
-    df.select(json_line(df).alias("value")).write.mode(mode).text(path)
+def write_jsonl(
+    df: DataFrame, path: str, mode: str = "errorifexists", order_by: Sequence[str] = ()
+) -> None:
+    """One JSON object per line, UTF-8, characters unescaped.
+
+    ``order_by`` sorts the whole output over its files (a range shuffle), which is only
+    worth it where someone reads them in order.
+    """
+    ordered = df.orderBy(*order_by) if order_by else df
+    ordered.select(json_line(df).alias("value")).write.mode(mode).text(path)
 
 
 def write_shards(df: DataFrame, path: str, shard: Column, mode: str = "errorifexists") -> DataFrame:
@@ -46,6 +55,16 @@ def shard_counts(shards: DataFrame) -> DataFrame:
     return shards.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def split_report(rows: DataFrame, bad: DataFrame) -> DataFrame:
+    """One row: lines read, rows written to shards, undecodable lines."""
+    status = rows.select(F.lit(True).alias("ok")).unionAll(bad.select(F.lit(False).alias("ok")))
+    return status.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if("ok").alias("written"),
+        F.count_if(~F.col("ok")).alias("invalid_json"),
+    )
+
+
 def score_rows(aggregated: DataFrame) -> DataFrame:
     """One row per (sample, output) with the columns of the CSV export."""
     exploded = explode_scores(aggregated).withColumn("sample_idx", F.col("original_idx"))
