@@ -11,6 +11,9 @@ sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 from replyloom import configure  # noqa: E402
 
+# Workers import the packages and the test modules from here, wherever pytest was started.
+os.environ["PYTHONPATH"] = os.pathsep.join([*sys.path[:2], os.environ.get("PYTHONPATH", "")])
+
 
 @pytest.fixture(scope="session")
 def spark():
