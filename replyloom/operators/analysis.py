@@ -28,32 +28,35 @@ def _total() -> Column:
 
 
 def aggregate_scores(
-    scored: DataFrame, prefix: str = "output_", order_by: Sequence[str] = ()
+    scored: DataFrame,
+    prefix: str = "output_",
+    order_by: Sequence[str] = (),
+    context: DataFrame | None = None,
 ) -> DataFrame:
     """One row per question: a map from output name to scores.
 
-    A repeated output takes its last scores in ``order_by``; question and reference come
-    from the lowest output.
+    A repeated output takes its last scores in ``order_by``. Question and reference come
+    from ``context`` (one row per ``original_idx``, such as
+    :func:`~replyloom.operators.records.judge_context` of the source), so that only scores
+    are grouped; without it from the rows' own columns, of the lowest output.
     """
+    texts = ("question", "reference_answer")
     order = F.struct(*order_by, "scores")
-    context = F.struct("question", "reference_answer")
-    outputs = scored.groupBy("original_idx", "output_idx").agg(
-        F.max_by("scores", order).alias("scores"), F.min(context).alias("context")
-    )
-    named = F.struct(
-        F.concat(F.lit(prefix), F.col("output_idx").cast("string")).alias("key"),
-        F.col("scores").alias("value"),
-    )
-    questions = outputs.groupBy("original_idx").agg(
-        F.min_by("context", "output_idx").alias("context"),
-        F.collect_list(named).alias("entries"),
-    )
-    return questions.select(
-        "original_idx",
-        "context.question",
-        "context.reference_answer",
-        F.map_from_entries(F.array_sort("entries")).alias("scores"),
-    )
+    kept = [F.max_by("scores", order).alias("scores")]
+    if context is None:
+        kept.append(F.min(F.struct(*texts)).alias("context"))
+    outputs = scored.groupBy("original_idx", "output_idx").agg(*kept)
+    name = F.concat(F.lit(prefix), F.col("output_idx").cast("string"))
+    entry = F.struct(name.alias("key"), F.col("scores").alias("value"))
+    grouped = [F.collect_list(entry).alias("entries")]
+    if context is None:
+        grouped.append(F.min_by("context", "output_idx").alias("context"))
+    questions = outputs.groupBy("original_idx").agg(*grouped)
+    scores = F.map_from_entries(F.array_sort("entries")).alias("scores")
+    if context is None:
+        return questions.select("original_idx", *[f"context.{t}" for t in texts], scores)
+    joined = questions.join(context.select("original_idx", *texts), "original_idx", "left")
+    return joined.select("original_idx", *texts, scores)
 
 
 def explode_scores(aggregated: DataFrame) -> DataFrame:

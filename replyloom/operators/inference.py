@@ -13,8 +13,9 @@ import json
 import time
 import urllib.error
 import urllib.request
+from collections import deque
 from collections.abc import Callable, Iterator, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -152,12 +153,20 @@ def _call_column(
         backend.open()
         try:
             with ThreadPoolExecutor(concurrency) as pool:
-                for prompts, messages, params in batches:
-                    rows = zip(prompts, messages, params)
-                    yield pd.DataFrame(list(pool.map(lambda row: guarded(*row), rows)))
+                waiting: deque[list[Future]] = deque()
+                for batch in batches:
+                    waiting.append([pool.submit(guarded, *row) for row in zip(*batch)])
+                    # One batch ahead, so that a slow row does not leave the threads idle.
+                    if len(waiting) > 1:
+                        yield results(waiting.popleft())
+                while waiting:
+                    yield results(waiting.popleft())
         finally:
             backend.close()
 
+    def results(calls: list[Future]) -> pd.DataFrame:
+        return pd.DataFrame([call.result() for call in calls])
+
     def guarded(prompt: str | None, messages: str | None, params: str | None) -> dict:
         start = time.perf_counter()
         try:

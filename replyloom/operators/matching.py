@@ -16,7 +16,7 @@ from ..functions import conversations as C
 from ..functions import fixed_values as fixed
 from ..functions.prompts import is_short
 from ..functions.text import py_strip, strip_think_tokens
-from .records import compute_once, optional
+from .records import compute_once, optional, with_original_idx
 
 NULL_KEY_SPREAD = 1024
 
@@ -150,11 +150,9 @@ def enrich_with_conversations(scores: DataFrame, original: DataFrame) -> DataFra
     key matches nothing wherever it is sent, so the join's key holds a hash of the row
     for it, which spreads such rows evenly.
     """
-    key = F.col("original_idx") if "original_idx" in original.columns else F.col("line")
-    usable = original.where((F.size("conversations") > 0) & key.isNotNull())
-    texts = usable.select(
-        _join_key(key.cast("bigint"), F.lit(0)).alias("_join"), "conversations"
-    )
+    key = F.col("original_idx")
+    usable = with_original_idx(original).where((F.size("conversations") > 0) & key.isNotNull())
+    texts = usable.select(_join_key(key, F.lit(0)).alias("_join"), "conversations")
     kept = scores.drop("conversations")
     hashable = [c for c, t in kept.dtypes if "map<" not in t and "variant" not in t]
     row_hash = F.pmod(F.xxhash64(*hashable), F.lit(NULL_KEY_SPREAD))

@@ -99,6 +99,12 @@ def judge_context(df: DataFrame) -> DataFrame:
     return found.withColumn("question", question).drop("_system", "_human")
 
 
+def with_original_idx(df: DataFrame) -> DataFrame:
+    """``original_idx``: the row's own, else its line number."""
+    key = F.col("original_idx") if "original_idx" in df.columns else F.col("line")
+    return df.withColumn("original_idx", key.cast("bigint"))
+
+
 def prepare_judge(
     df: DataFrame, n_examples: int = 8, prefix: str = "output_", template: Template = None
 ) -> DataFrame:
@@ -107,7 +113,6 @@ def prepare_judge(
     ``original_idx`` is the input's own, else its line number. The prompt is rendered
     after the unpivot, once per candidate.
     """
-    key = F.col("original_idx") if "original_idx" in df.columns else F.col("line")
     names = [(i, f"{prefix}{i}") for i in range(n_examples)]
     candidates = [
         F.struct(F.lit(i).alias("output_idx"), F.col(name).alias("model_answer"))
@@ -116,8 +121,8 @@ def prepare_judge(
     ]
     if not candidates:
         raise ValueError(f"no candidate column {prefix}0 … {prefix}{n_examples - 1}")
-    rows = judge_context(df).select(
-        key.cast("bigint").alias("original_idx"),
+    rows = judge_context(with_original_idx(df)).select(
+        "original_idx",
         "question",
         "reference_answer",
         F.inline(F.filter(F.array(*candidates), lambda c: c["model_answer"] != "")),

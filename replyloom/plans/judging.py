@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.prompts import Template
@@ -61,10 +62,15 @@ def run_judge(
     responses = (
         done if merge_only else infer_pending(prepared, backend, params, JUDGE_KEYS, done, **options)
     )
-    joined = matching.join_responses(prepared, responses)
-    scored = scoring.score_responses(joined, "strict")
-    scores = analysis.aggregate_scores(scoring.ok_rows(scored), prefix, order_by=())
-    return scores, scoring.failed_prepared(scored)
+    scored = scoring.score_responses(responses.select(*JUDGE_KEYS, "response"), "strict")
+    # Scores need only the keys of the prepared rows, failures their texts; and each
+    # question's own texts come once from the source, not once per candidate.
+    ok = scored.where(F.col("error").isNull()).select(*JUDGE_KEYS, "scores")
+    known = ok.join(prepared.select(*JUDGE_KEYS), list(JUDGE_KEYS), "left_semi")
+    context = records.judge_context(records.with_original_idx(df))
+    scores = analysis.aggregate_scores(known, prefix, context=context)
+    failed = scoring.failed_prepared(scored).join(prepared, list(JUDGE_KEYS))
+    return scores, failed
 
 
 @dataclass(frozen=True)

@@ -119,6 +119,11 @@ def test_aggregate_and_explode(spark, scored, totals):
         assert {k: v.total_score for k, v in r.scores.items()} == {f"out_{i}": t for t, i in totals[r.original_idx]}
         assert r.question == f"q{r.original_idx}"
     assert analysis.explode_scores(aggregated).count() == scored.count()
+    context = scored.select("original_idx", "question", "reference_answer").distinct()
+    narrow = analysis.aggregate_scores(scored.drop("question", "reference_answer"), "out_", context=context)
+    key = ["original_idx", "question", "reference_answer"]
+    shown = [*key, F.to_json("scores").alias("scores")]
+    assert narrow.select(shown).exceptAll(aggregated.select(shown)).count() == 0 and narrow.count() == aggregated.count()
     t = analysis.evaluation_totals(aggregated).first()
     assert (t.samples, t.evaluations) == (len(totals), scored.count())
     twice = spark.createDataFrame([(*answer(1, 0, 90), 1), (*answer(1, 0, 20), 2)], SCHEMA + ", line int")

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,6 +148,22 @@ def test_only_the_request_crosses_to_python(spark):
     assert {r.prompt: r.response for r in out.collect()} == wanted
 
 
+def test_rows_keep_their_replies_over_many_batches(spark):
+    class Uneven(I.DigestBackend):
+        def generate(self, prompt, messages, params):
+            time.sleep(0.02 if int(prompt) % 50 == 0 else 0)
+            return super().generate(prompt, messages, params)
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        df = spark.range(2000).select(F.col("id").cast("string").alias("prompt"))
+        out = I.batch_infer(df, Uneven(), concurrency=16).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    assert len(out) == 2000
+    assert all(r.response == "answer " + hashlib.md5(r.prompt.encode()).hexdigest() for r in out)
+
+
 def test_sampling_params_defaults(spark):
     df = spark.createDataFrame([(1,)], "id int")
     assert records.merge_sampling_params(df, {"a": None}).schema["sampling_params"].dataType.fieldNames() == []
