@@ -125,9 +125,17 @@ def extract_score_robust(text: Column) -> Column:
 # -- validation ----------------------------------------------------------------
 
 
-def _is_number(value: Column) -> Column:
+def score_fields(obj: Column) -> dict[str, Column]:
+    """The raw score fields of an object, as VARIANT columns by name."""
+    return {name: field(obj, name) for name in fixed.SCORE_RANGES}
+
+
+def numeric(value: Column) -> Column:
+    """A VARIANT as DOUBLE, null unless it is a JSON number or boolean."""
     kind = F.schema_of_variant(value)
-    return kind.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | kind.startswith("DECIMAL")
+    return F.when(
+        kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"), F.try_variant_get(value, "$", "double")
+    )
 
 
 def _shown(value: Column) -> Column:
@@ -140,14 +148,12 @@ def _shown(value: Column) -> Column:
     )
 
 
-def score_fields(obj: Column) -> dict[str, Column]:
-    """The raw score fields of an object, as VARIANT columns by name."""
-    return {name: field(obj, name) for name in fixed.SCORE_RANGES}
-
-
-def first_error(obj: Column, values: Mapping[str, Column], strict: bool = False) -> Column:
-    """What is wrong with an object and its :func:`score_fields`; null if nothing is.
+def first_error(
+    obj: Column, values: Mapping[str, Column], numbers: Mapping[str, Column], strict: bool = False
+) -> Column:
+    """What is wrong with an object; null if nothing is.
 
+    ``values`` are its :func:`score_fields`, ``numbers`` the same made :func:`numeric`.
     Required fields come first, then type and range field by field. ``strict`` words the
     errors with value and range.
     """
@@ -157,27 +163,28 @@ def first_error(obj: Column, values: Mapping[str, Column], strict: bool = False)
     ]
     checks = []
     for name, (low, high) in fixed.SCORE_RANGES.items():
-        value = values[name]
-        number = F.try_variant_get(value, "$", "double")
         not_number, outside = F.lit(f"{name} is not a number"), F.lit(f"{name} out of range")
         if strict:
-            shown = _shown(value)
+            shown = _shown(values[name])
             not_number = F.concat(not_number, F.lit(": "), shown)
             outside = F.concat(outside, F.lit(f" [{low}, {high}]: "), shown)
+        number = numbers[name]
         checks.append(
-            F.when(~_is_number(value), not_number).when(~number.between(low, high), outside)
+            F.when(number.isNull(), not_number).when(~number.between(low, high), outside)
         )
     return F.coalesce(F.when(obj.isNull(), absent), *missing, *checks)
 
 
 def validate_scores(obj: Column, strict: bool = False) -> Column:
     """``STRUCT<ok, error>`` of a score object, see :func:`first_error`."""
-    error = first_error(obj, score_fields(obj), strict)
+    values = score_fields(obj)
+    numbers = {name: numeric(value) for name, value in values.items()}
+    error = first_error(obj, values, numbers, strict)
     return F.struct(error.isNull().alias("ok"), error.alias("error"))
 
 
-def score_struct(obj: Column, values: Mapping[str, Column]) -> Column:
-    """Typed score struct of an object and its :func:`score_fields`."""
-    numbers = [F.try_variant_get(v, "$", "double").alias(name) for name, v in values.items()]
+def score_struct(obj: Column, numbers: Mapping[str, Column]) -> Column:
+    """Typed score struct of an object and its :func:`numeric` fields."""
     comment = F.coalesce(F.try_variant_get(obj, "$.brief_comment", "string"), F.lit(""))
-    return F.struct(*numbers, comment.alias("brief_comment"))
+    fields = [number.alias(name) for name, number in numbers.items()]
+    return F.struct(*fields, comment.alias("brief_comment"))

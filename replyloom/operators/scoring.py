@@ -20,15 +20,16 @@ def score_responses(df: DataFrame, mode: str = "robust", response: str = "respon
     if mode not in ("robust", "strict"):
         raise ValueError(f"unknown mode: {mode}")
     found = _strict(df, F.col(response)) if mode == "strict" else _robust(df, F.col(response))
-    names = list(fixed.SCORE_RANGES)
-    raw = S.score_fields(F.col("extracted"))
+    extracted, raw = F.col("extracted"), S.score_fields(F.col("extracted"))
+    values = {name: F.col(f"_{name}") for name in raw}
+    numbers = {name: F.col(f"_{name}_number") for name in raw}
     fields = found.withColumns({f"_{name}": value for name, value in raw.items()})
-    values = {name: F.col(f"_{name}") for name in names}
-    extracted = F.col("extracted")
-    checked = fields.withColumn("_error", S.first_error(extracted, values, mode == "strict"))
-    good = F.when(F.col("_error").isNull(), S.score_struct(extracted, values))
+    fields = fields.withColumns({f"_{name}_number": S.numeric(v) for name, v in values.items()})
+    error = S.first_error(extracted, values, numbers, mode == "strict")
+    checked = fields.withColumn("_error", error)
+    good = F.when(F.col("_error").isNull(), S.score_struct(extracted, numbers))
     scored = compute_once(checked, error=F.col("_error"), scores=good)
-    return scored.drop("_error", *[f"_{name}" for name in names])
+    return scored.drop("_error", *[c for name in raw for c in (f"_{name}", f"_{name}_number")])
 
 
 def _strict(df: DataFrame, text: Column) -> DataFrame:
@@ -41,13 +42,17 @@ def _strict(df: DataFrame, text: Column) -> DataFrame:
 
 def _robust(df: DataFrame, text: Column) -> DataFrame:
     tagged, clean, braced = F.col("_tagged"), F.col("_clean"), F.col("_braced")
-    steps = df.withColumns({"_tagged": S.tag_candidate(text), "_clean": text})
+    steps = df.withColumn("_tagged", S.tag_candidate(text))
+    for step in (S.json_envelope, S.open_envelope):
+        steps = steps.withColumn("_tagged", step(tagged))
+    # Nothing else is searched where the tagged object is good.
+    steps = steps.withColumn("_clean", F.when(tagged.isNull(), text))
     for pattern, needle in zip(fixed.THINK_BLOCKS, fixed.THINK_OPENINGS):
         steps = steps.withColumn("_clean", remove(clean, pattern, needle))
     steps = steps.withColumn("_clean", drop_to_last_blank_line(clean))
     steps = steps.withColumn("_braced", S.brace_candidate(clean))
     for step in (S.json_envelope, S.open_envelope):
-        steps = steps.withColumns({"_tagged": step(tagged), "_braced": step(braced)})
+        steps = steps.withColumn("_braced", step(braced))
     found = S.robust_object(tagged, braced, clean)
     return steps.withColumn("extracted", found).drop("_clean", "_tagged", "_braced")
 
