@@ -66,10 +66,12 @@ def failed_rows(scored: DataFrame, response: str = "response") -> DataFrame:
     """Quarantine: where a row came from, why it failed, what was seen.
 
     A row without a score object keeps a preview of its response, a row with a bad one
-    keeps the object.
+    keeps the object. Lines are counted from 1 here, as in an editor.
     """
     absent = F.col("extracted").isNull()
-    position = [c for c in ("line", "file", "original_idx", "output_idx") if c in scored.columns]
+    position = [F.col(c) for c in ("file", "original_idx", "output_idx") if c in scored.columns]
+    if "line" in scored.columns:
+        position.insert(0, (F.col("line") + 1).alias("line"))
     return scored.where(F.col("error").isNotNull()).select(
         *position,
         "error",
@@ -93,12 +95,18 @@ def split_ok_failed(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok_rows(scored), failed_rows(scored)
 
 
-def run_report(scored: DataFrame) -> DataFrame:
-    """One row: total, success, failed, success_rate in percent (null when empty)."""
-    counted = scored.agg(
+def run_report(scored: DataFrame, bad: DataFrame | None = None) -> DataFrame:
+    """One row: total, success, failed, success_rate in percent (null when empty).
+
+    Undecodable lines in ``bad`` count as failed.
+    """
+    outcome = scored.select(F.col("error").isNull().alias("ok"))
+    if bad is not None:
+        outcome = outcome.unionAll(bad.select(F.lit(False).alias("ok")))
+    counted = outcome.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("error").isNull()).alias("success"),
-        F.count_if(F.col("error").isNotNull()).alias("failed"),
+        F.count_if("ok").alias("success"),
+        F.count_if(~F.col("ok")).alias("failed"),
     )
     return counted.withColumn(
         "success_rate", F.try_divide(F.col("success") * 100.0, F.col("total"))

@@ -13,6 +13,7 @@ from ..functions import fixed_values as fixed
 from ..functions.prompts import Template
 from ..operators import analysis, inference, matching, records, scoring
 from ..session import materialize
+from ..sources.jsonl import as_bad_lines
 
 JUDGE_KEYS = ("original_idx", "output_idx")
 
@@ -86,22 +87,28 @@ class PreferenceResult:
 
 
 def run_preference(
-    responses: DataFrame, order_by: Sequence[str] = ("output_idx",), write: bool = True
+    responses: DataFrame,
+    order_by: Sequence[str] = ("output_idx",),
+    bad: DataFrame | None = None,
+    write: bool = True,
 ) -> PreferenceResult:
     """Responses to scores, failed rows, best and worst answers and their report.
 
-    The parsed frame is written once, as six frames are read from it; ``write=False``
-    parses again for each.
+    ``bad`` holds the undecodable lines of the same files, which join the failed rows. The
+    parsed frame is written once, as six frames are read from it; ``write=False`` parses
+    again for each.
     """
     scored = scoring.score_responses(responses, "robust")
     if write:
         scored = materialize(scored, "scored")
     ok, failed = scoring.split_ok_failed(scored)
+    if bad is not None:
+        failed = failed.unionByName(as_bad_lines(bad), allowMissingColumns=True)
     return PreferenceResult(
         scored=ok,
         failed=failed,
         best_worst=analysis.best_worst(ok, order_by),
         summary=analysis.best_worst_summary(ok),
         histogram=analysis.score_histogram(ok),
-        report=scoring.run_report(scored),
+        report=scoring.run_report(scored, bad),
     )

@@ -43,22 +43,26 @@ def _first_lines(lines: DataFrame) -> DataFrame:
 def number_lines(lines: DataFrame, max_broadcast_blocks: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
     """Add the 0-based ``line`` within each file to :func:`scan_lines`, without moving text.
 
-    A first, narrow scan counts lines per block; the table of blocks (one row per split,
-    counted here) is broadcast while small and shuffled otherwise. The two scans have to
-    cut the files alike: a row outside its block's counted range fails the job rather
-    than getting a wrong number.
+    A first, narrow scan counts lines per block. The table of blocks, four numbers per
+    file split, is broadcast while it is counted to be small (a million splits are some
+    tens of megabytes and about 100 TB of text) and shuffled otherwise. The two scans have
+    to cut the files alike: a row outside its block's counted range fails the job rather
+    than getting a wrong number, and so would two blocks with the same hash.
     """
-    blocks = _first_lines(lines.select("file", "block", "row")).cache()
+    key = F.xxhash64("file", "block").alias("_block")
+    blocks = _first_lines(lines.select("file", "block", "row")).select(
+        key, "first_row", "rows", "first_line"
+    )
+    blocks = blocks.cache()
     small = blocks.limit(max_broadcast_blocks + 1).count() <= max_broadcast_blocks
     offset = F.col("row") - F.col("first_row")
-    in_block = offset.between(0, F.col("rows") - 1)
-    return lines.join(F.broadcast(blocks) if small else blocks, ["file", "block"], "left").select(
-        "value",
-        "file",
-        F.when(in_block, F.col("first_line") + offset)
-        .otherwise(F.raise_error(F.lit("files were split differently while numbering lines")).cast("bigint"))
-        .alias("line"),
-    )
+    error = F.raise_error(F.lit("files were split differently while numbering lines"))
+    line = F.when(
+        offset.between(0, F.col("rows") - 1), F.col("first_line") + offset
+    ).otherwise(error.cast("bigint"))
+    keyed = lines.withColumn("_block", key)
+    joined = keyed.join(F.broadcast(blocks) if small else blocks, "_block", "left")
+    return joined.select("value", "file", line.alias("line"))
 
 
 def _typed(parsed: Column, schema: T.StructType) -> list[Column]:
@@ -69,14 +73,16 @@ def _typed(parsed: Column, schema: T.StructType) -> list[Column]:
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
-    """Parse column ``value`` of numbered lines into ``(rows, bad)``.
+    """Parse column ``value`` of lines into ``(rows, bad)``.
 
     ``rows`` has the schema's fields, ``extra`` (a map of all other fields, carried through
-    to :func:`~replyloom.sources.write_jsonl`), ``file`` and ``line``. ``bad`` has the
-    non-blank lines that are not one JSON object. Blank lines are skipped.
+    to :func:`~replyloom.sources.write_jsonl`) and the other columns of ``lines``, which
+    say where a row was read. ``bad`` has the non-blank lines that are not one JSON object.
+    Blank lines are skipped.
     """
     if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else T._parse_datatype_string(schema)
+        schema = T.StructType.fromDDL(schema)
+    where = [c for c in lines.columns if c != "value"]
     known = F.array(*[F.lit(f.name) for f in schema.fields])
     filled = lines.where(py_strip(F.col("value")) != "")
     opened = filled.withColumn("_envelope", json_envelope(F.col("value"))).withColumn(
@@ -86,10 +92,9 @@ def parse_lines(lines: DataFrame, schema: T.StructType | str) -> tuple[DataFrame
     rows = fields.where(F.col("_fields").isNotNull()).select(
         *_typed(F.col("_parsed"), schema),
         F.map_filter("_fields", lambda k, v: ~F.array_contains(known, k)).alias("extra"),
-        "file",
-        "line",
+        *where,
     )
-    bad = fields.where(F.col("_fields").isNull()).select("file", "line", "value")
+    bad = fields.where(F.col("_fields").isNull()).select(*where, "value")
     return rows, bad
 
 
@@ -103,24 +108,22 @@ def as_bad_lines(bad: DataFrame) -> DataFrame:
 def read_jsonl(
     spark: SparkSession, path: str, schema: T.StructType | str, numbered: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Scan JSONL into ``(rows, bad)``, see :func:`parse_lines`.
+    """Scan JSONL into ``(rows, bad)`` with ``file`` and ``line``, see :func:`parse_lines`.
 
-    ``numbered=False`` saves the counting scan where every row has an id; ``line`` is then
-    the split-wise ``row``, which still orders the lines of a file but is no line number.
+    ``numbered=False`` saves the counting scan where every row has an id: instead of
+    ``line`` there is ``position``, which orders the lines of a file but numbers nothing.
     """
-    lines = scan_lines(spark, path)
-    return parse_lines(_numbered(lines, numbered), schema)
+    return parse_lines(_placed(scan_lines(spark, path), numbered), schema)
 
 
 def read_jsonl_dir(
     spark: SparkSession, path: str, glob: str, schema: T.StructType | str, numbered: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Scan the files of a folder whose name matches ``glob``; (file, line) is their order."""
-    lines = scan_lines(spark, path, glob)
-    return parse_lines(_numbered(lines, numbered), schema)
+    return parse_lines(_placed(scan_lines(spark, path, glob), numbered), schema)
 
 
-def _numbered(lines: DataFrame, numbered: bool) -> DataFrame:
+def _placed(lines: DataFrame, numbered: bool) -> DataFrame:
     if numbered:
         return number_lines(lines)
-    return lines.select("value", "file", F.struct("block", "row").alias("line"))
+    return lines.select("value", "file", F.struct("block", "row").alias("position"))

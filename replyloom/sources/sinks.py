@@ -11,7 +11,7 @@ from ..functions import fixed_values as fixed
 from ..operators.analysis import explode_scores
 
 # Where a row was read is not part of the row.
-_POSITION = ("file", "line")
+_POSITION = ("file", "line", "position")
 
 
 def json_line(df: DataFrame) -> Column:

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,7 @@ from replyloom import materialize, run_judge, run_preference, run_stage1, run_st
 from replyloom.functions import conversations as C
 from replyloom.operators import inference, records
 from replyloom.session import shared_dir
-from replyloom.sources import sinks
+from replyloom.sources import read_jsonl_dir, sinks
 from replyloom.streaming import stream_infer
 
 
@@ -72,6 +74,33 @@ def test_preference_run(spark, wide):
         assert sum(r.answers for r in result.histogram.collect()) == report.success
 
 
+def test_preference_run_from_files(spark, tmp_path):
+    """Shards with a broken line and an answer judged twice."""
+    good = '{"correctness": 40, "logic": 20, "clarity": 10, "completeness": 8, "total_score": %d}'
+
+    def line(question, output, total, answer):
+        row = {"original_idx": question, "output_idx": output, "question": "q", "reference_answer": "r",
+               "model_answer": answer, "response": good % total, "model": "m"}
+        return json.dumps(row)
+
+    (tmp_path / "response_0.jsonl").write_text(
+        "\n".join([line(0, 0, 50, "a"), "{broken", "", line(0, 0, 50, "b"), line(0, 1, 101, "c")])
+    )
+    (tmp_path / "response_1.jsonl").write_text("\n".join([line(0, 1, 50, "d"), line(1, 0, 7, "e")]))
+    (tmp_path / "notes.jsonl").write_text("{broken")
+    schema = "original_idx bigint, output_idx int, question string, reference_answer string, model_answer string, response string"
+    rows, bad = read_jsonl_dir(spark, str(tmp_path), "response_*.jsonl", schema)
+    result = run_preference(rows, order_by=["output_idx", "file", "line"], bad=bad)
+    best = {r.original_idx: (r.num_answers, r.best_answer.answer, r.worst_answer.answer) for r in result.best_worst.collect()}
+    assert best == {0: (3, "a", "d"), 1: (1, "e", "e")}
+    failed = sorted((r.line, r.error, r.original_idx) for r in result.failed.collect())
+    assert failed == [(2, "JSON parse error", None), (5, "total_score out of range", 0)]
+    assert tuple(result.report.first()) == (6, 4, 2, pytest.approx(400 / 6))
+    sinks.write_ok_failed(result.scored, result.failed, str(tmp_path / "ok"), str(tmp_path / "bad"))
+    written = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "ok")).collect()]
+    assert len(written) == 4 and all(r["model"] == "m" and "file" not in r for r in written)
+
+
 def test_stages(spark):
     rows = [(f"i{i}", [("system", "s"), ("user", f"q{i}")] if i % 3 else [("gpt", "no question")], 0) for i in range(30)]
     source = spark.createDataFrame(rows, f"id string, conversations {C.CONVERSATION}, line int")

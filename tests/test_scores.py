@@ -138,7 +138,7 @@ def test_failed_rows(spark):
     rows = spark.createDataFrame(
         [(1, 0, "中" * 300), (1, 1, with_value("logic", '"x"')), (1, 2, GOOD), (2, 0, None)],
         "original_idx bigint, output_idx int, response string",
-    ).withColumn("file", F.lit("f")).withColumn("line", F.col("output_idx") + 1)
+    ).withColumn("file", F.lit("f")).withColumn("line", F.col("output_idx"))
     ok, failed = scoring.split_ok_failed(scoring.score_responses(rows))
     found = {(r.original_idx, r.output_idx): r for r in failed.collect()}
     assert set(found) == {(1, 0), (1, 1), (2, 0)}
