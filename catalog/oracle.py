@@ -249,6 +249,11 @@ _SPREAD_LABELS = [f"{a}-{b}" for a, b in zip(fixed.SPREAD_EDGES, fixed.SPREAD_ED
 _SPLIT_ROW = "md5('system:' || chr(10) || 'human:' || question || chr(10) || 'gpt:' || CASE WHEN contains(response, '</think>') THEN list_last(string_split(response, '</think>')) ELSE response END)"
 
 
+_GIVEN_SCORES = f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {PREPARED}, {VERDICTS} SELECT original_idx, 'output_' || output_idx AS output_name,
+  {', '.join(f'CAST({d} AS DOUBLE) AS {d}' for d in DIMS)}, CAST({' + '.join(DIMS)} AS DOUBLE) AS total_score, digest AS brief_comment
+  FROM given WHERE digest[1] <> '0'"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "extract_strict": f"WITH {RESPONSES}, {STRICT} SELECT original_idx, output_idx, error, {_SCORE_COLUMNS} FROM scored",
@@ -295,6 +300,14 @@ def oracle_sql() -> dict[str, str]:
         "best_per_dimension": f"""WITH {RESPONSES}, {STRICT}, {OUTPUTS}, means AS (
   {' UNION ALL '.join(f"SELECT '{d}' AS dimension, output_name, mean_{d} AS mean FROM outputs" for d in DIMS)})
 SELECT dimension, first(output_name ORDER BY mean DESC, output_name) AS output_name, round(max(mean), 6) AS mean FROM means GROUP BY dimension""",
+        "score_lists": f"""WITH {RESPONSES}, {ROBUST} SELECT original_idx, total_score,
+  CAST(row_number() OVER (PARTITION BY original_idx ORDER BY total_score DESC) - 1 AS INT) AS place FROM ok""",
+        "quarantine": f"""WITH {RESPONSES}, {ROBUST} SELECT CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS file, original_idx, output_idx,
+  CASE WHEN error IS NULL THEN md5(model_answer) END AS model_answer_md5, error FROM scored""",
+        "stage_counters": f"""WITH {MESSY}, {NORMAL}, {LAST} SELECT count(*) AS total, count(*) FILTER (WHERE question <> '') AS stage1,
+  count(*) FILTER (WHERE question <> '' AND answer <> '') AS stage2 FROM last""",
+        "split_report": """SELECT count(*) AS total, count(*) FILTER (WHERE role <> 'system') AS written,
+  count(*) FILTER (WHERE role = 'system') AS invalid_json FROM conversations""",
         "last_question": f"WITH {MESSY}, {NORMAL}, {LAST} SELECT id, md5(question) AS question_md5 FROM last",
         "last_answer": f"WITH {MESSY}, {NORMAL}, {LAST} SELECT id, md5(answer) AS answer_md5 FROM last",
         "keep_prompt_roles": f"""WITH {MESSY}, {NORMAL}, kept AS ({_KEPT}) SELECT ids.id, coalesce(messages, 0) AS messages,
@@ -394,9 +407,8 @@ SELECT id, concat_ws('|', a, b, c) AS responses,
         "resume_infer": f"""WITH {TURNS}, {NORMAL}, {LAST}, {ASKED}, {EARLIER} SELECT id, 'answer ' || md5(prompt) AS response FROM asked
   WHERE id NOT IN (SELECT id FROM earlier WHERE status = 'success')""",
         "stream_answers": f"WITH {TURNS}, {NORMAL}, {LAST}, {ASKED} SELECT id, 'answer ' || md5(prompt) AS response FROM asked",
-        "judge_scores": f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {PREPARED}, {VERDICTS} SELECT original_idx, 'output_' || output_idx AS output_name,
-  {', '.join(f'CAST({d} AS DOUBLE) AS {d}' for d in DIMS)}, CAST({' + '.join(DIMS)} AS DOUBLE) AS total_score, digest AS brief_comment
-  FROM given WHERE digest[1] <> '0'""",
+        "judge_scores": _GIVEN_SCORES,
+        "judge_resumed": _GIVEN_SCORES,
         "judge_failed": f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {PREPARED}, {VERDICTS} SELECT original_idx, output_idx,
   '{fixed.NO_SCORE_STRICT}' AS error, 'I would rather not say.' AS raw_response, digest AS prompt_md5 FROM given WHERE digest[1] = '0'""",
         "answer_stage1": f"""WITH {MESSY}, {NORMAL}, {LAST}, answers AS (SELECT id, 'answer ' || md5(question) AS text FROM last WHERE question <> ''),

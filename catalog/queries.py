@@ -14,7 +14,7 @@ from replyloom.functions import conversations as C
 from replyloom.functions import envelopes, prompts, sharding, text
 from replyloom.operators import analysis, inference, matching, records, scoring
 from replyloom.plans import run_judge, run_preference, run_stage1, run_stage2
-from replyloom.session import configure, new_path
+from replyloom.session import configure, materialize, new_path
 from replyloom.sources import jsonl, sinks
 from replyloom.streaming import stream_infer
 
@@ -255,6 +255,30 @@ def stats_json(spark, sf_dir):
     return spark.read.schema(stats.schema).json(path)
 
 
+@query
+def score_lists(spark, sf_dir):
+    """All totals of each question, one row per place in its descending list."""
+    runs_of = analysis.score_runs(ok_scores(spark, sf_dir))
+    listed = analysis.list_scores(F.col("all_scores"))
+    return runs_of.select("original_idx", F.posexplode(listed).alias("place", "total_score"))
+
+
+@query
+def quarantine(spark, sf_dir):
+    """Scored and failed rows written and read back: which file holds which row."""
+    ok_path, failed_path = new_path(spark, "ok"), new_path(spark, "failed")
+    scored = robust(spark, sf_dir).cache()
+    sinks.write_ok_failed(*scoring.split_ok_failed(scored), ok_path, failed_path)
+    schema = "original_idx bigint, output_idx int, model_answer string, error string"
+    both = [
+        spark.read.schema(schema).json(path).withColumn("file", F.lit(name))
+        for name, path in (("ok", ok_path), ("failed", failed_path))
+    ]
+    return both[0].unionByName(both[1]).select(
+        "file", "original_idx", "output_idx", digest("model_answer"), "error"
+    )
+
+
 # -- conversations ----------------------------------------------------------------
 
 
@@ -349,6 +373,18 @@ def prepare_report(spark, sf_dir):
     return rounded(records.prepare_report(prepared))
 
 
+@query
+def stage_counters(spark, sf_dir):
+    """Rows read and rows the two normalising steps would keep."""
+    rows = records.compute_once(
+        fixtures.conv_messy(spark, sf_dir),
+        asked=C.last_question(F.col("conversations")) != "",
+        answered=C.last_answer(F.col("conversations")) != "",
+    )
+    asked, answered = F.col("asked"), F.col("answered")
+    return records.counters(rows, stage1=asked, stage2=asked & answered)
+
+
 # -- text -------------------------------------------------------------------------
 
 
@@ -545,6 +581,14 @@ def jsonl_bad_lines(spark, sf_dir):
     )
 
 
+@query
+def split_report(spark, sf_dir):
+    path = new_path(spark, "lines")
+    cut = F.when(F.col("role") == "system", F.lit("{")).otherwise(F.to_json(F.struct("conv_id", "text")))
+    fixtures.table(spark, sf_dir, "conversations").select(cut).write.text(path)
+    return sinks.split_report(*jsonl.read_jsonl(spark, path, "conv_id bigint", numbered=False))
+
+
 @query
 def line_numbers(spark, sf_dir):
     """Lines per file and the highest number: numbers are complete when they agree."""
@@ -672,6 +716,17 @@ def judge_failed(spark, sf_dir):
     return failed.select("original_idx", "output_idx", "error", "raw_response", digest("prompt"))
 
 
+@query
+def judge_resumed(spark, sf_dir):
+    """A run that finds the responses to all longer answers written by an earlier one."""
+    wide = fixtures.judge_wide(spark, sf_dir)
+    prepared = materialize(records.prepare_judge(wide, shapes.CANDIDATES, PREFIX, TEMPLATE), "prepared")
+    earlier = prepared.where(F.length("model_answer") > 500)
+    done = materialize(inference.batch_infer(earlier, models.DigestJudge()), "responses")
+    scores, _ = run_judge(wide, models.DigestJudge(), prefix=PREFIX, prepared=prepared, done=done)
+    return analysis.explode_scores(scores)
+
+
 @query
 def preference_pairs(spark, sf_dir):
     return flat_best_worst(run_preference(fixtures.judged(spark, sf_dir)).best_worst)
