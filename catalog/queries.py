@@ -267,7 +267,7 @@ def score_lists(spark, sf_dir):
 def quarantine(spark, sf_dir):
     """Scored and failed rows written and read back: which file holds which row."""
     ok_path, failed_path = new_path(spark, "ok"), new_path(spark, "failed")
-    scored = robust(spark, sf_dir).cache()
+    scored = materialize(robust(spark, sf_dir), "scored")
     sinks.write_ok_failed(*scoring.split_ok_failed(scored), ok_path, failed_path)
     schema = "original_idx bigint, output_idx int, model_answer string, error string"
     both = [

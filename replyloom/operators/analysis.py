@@ -175,8 +175,30 @@ def score_spread(scored: DataFrame) -> DataFrame:
 
 
 def spread_detail(scored: DataFrame) -> DataFrame:
-    """:func:`score_spread` with the totals of each question."""
-    return score_spread(scored).join(score_runs(scored), "original_idx")
+    """:func:`score_spread` with the totals of each question, all from the counted totals."""
+    runs = score_runs(scored)
+    zero = F.lit(0.0)
+    answers = F.aggregate("all_scores", F.lit(0).cast("bigint"), lambda a, r: a + r["answers"])
+    total = F.aggregate("all_scores", zero, lambda a, r: a + r["total_score"] * r["answers"])
+    averaged = runs.withColumns({"num_answers": answers, "_total": total}).withColumn(
+        "mean_score", F.col("_total") / F.col("num_answers")
+    )
+    mean = F.col("mean_score")
+    squares = F.aggregate(
+        "all_scores", zero, lambda a, r: a + F.pow(r["total_score"] - mean, 2.0) * r["answers"]
+    )
+    highest = F.try_element_at("all_scores", F.lit(1))["total_score"]
+    lowest = F.try_element_at("all_scores", F.lit(-1))["total_score"]
+    return averaged.where(F.col("num_answers") >= 2).select(
+        "original_idx",
+        "num_answers",
+        highest.alias("max_score"),
+        lowest.alias("min_score"),
+        "mean_score",
+        F.sqrt(squares / F.col("num_answers")).alias("std_score"),
+        (highest - lowest).alias("variance"),
+        "all_scores",
+    )
 
 
 def spread_stats(spread: DataFrame, approximate: bool = False) -> DataFrame:

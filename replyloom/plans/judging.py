@@ -98,9 +98,12 @@ def run_preference(
     parsed frame is written once, as six frames are read from it; ``write=False`` parses
     again for each.
     """
-    scored = scoring.score_responses(responses, "robust")
+    scored = scoring.score_responses(responses, "robust").drop("prompt")
     if write:
-        scored = materialize(scored, "scored")
+        # Only failed rows need what was searched again.
+        bad_row = F.col("error").isNotNull()
+        seen = {c: F.when(bad_row, F.col(c)) for c in ("response", "extracted")}
+        scored = materialize(scored.withColumns(seen), "scored")
     ok, failed = scoring.split_ok_failed(scored)
     if bad is not None:
         failed = failed.unionByName(as_bad_lines(bad), allowMissingColumns=True)
