@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from replyloom.functions import conversations as C
 from replyloom.operators import records
+from replyloom.session import widen
 
 from . import shapes
 
@@ -59,7 +60,8 @@ def judge_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge responses ``original_idx, output_idx, model_answer, response``."""
-    return table(spark, sf_dir, "documents").select(
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return widen(documents).select(
         F.expr(shapes.ORIGINAL_IDX).alias("original_idx"),
         F.expr(shapes.OUTPUT_IDX).alias("output_idx"),
         F.col("text").alias("model_answer"),

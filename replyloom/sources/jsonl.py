@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from ..functions.scores import json_envelope, open_envelope
 from ..functions.text import py_strip
+from ..session import widen
 
 # Above this many file blocks the numbering table is joined by a shuffle instead.
 MAX_BROADCAST_BLOCKS = 1_000_000
@@ -113,17 +114,21 @@ def read_jsonl(
     ``numbered=False`` saves the counting scan where every row has an id: instead of
     ``line`` there is ``position``, which orders the lines of a file but numbers nothing.
     """
-    return parse_lines(_placed(scan_lines(spark, path), numbered), schema)
+    return _read(scan_lines(spark, path), schema, numbered)
 
 
 def read_jsonl_dir(
     spark: SparkSession, path: str, glob: str, schema: T.StructType | str, numbered: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Scan the files of a folder whose name matches ``glob``; (file, line) is their order."""
-    return parse_lines(_placed(scan_lines(spark, path, glob), numbered), schema)
+    return _read(scan_lines(spark, path, glob), schema, numbered)
 
 
-def _placed(lines: DataFrame, numbered: bool) -> DataFrame:
+def _read(
+    lines: DataFrame, schema: T.StructType | str, numbered: bool
+) -> tuple[DataFrame, DataFrame]:
     if numbered:
-        return number_lines(lines)
-    return lines.select("value", "file", F.struct("block", "row").alias("position"))
+        placed = number_lines(lines)
+    else:
+        placed = lines.select("value", "file", F.struct("block", "row").alias("position"))
+    return parse_lines(widen(placed, scan=lines), schema)
