@@ -64,10 +64,12 @@ def run_judge(
         done if merge_only else infer_pending(prepared, backend, params, JUDGE_KEYS, done, **options)
     )
     scored = scoring.score_responses(responses.select(*JUDGE_KEYS, "response"), "strict")
-    # Scores need only the keys of the prepared rows, failures their texts; and each
-    # question's own texts come once from the source, not once per candidate.
-    ok = scored.where(F.col("error").isNull()).select(*JUDGE_KEYS, "scores")
-    known = ok.join(prepared.select(*JUDGE_KEYS), list(JUDGE_KEYS), "left_semi")
+    # Scores need no texts of the prepared rows: each question's own come once from the
+    # source, not once per candidate. New responses are to prepared rows by construction,
+    # earlier ones are matched with them by key.
+    known = scored.where(F.col("error").isNull()).select(*JUDGE_KEYS, "scores")
+    if done is not None:
+        known = known.join(prepared.select(*JUDGE_KEYS), list(JUDGE_KEYS), "left_semi")
     context = records.judge_context(records.with_original_idx(df))
     scores = analysis.aggregate_scores(known, prefix, context=context)
     failed = scoring.failed_prepared(scored).join(prepared, list(JUDGE_KEYS))

@@ -1,3 +1,4 @@
+import gzip
 import json
 import random
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from replyloom.functions import sharding
 from replyloom.operators import matching
+from replyloom.session import widen
 from replyloom.sources import jsonl, sinks
 
 SCHEMA = "id string, n bigint, conversations array<struct<`from`:string,value:string>>"
@@ -127,3 +129,28 @@ def test_write_stats_is_one_file(spark, tmp_path):
     sinks.write_stats(spark.createDataFrame([(1, 2.5)], "a int, b double"), str(tmp_path / "st"))
     (part,) = (tmp_path / "st").glob("part-*")
     assert json.loads(part.read_text()) == {"a": 1, "b": 2.5}
+
+
+def test_widen_only_what_has_few_splits(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.range(1000).repartition(16).write.parquet(str(tmp_path / "many"))
+    one, many = (spark.read.parquet(str(tmp_path / d)) for d in ("one", "many"))
+    cores = spark.sparkContext.defaultParallelism
+    wide = widen(one)
+    assert one.rdd.getNumPartitions() < cores == wide.rdd.getNumPartitions() and wide.count() == 1000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        assert many.rdd.getNumPartitions() >= cores and widen(many) is many
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_one_compressed_file(spark, tmp_path):
+    """An unsplittable file: numbered in order, parsed by all cores."""
+    with gzip.open(tmp_path / "a.jsonl.gz", "wt") as f:
+        f.writelines(f'{{"n": {i}}}\n' for i in range(5000))
+    rows, bad = jsonl.read_jsonl(spark, str(tmp_path), "n bigint")
+    assert rows.where("n = line").count() == 5000 and bad.count() == 0
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1
