@@ -300,6 +300,7 @@ def oracle_sql() -> dict[str, str]:
         "best_per_dimension": f"""WITH {RESPONSES}, {STRICT}, {OUTPUTS}, means AS (
   {' UNION ALL '.join(f"SELECT '{d}' AS dimension, output_name, mean_{d} AS mean FROM outputs" for d in DIMS)})
 SELECT dimension, first(output_name ORDER BY mean DESC, output_name) AS output_name, round(max(mean), 6) AS mean FROM means GROUP BY dimension""",
+        "score_counts": f"WITH {RESPONSES}, {ROBUST} SELECT original_idx, total_score, count(*) AS answers FROM ok GROUP BY original_idx, total_score",
         "score_lists": f"""WITH {RESPONSES}, {ROBUST} SELECT original_idx, total_score,
   CAST(row_number() OVER (PARTITION BY original_idx ORDER BY total_score DESC) - 1 AS INT) AS place FROM ok""",
         "quarantine": f"""WITH {RESPONSES}, {ROBUST} SELECT CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS file, original_idx, output_idx,

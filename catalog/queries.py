@@ -255,6 +255,11 @@ def stats_json(spark, sf_dir):
     return spark.read.schema(stats.schema).json(path)
 
 
+@query
+def score_counts(spark, sf_dir):
+    return analysis.score_counts(ok_scores(spark, sf_dir))
+
+
 @query
 def score_lists(spark, sf_dir):
     """All totals of each question, one row per place in its descending list."""

@@ -66,16 +66,21 @@ def explode_scores(aggregated: DataFrame) -> DataFrame:
     ).select("original_idx", "output_name", "score.*")
 
 
+def score_counts(scored: DataFrame) -> DataFrame:
+    """``original_idx, total_score, answers``: how often each question got each total."""
+    return scored.groupBy("original_idx", _total().alias("total_score")).agg(
+        F.count(F.lit(1)).alias("answers")
+    )
+
+
 def score_runs(scored: DataFrame) -> DataFrame:
     """Per question all totals, descending, as ``all_scores: ARRAY<STRUCT<total_score, answers>>``.
 
-    Equal totals are counted first, so the list has one entry per different total.
-    :func:`list_scores` spells it out.
+    Equal totals are counted first, so the list has one entry per different total: at most
+    101 for whole numbers. :func:`list_scores` spells it out; :func:`score_counts` has the
+    same as rows, for totals with so many decimals that hardly two are equal.
     """
-    counted = scored.groupBy("original_idx", _total().alias("total_score")).agg(
-        F.count(F.lit(1)).alias("answers")
-    )
-    return counted.groupBy("original_idx").agg(
+    return score_counts(scored).groupBy("original_idx").agg(
         F.sort_array(F.collect_list(F.struct("total_score", "answers")), asc=False).alias("all_scores")
     )
 
@@ -95,8 +100,10 @@ def _answer(output: Column) -> Column:
     )
 
 
-def best_worst(scored: DataFrame, order_by: Sequence[str] = ("output_idx",)) -> DataFrame:
-    """Best and worst answer of each question with all totals.
+def best_worst(
+    scored: DataFrame, order_by: Sequence[str] = ("output_idx",), all_scores: bool = True
+) -> DataFrame:
+    """Best and worst answer of each question, with all totals unless told not to.
 
     Among equal totals the best is the first and the worst the last in ``order_by``.
     Both come out of one aggregation: each map task sends at most two answers per
@@ -110,7 +117,9 @@ def best_worst(scored: DataFrame, order_by: Sequence[str] = ("output_idx",)) ->
         F.max_by(row, F.struct(-_total(), position)).alias("worst"),
         F.count(F.lit(1)).alias("num_answers"),
     )
-    return picked.join(score_runs(scored), "original_idx").select(
+    listed = ["all_scores"] if all_scores else []
+    rows = picked.join(score_runs(scored), "original_idx") if all_scores else picked
+    return rows.select(
         "original_idx",
         "best.question",
         "best.reference_answer",
@@ -118,7 +127,7 @@ def best_worst(scored: DataFrame, order_by: Sequence[str] = ("output_idx",)) ->
         _answer(F.col("best")).alias("best_answer"),
         _answer(F.col("worst")).alias("worst_answer"),
         (F.col("best.scores.total_score") - F.col("worst.scores.total_score")).alias("score_range"),
-        "all_scores",
+        *listed,
     )
 
 

@@ -1,5 +1,6 @@
 import random
 import statistics
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -58,6 +59,14 @@ def test_best_worst(scored, totals):
         assert r.listed == [t[0] for t in ranked]
 
 
+def test_best_worst_without_list_is_one_grouping(scored, totals):
+    narrow = analysis.best_worst(scored, all_scores=False)
+    assert "all_scores" not in narrow.columns and narrow.count() == len(totals)
+    assert narrow._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    counts = {(r.original_idx, r.total_score): r.answers for r in analysis.score_counts(scored).collect()}
+    assert counts == Counter((q, t[0]) for q, values in totals.items() for t in values)
+
+
 def test_best_worst_with_copies(spark):
     """The same row several times counts as several answers and yields one result row."""
     rows = [answer(1, 0, 50)] * 3 + [answer(1, 1, 50)] * 2
