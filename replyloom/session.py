@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,18 +28,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    A local session without the setting gets a folder of its own; a cluster without it
-    is an error, since no other folder is known to be visible to all executors.
-    """
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, else one in the
+    session's warehouse, which all executors and the driver reach as well."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not (spark.conf.get("spark.master", "") or "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="replyloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
