@@ -8,7 +8,8 @@ import pytest
 import __spark_entry__ as registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+QUERIES = {k: f for k, f in registry.queries().items() if k not in registry.LLM_QUERIES}
+SQL = {k: s for k, s in registry.oracle_sql().items() if k in QUERIES}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
