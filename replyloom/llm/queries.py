@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import rules
+from replyloom.llm import classifier, rules, simhash
 from replyloom.llm.common import table
 from replyloom.session import configure
 
@@ -34,3 +34,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~rules.passes("base")).alias("base_failed"),
         rules.passes("v2").alias("kept"),
     )
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model that saw no label of a held-out row."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    weights = classifier.fit(docs, labels.where(~classifier.held_out()))
+    scored = classifier.score(docs, weights)
+    return scored.select(
+        "doc_id",
+        classifier.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
