@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import classifier, rules, simhash
+from replyloom.llm import classifier, mixing, rules, simhash, warc
 from replyloom.llm.common import table
 from replyloom.session import configure
 
@@ -57,3 +57,36 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document in a mix of sources weighing 3, 1, 2, repeating."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the archives give it back."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        F.col("key").alias("page_id"),
+        F.col("n_bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+# 160 bits as 32 digits of five bits; five hexadecimal digits make four of them.
+_BASE32 = """array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((CAST('0x' || substr(hex, CAST(i // 4 AS INT) * 5 + 1, 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1, 1)), '')"""
+
+ORACLE["op8_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT html, min(page_id) AS first FROM p GROUP BY html)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+    CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first < page_id THEN first END AS refers_to
+FROM p JOIN f USING (html)"""
