@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import classifier, mixing, rules, simhash, warc
+from replyloom.llm import classifier, lines, mixing, rules, simhash, warc
 from replyloom.llm.common import table
 from replyloom.session import configure
 
@@ -90,3 +90,47 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
     CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN first < page_id THEN first END AS refers_to
 FROM p JOIN f USING (html)"""
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup leaves of every document."""
+    docs = table(spark, sf_dir, "documents")
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
+    return lines.drop_lines(docs.withColumn("n_lines", n_lines)).select(
+        "doc_id",
+        "n_lines",
+        "lines_dropped",
+        F.md5("text").alias("kept_md5"),
+    )
+
+
+_WORDS = r"list_filter(string_split_regex({0}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+ORACLE["op5_line_dedup"] = rf"""
+WITH rows AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+texts AS (SELECT min(doc_id) AS key, text, any_value(lines) AS lines FROM rows GROUP BY text),
+each AS (SELECT key, unnest(range(0, len(lines))) AS pos, unnest(lines) AS line FROM texts),
+tokens AS (SELECT key, pos, list_transform({_WORDS.format('line')},
+        lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '{lines.MARK}' ELSE w END) AS words FROM each),
+tree AS (SELECT key, pos, words, len(words) AS n, words[1:{lines.DEPTH}] AS head, array_to_string(words, ' ') AS line
+    FROM tokens WHERE len(words) >= {lines.MIN_WORDS}),
+texts_of AS (SELECT n, head, line, any_value(words) AS words, count(DISTINCT key) AS texts FROM tree GROUP BY n, head, line),
+placed AS (SELECT n, head, line, texts, unnest(range(0, n)) AS spot, unnest(words) AS word FROM texts_of),
+common AS (SELECT n, head, spot, word FROM placed GROUP BY n, head, spot, word HAVING sum(texts) >= {lines.MIN_DOCS}),
+general AS (SELECT p.n, p.head, p.line, p.spot, c.word FROM placed p LEFT JOIN common c
+    ON p.n = c.n AND p.head = c.head AND p.spot = c.spot AND p.word = c.word),
+templates AS (SELECT n, head, line, string_agg(coalesce(word, '{lines.MARK}'), ' ' ORDER BY spot) AS template
+    FROM general GROUP BY n, head, line HAVING count(word) >= n * {lines.FIXED}),
+marked AS (SELECT t.n, t.head, m.template, t.key, t.pos FROM tree t JOIN templates m
+    ON t.n = m.n AND t.head = m.head AND t.line = m.line),
+recurring AS (SELECT n, head, template, min(key) AS kept_in FROM marked
+    GROUP BY n, head, template HAVING count(DISTINCT key) >= {lines.MIN_DOCS}),
+gone AS (SELECT DISTINCT m.key, m.pos FROM marked m JOIN recurring r
+    ON m.n = r.n AND m.head = r.head AND m.template = r.template WHERE m.key <> r.kept_in),
+left_over AS (SELECT e.key, string_agg(e.line, chr(10) ORDER BY e.pos) FILTER (WHERE g.pos IS NULL) AS kept,
+        count(g.pos) AS dropped
+    FROM each e LEFT JOIN gone g ON e.key = g.key AND e.pos = g.pos GROUP BY e.key)
+SELECT r.doc_id, CAST(len(r.lines) AS BIGINT) AS n_lines, CAST(l.dropped AS BIGINT) AS lines_dropped,
+    md5(coalesce(l.kept, '')) AS kept_md5
+FROM rows r JOIN texts t ON r.text = t.text JOIN left_over l ON l.key = t.key"""
