@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import classifier, lines, mixing, rules, simhash, warc
+from replyloom.llm import classifier, decontamination, licenses, lines, mixing, rules, simhash, warc
 from replyloom.llm.common import table
 from replyloom.session import configure
 
@@ -134,3 +134,19 @@ left_over AS (SELECT e.key, string_agg(e.line, chr(10) ORDER BY e.pos) FILTER (W
 SELECT r.doc_id, CAST(len(r.lines) AS BIGINT) AS n_lines, CAST(l.dropped AS BIGINT) AS lines_dropped,
     md5(coalesce(l.kept, '')) AS kept_md5
 FROM rows r JOIN texts t ON r.text = t.text JOIN left_over l ON l.key = t.key"""
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items that documents hold."""
+    items = table(spark, sf_dir, "benchmark")
+    found = decontamination.find_leaks(
+        table(spark, sf_dir, "documents"), items, *decontamination.split_item(F.col("text"))
+    )
+    return found.select("doc_id", "item_id", "score", "question_overlap", "answer_overlap")
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses and license notices in documents."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
