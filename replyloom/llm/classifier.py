@@ -20,12 +20,14 @@ and order the rows to learn from and are no features; other columns are not read
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
+import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replyloom.llm.common import map_rows
@@ -35,48 +37,56 @@ MAX_ROWS = 20_000
 SHARDS = 2
 PASSES = 3
 PAIR = np.uint64(0x9E3779B97F4A7C15)
-SHAPE_SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Word hashes kept per task at once; the table starts anew beyond.
 KEPT_WORDS = 200_000
 
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 1e-3, 1e-4
 
-_SHAPES = (
-    (re.compile(rb"[A-Z]+|(?:\xc3[\x80-\x9e])+"), b"A"),
-    (re.compile(rb"(?:[a-z]|\xc3[\x9f-\xbf]|[\xc4-\xf4][\x80-\xbf]+)+"), b"a"),
-    (re.compile(rb"[0-9]+"), b"0"),
-    (re.compile(rb"(A|a)+"), rb"\1"),
+#: Capitals, small letters (all of other scripts, too) and digits become one sign each.
+SIGNS = bytes(
+    65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 or c >= 128 else 48 if 48 <= c <= 57 else c
+    for c in range(256)
 )
+RUNS = re.compile(rb"(.)\1+", re.S)
 
 
 class WordHashes(dict):
-    """Hash of a word and of its shape, computed once."""
-
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        shape = word
-        for pattern, sign in _SHAPES:
-            shape = pattern.sub(sign, shape)
+    """Numbers of words, in the order of the hashes of the words and of their shapes."""
+
+    def __init__(self):
+        self.words, self.word_shapes = array("Q"), array("Q")
+        self.shapes: dict[bytes, int] = {}
+
+    def __missing__(self, word: bytes) -> int:
+        signs = word.translate(SIGNS)
+        shape = self.shapes.get(signs)
+        if shape is None:
+            shape = self.shapes[signs] = xxhash.xxh64_intdigest(RUNS.sub(rb"\1", signs), 2)
+        self.words.append(xxhash.xxh64_intdigest(word, 1))
+        self.word_shapes.append(shape)
+        number = self[word] = len(self)
+        return number
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self) >= KEPT_WORDS:
             self.clear()
-        pair = self[word] = (xxhash.xxh64_intdigest(word, 1), xxhash.xxh64_intdigest(shape, 2))
-        return pair
+            self.__init__()
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.frombuffer(self.words, "u8")[numbers], np.frombuffer(self.word_shapes, "u8")[numbers]
 
 
 def features(text: bytes | None, known: WordHashes, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and values of a text; bucket 0 is the bias."""
     found = (text or b"").split()
-    n = len(found)
     parts = [np.zeros(1, np.int64)]
-    if n:
-        hashes = np.array([known[w] for w in found], np.uint64)
+    if found:
         shift = np.uint64(64 - bits)
-        for column, salt in ((hashes[:, 0], np.uint64(0)), (hashes[:, 1], SHAPE_SALT)):
-            pairs = (column[:-1] * PAIR) ^ (column[1:] + salt)
+        for column in known.of(found):
+            pairs = (column[:-1] * PAIR) ^ column[1:]
             mixed = np.concatenate([column, pairs]) * PAIR
             parts.append((mixed >> shift).astype(np.int64))
     buckets, counts = np.unique(np.concatenate(parts), return_counts=True)
-    values = np.sqrt(counts)
-    return buckets, values / np.sqrt(counts.sum())
+    return buckets, np.sqrt(counts / counts.sum())
 
 
 class Ftrl:
@@ -158,27 +168,21 @@ def fit(
     return weights
 
 
-def score(
-    docs: DataFrame, weights: np.ndarray, text: str = "text", keys: tuple[str, ...] = ("doc_id",)
-) -> DataFrame:
-    """``keys`` and ``score`` (0 to 1, higher: label 1 likelier) of every row."""
-    types = dict(docs.dtypes)
-    bits = int(len(weights)).bit_length() - 1
-    shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2**bits doubles
+def scores(spark: SparkSession, weights: np.ndarray, text: Column) -> Column:
+    """The score of a text (0 to 1, higher: label 1 likelier)."""
+    bits = len(weights).bit_length() - 1
+    shared = spark.sparkContext.broadcast(weights)  # 2**bits doubles
 
-    def run(rows: Iterator[dict]) -> Iterator[tuple]:
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known, w = WordHashes(), shared.value
-        for row in rows:
-            at, values = features(row["text"], known, bits)
-            yield *(row[f"key{i}"] for i in range(len(keys))), logistic(float(w[at] @ values))
+        for batch in batches:
+            sparse = (features(value, known, bits) for value in batch)
+            yield pd.Series([logistic(float(w[at] @ values)) for at, values in sparse], dtype=float)
 
-    chosen = docs.select(
-        *[F.col(k).alias(f"key{i}") for i, k in enumerate(keys)], F.col(text).cast("binary").alias("text")
-    )
-    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "score double"])
-    return map_rows(chosen, run, schema)
+    return score(text.cast("binary"))
 
 
-def held_out(doc_id: str = "doc_id"):
+def held_out(doc_id: str = "doc_id") -> Column:
     """Rows never learned from: remainder 1 of the CRC of the id's text."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))

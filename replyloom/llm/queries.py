@@ -41,7 +41,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model that saw no label of a held-out row."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     weights = classifier.fit(docs, labels.where(~classifier.held_out()))
-    scored = classifier.score(docs, weights)
+    scored = docs.withColumn("score", classifier.scores(spark, weights, F.col("text")))
     return scored.select(
         "doc_id",
         classifier.held_out().alias("held_out"),

@@ -22,10 +22,10 @@ from itertools import accumulate
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from replyloom.llm.common import map_rows
+from replyloom.llm.common import map_rows, text_key
 from replyloom.llm.components import components
 from replyloom.session import materialize
 
@@ -107,16 +107,39 @@ def links(nodes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3, extra: tuple[str, ...] = ()
+    docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3
 ) -> DataFrame:
-    """``key``, ``extra``, ``fp`` and ``component_id`` (smallest key reachable over links of
-    two bits or less) of every row."""
-    marked = materialize(fingerprints(docs, text, (key, *extra), shingle), "fingerprints")
-    nodes = materialize(marked.groupBy("fp").agg(F.min(key).alias("first")), "nodes")
+    """``key``, ``fp`` and ``component_id`` (smallest key reachable over links of two bits or
+    less) of every row."""
+    marked, members = _members(docs, text, (key,), shingle)
+    firsts = members.groupBy("root").agg(F.min("first").alias("first"))
+    named = materialize(members.join(firsts.withColumnRenamed("first", "found"), "root"), "members")
+    return marked.join(named.select("fp", F.col(f"found.{key}").alias("component_id")), "fp").select(
+        key, "fp", "component_id"
+    )
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3) -> DataFrame:
+    """One row of every component: of those with the smallest key, the first in order of the
+    text's digest; of rows that agree in both, one."""
+    digest = text_key(F.col(text))
+    chosen = docs.select(F.col(key).alias("key"), digest.alias("digest"), F.col(text).alias("text"))
+    _, members = _members(chosen, "text", ("key", "digest"), shingle)
+    kept = members.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("row_key"), digest.alias("row_digest"))
+    found = rows.join(kept, F.expr("row_key <=> key and row_digest = digest"))
+    copy = F.row_number().over(Window.partitionBy("row_key", "row_digest").orderBy("row_key"))
+    return found.withColumn("copy", copy).where("copy = 1").select("row.*")
+
+
+def _members(docs: DataFrame, text: str, keys: tuple[str, ...], shingle: int) -> tuple[DataFrame, DataFrame]:
+    """``(keys, fp)`` of every row, and ``(fp, first, root)`` of every fingerprint: its smallest
+    keys, nulls last, and what names its component."""
+    marked = materialize(fingerprints(docs, text, keys, shingle), "fingerprints")
+    order = F.struct(F.col(keys[0]).isNull().alias("unknown"), *keys)
+    nodes = materialize(marked.groupBy("fp").agg(F.min(order).alias("first")), "nodes")
     roots = components(links(nodes.select("fp")))
     named = nodes.join(roots.withColumnRenamed("id", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    members = materialize(named.join(firsts, "root").select("fp", "component_id"), "members")
-    return marked.join(members, "fp").select(key, *extra, "fp", "component_id")
+    return marked, named
