@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import classifier, decontamination, licenses, lines, mixing, rules, simhash, warc
+from replyloom.llm import classifier, decontamination, licenses, lines, mixing, rules, simhash, substrings, warc
 from replyloom.llm.common import table
 from replyloom.session import configure
 
@@ -150,3 +150,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses and license notices in documents."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that occur again."""
+    return substrings.drop_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
