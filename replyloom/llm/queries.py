@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import classifier, decontamination, licenses, lines, mixing, rules, simhash, substrings, warc
+from replyloom.llm import classifier, decontamination, licenses, lines, mixing, passages, rules, simhash, substrings, warc
 from replyloom.llm.common import table
 from replyloom.session import configure
 
@@ -158,3 +158,9 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.drop_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op9_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of 50 words or more that other documents hold, too."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
