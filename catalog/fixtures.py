@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from replyloom.functions import conversations as C
 from replyloom.operators import records
-from replyloom.session import widen
 
 from . import shapes
 
@@ -60,8 +59,10 @@ def judge_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge responses ``original_idx, output_idx, model_answer, response``."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return widen(documents).select(
+    # The given file is one split, and all that follows searches texts: use every core.
+    cores = spark.sparkContext.defaultParallelism
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text").repartition(cores)
+    return documents.select(
         F.expr(shapes.ORIGINAL_IDX).alias("original_idx"),
         F.expr(shapes.OUTPUT_IDX).alias("output_idx"),
         F.col("text").alias("model_answer"),

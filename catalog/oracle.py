@@ -260,6 +260,7 @@ def oracle_sql() -> dict[str, str]:
         "extract_robust": f"WITH {RESPONSES}, {ROBUST} SELECT original_idx, output_idx, error, {_SCORE_COLUMNS} FROM scored",
         "failed_scores": f"""WITH {RESPONSES}, {ROBUST} SELECT original_idx, output_idx, error,
   CASE WHEN obj IS NULL THEN substr(response, 1, {fixed.PREVIEW_CHARS}) END AS response_preview,
+  md5(response) AS raw_response_md5,
   json_extract_string(obj, '$.brief_comment') AS seen_comment FROM scored WHERE error IS NOT NULL""",
         "failed_prepared": f"""WITH {RESPONSES}, {STRICT} SELECT original_idx, output_idx, error, md5(response) AS raw_response_md5,
   md5(model_answer) AS model_answer_md5 FROM scored WHERE error IS NOT NULL""",

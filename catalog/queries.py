@@ -98,6 +98,7 @@ def failed_scores(spark, sf_dir):
         "output_idx",
         "error",
         "response_preview",
+        digest("raw_response"),
         F.get_json_object("extracted_score", "$.brief_comment").alias("seen_comment"),
     )
 
@@ -563,9 +564,9 @@ def jsonl_roundtrip(spark, sf_dir):
     rows = fixtures.conv_nested(spark, sf_dir)
     first, second = new_path(spark, "jsonl"), new_path(spark, "jsonl")
     sinks.write_jsonl(rows, first)
-    read, _ = jsonl.read_jsonl(spark, first, CONV_SCHEMA)
+    read, _ = jsonl.read_jsonl(spark, first, CONV_SCHEMA, numbered=True)
     sinks.write_jsonl(read, second)
-    again, _ = jsonl.read_jsonl(spark, second, CONV_SCHEMA, numbered=False)
+    again, _ = jsonl.read_jsonl(spark, second, CONV_SCHEMA)
     extra = F.try_variant_get(F.col("extra")["original_idx"], "$", "bigint")
     return again.select("id", extra.alias("original_idx"), *conversation())
 
@@ -578,7 +579,7 @@ def jsonl_bad_lines(spark, sf_dir):
     fixtures.table(spark, sf_dir, "documents").select(
         F.when(F.col("doc_id") % 3 == 0, F.to_json(F.struct("doc_id", "text"))).otherwise(bare)
     ).write.text(path)
-    rows, bad = jsonl.read_jsonl_dir(spark, path, "*.txt", "doc_id bigint, text string")
+    rows, bad = jsonl.read_jsonl_dir(spark, path, "*.txt", "doc_id bigint, text string", numbered=True)
     good = rows.select("doc_id", digest("text"), F.lit("").alias("error"))
     failed = jsonl.as_bad_lines(bad.withColumnRenamed("value", "text"))
     return good.unionByName(
@@ -591,7 +592,7 @@ def split_report(spark, sf_dir):
     path = new_path(spark, "lines")
     cut = F.when(F.col("role") == "system", F.lit("{")).otherwise(F.to_json(F.struct("conv_id", "text")))
     fixtures.table(spark, sf_dir, "conversations").select(cut).write.text(path)
-    return sinks.split_report(*jsonl.read_jsonl(spark, path, "conv_id bigint", numbered=False))
+    return sinks.split_report(*jsonl.read_jsonl(spark, path, "conv_id bigint"))
 
 
 @query

@@ -119,6 +119,7 @@ THINK_BLOCKS = (
 )
 
 THINK_OPENINGS = ("<think>", "<|begin_of_thought|>")
+THINK_CLOSINGS = ("</think>", "<|end_of_thought|>")
 
 # --- Fixed values: where a score object is looked for (W = WHITESPACE_CLASS) ---
 STRICT_TAG = r"(?s)<result>W*(\{.*?\})W*</result>"
@@ -139,6 +140,7 @@ SCORE_RANGES = {
 DIMENSIONS = ("correctness", "logic", "clarity", "completeness")
 NO_SCORE_STRICT = "Unable to extract score JSON"
 NO_SCORE_ROBUST = "Failed to extract score JSON"
+BAD_LINE = "JSON parse error"
 
 # --- Fixed values: report bins, percentiles, verdict thresholds ---
 SPREAD_EDGES = (0, 5, 10, 15, 20, 25, 30, 40, 50, 100)

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as fixed
-from .text import clean_think_blocks, spaced
+from .text import clean_think_blocks, spaced, up_to_last
 
 SCORE = (
     "struct<correctness:double,logic:double,clarity:double,completeness:double,"
@@ -65,13 +65,30 @@ def search(text: Column, needle: str, pattern: str, group: int) -> Column:
 
 
 def strict_tag(text: Column) -> Column:
-    """JSON text of the first result tag."""
-    return search(text, "<result>", spaced(fixed.STRICT_TAG), 1)
+    """JSON text of the first result tag.
+
+    Searched up to the last brace that a closing tag follows, see :func:`up_to_last`.
+    """
+    ended = F.regexp_extract(up_to_last(text, "</result>"), spaced(r"(?s)^.*\}W*</result>"), 0)
+    return F.when(F.contains(text, F.lit("<result>")), F.regexp_extract(ended, spaced(fixed.STRICT_TAG), 1))
+
+
+def flat_objects(text: Column) -> Column:
+    """All runs from an opening to a closing brace with no other between, in one pass."""
+    return F.regexp_extract_all(text, F.lit(r"\{[^{}]*+\}"), 0)
 
 
 def strict_bare(text: Column) -> Column:
-    """The first flat object with the first and last score field."""
-    return search(text, '"total_score"', fixed.STRICT_BARE, 0)
+    """The first flat object with the first and last score field, in this order
+    (:data:`fixed.STRICT_BARE`)."""
+    first, last = '"correctness"', '"total_score"'
+
+    def both(found: Column) -> Column:
+        after = F.substr(found, F.instr(found, first) + len(first))
+        return F.contains(found, F.lit(first)) & F.contains(after, F.lit(last))
+
+    objects = F.filter(flat_objects(text), both)
+    return F.when(F.contains(text, F.lit(last)), F.try_element_at(objects, F.lit(1)))
 
 
 def strict_candidate(text: Column) -> Column:
@@ -89,8 +106,11 @@ def extract_score_strict(text: Column) -> Column:
 
 
 def tag_candidate(text: Column) -> Column:
-    """JSON text of the first result tag."""
-    return search(text, "<result>", spaced(fixed.ROBUST_TAG), 1)
+    """JSON text of the first result tag (:data:`fixed.ROBUST_TAG`): to the next closing tag,
+    without the whitespace before it."""
+    head = up_to_last(text, "</result>")
+    found = search(head, "<result>", spaced(r"(?s)<result>W*+(\{.*?)</result>"), 1)
+    return F.rtrim(found, F.lit(fixed.WHITESPACE))
 
 
 def brace_candidate(cleaned: Column) -> Column:
@@ -100,9 +120,10 @@ def brace_candidate(cleaned: Column) -> Column:
 
 def scan_candidates(cleaned: Column) -> Column:
     """First well-formed score object among all that look like one."""
+    # What fixed.ROBUST_TOTAL finds are the flat objects with its field.
     found = F.concat(
-        F.regexp_extract_all(cleaned, F.lit(spaced(fixed.ROBUST_CORRECTNESS)), 0),
-        F.regexp_extract_all(cleaned, F.lit(fixed.ROBUST_TOTAL), 0),
+        F.regexp_extract_all(up_to_last(cleaned, "}"), F.lit(spaced(fixed.ROBUST_CORRECTNESS)), 0),
+        F.filter(flat_objects(cleaned), lambda x: F.contains(x, F.lit('"total_score"'))),
     )
     parsed = F.transform(F.transform(found, json_envelope), open_envelope)
     good = F.filter(parsed, has_score_key)

@@ -28,15 +28,38 @@ def compact_len(col: Column) -> Column:
     return F.length(F.regexp_replace(col, fixed.WHITESPACE_CLASS + "+", ""))
 
 
+def after_last(col: Column, mark: str) -> Column:
+    """Text after the last ``mark``; the whole text when there is none."""
+    return F.substring_index(col, mark, -1)
+
+
+def up_to_last(col: Column, mark: str) -> Column:
+    """Text up to and including the last ``mark``; empty when there is none.
+
+    A pattern that ends in ``mark`` matches nowhere else. Searched in this part only, its
+    lazy repeats always find an end, so that no opening without one makes them run through
+    the text in vain, again and again.
+    """
+    return F.left(col, F.length(col) - F.length(after_last(col, mark)))
+
+
 def remove(col: Column, pattern: str, needle: str) -> Column:
     """Remove every match of ``pattern``; texts without ``needle`` are not searched."""
     return F.when(F.contains(col, F.lit(needle)), F.regexp_replace(col, pattern, "")).otherwise(col)
 
 
+def remove_blocks(col: Column, pattern: str, opening: str, closing: str) -> Column:
+    """Remove every match of a ``pattern`` from an opening to the next closing mark."""
+    both = F.contains(col, F.lit(opening)) & F.contains(col, F.lit(closing))
+    head = F.regexp_replace(up_to_last(col, closing), pattern, "")
+    return F.when(both, F.concat(head, after_last(col, closing))).otherwise(col)
+
+
 def strip_think_tokens(col: Column) -> Column:
     """Remove think blocks and stray think tokens, then strip."""
-    for pattern in fixed.THINK_MARKUP:
-        col = F.regexp_replace(col, pattern, "")
+    blocks, tokens = fixed.THINK_MARKUP[0::2], fixed.THINK_MARKUP[1::2]
+    for block, token, opening, closing in zip(blocks, tokens, fixed.THINK_OPENINGS, fixed.THINK_CLOSINGS):
+        col = F.regexp_replace(remove_blocks(col, block, opening, closing), token, "")
     return py_strip(col)
 
 
@@ -51,8 +74,8 @@ def drop_to_last_blank_line(col: Column) -> Column:
 
 def clean_think_blocks(col: Column) -> Column:
     """Remove think blocks, then everything up to the last blank line."""
-    for pattern, needle in zip(fixed.THINK_BLOCKS, fixed.THINK_OPENINGS):
-        col = remove(col, pattern, needle)
+    for marks in zip(fixed.THINK_BLOCKS, fixed.THINK_OPENINGS, fixed.THINK_CLOSINGS):
+        col = remove_blocks(col, *marks)
     return drop_to_last_blank_line(col)
 
 

@@ -21,17 +21,25 @@ from .records import compute_once, optional, with_original_idx
 NULL_KEY_SPREAD = 1024
 
 
-def keep_one(df: DataFrame, key: str, order_by: Sequence[str], last: bool = False) -> DataFrame:
-    """The first (or last) row of each non-empty key; rows without a key all stay.
+def keep_one(
+    df: DataFrame,
+    key: str,
+    order_by: Sequence[str],
+    last: bool = False,
+    empty_is_key: bool = False,
+) -> DataFrame:
+    """The first (or last) row of each key; rows without a key all stay, unless the empty key
+    is one like any other.
 
     ``order_by`` identifies a row. Only keys and positions are aggregated, with partial
     aggregation, so a key may have any number of copies; the rows are then matched by key
-    *and* position, which no two rows share.
+    *and* position, which no two rows share. A position may be null, which is the lowest;
+    rows that agree in key and position stay together.
     """
-    position = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
+    position = F.struct(*order_by)
     keyed = F.coalesce(F.col(key).cast("string"), F.lit(""))
     narrow = df.select(keyed.alias("_key"), position.alias("_position"))
-    solo = F.when(F.col("_key") == "", F.col("_position"))
+    solo = F.when((F.col("_key") == "") & F.lit(not empty_is_key), F.col("_position"))
     pick = F.max if last else F.min
     kept = (
         narrow.groupBy("_key", solo.alias("_solo")).agg(pick("_position").alias("_position")).drop("_solo")
@@ -60,8 +68,21 @@ def merge_report(df: DataFrame, bad: DataFrame | None = None) -> DataFrame:
     return counted.withColumn("bad_json", bad_rows)
 
 
-def _latest(source: DataFrame, order_by: Sequence[str] | None) -> DataFrame:
-    return keep_one(source, "id", order_by, last=True) if order_by else source
+POSITIONS = (("file", "line"), ("file", "position"), ("line",))
+
+
+def one_per_key(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The last row of each key, the empty one included.
+
+    The order is ``order_by``, else where the rows were read. Rows that do not know where
+    they were read are ordered by their hash, and of equal rows one stays.
+    """
+    known = next((p for p in POSITIONS if set(p) <= set(df.columns)), None)
+    if order_by or known:
+        return keep_one(df, key, order_by or known, last=True, empty_is_key=True)
+    hashable = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    placed = df.withColumn("_row", F.xxhash64(*hashable))
+    return keep_one(placed, key, ["_row"], last=True, empty_is_key=True).drop("_row").dropDuplicates([key])
 
 
 def _answers(output: DataFrame, clean: Callable[[Column], Column]) -> DataFrame:
@@ -75,12 +96,12 @@ def merge_stage1(
 ) -> DataFrame:
     """Put each non-empty response into its source row; output without a source stays.
 
-    ``order_by`` names the source columns whose last row wins where an id is repeated;
-    leave it out when ids are unique, which saves the deduplication.
+    Where an id is repeated, the empty one included, its last source wins, in the order
+    that :func:`one_per_key` describes: there are as many rows as responses.
     """
     answers = _answers(output, py_strip)
     carried = [c for c in source.columns if c not in ("id", "question")]
-    merged = answers.join(_latest(source, order_by).select("id", *carried), "id", "left")
+    merged = answers.join(one_per_key(source, "id", order_by).select("id", *carried), "id", "left")
     return merged.withColumn(
         "conversations", C.replace_last_assistant(F.col("conversations"), F.col("_response"))
     ).select("id", *carried)
@@ -97,11 +118,11 @@ def merge_stage2(
     """Delivery rows ``id, conversations, replaced_short`` from responses and their sources.
 
     Responses lose their think markup; one that comes out too short is replaced by the
-    cleaned source text.
+    cleaned source text. Sources with one id are taken as in :func:`merge_stage1`.
     """
     answers = _answers(output, strip_think_tokens)
     text = F.coalesce(strip_think_tokens(optional(source, "thinking_answer_text")), F.lit(""))
-    texts = _latest(source, order_by).select("id", "conversations", text.alias("_source"))
+    texts = one_per_key(source, "id", order_by).select("id", "conversations", text.alias("_source"))
     merged = answers.join(texts, "id", "left").withColumn(
         "_source", F.coalesce("_source", F.lit(""))
     )
@@ -146,13 +167,13 @@ def _join_key(key: Column, spread: Column) -> Column:
 def enrich_with_conversations(scores: DataFrame, original: DataFrame) -> DataFrame:
     """Add ``conversations`` by ``original_idx``; rows without a match or key stay as they are.
 
-    ``original`` has ``original_idx`` (or ``line``) and ``conversations``. A row without a
-    key matches nothing wherever it is sent, so the join's key holds a hash of the row
+    ``original`` has ``original_idx`` (or ``line``) and ``conversations``; of repeated keys the
+    last row counts. A row without a key matches nothing wherever it is sent, so the join's key holds a hash of the row
     for it, which spreads such rows evenly.
     """
     key = F.col("original_idx")
     usable = with_original_idx(original).where((F.size("conversations") > 0) & key.isNotNull())
-    texts = usable.select(_join_key(key, F.lit(0)).alias("_join"), "conversations")
+    texts = one_per_key(usable, "original_idx").select(_join_key(key, F.lit(0)).alias("_join"), "conversations")
     kept = scores.drop("conversations")
     hashable = [c for c, t in kept.dtypes if "map<" not in t and "variant" not in t]
     row_hash = F.pmod(F.xxhash64(*hashable), F.lit(NULL_KEY_SPREAD))
@@ -173,6 +194,11 @@ def enrich_report(enriched: DataFrame) -> DataFrame:
     return counted.withColumn("rate", F.try_divide(F.col("enriched") * 100.0, total))
 
 
+def succeeded(done: DataFrame) -> DataFrame:
+    """Rows of an earlier run without those that are to be tried again."""
+    return done.where(F.col("_status") == "success") if "_status" in done.columns else done
+
+
 def pending(
     df: DataFrame, done: DataFrame, keys: Sequence[str] = ("id",), retry_failed: bool = True
 ) -> DataFrame:
@@ -180,7 +206,7 @@ def pending(
 
     Null keys never match, so rows without a key are always pending.
     """
-    if retry_failed and "_status" in done.columns:
-        done = done.where(F.col("_status") == "success")
+    if retry_failed:
+        done = succeeded(done)
     # distinct: copies of a key are merged before they are sent, in the join's own shuffle.
     return df.join(done.select(*keys).distinct(), list(keys), "left_anti")

@@ -30,7 +30,10 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def line_id(df: DataFrame) -> Column:
-    return F.concat(F.lit("line-"), optional(df, "line").cast("string"))
+    """``line-N``; a row that needs it and has no line fails, as nothing could find it again."""
+    if "line" not in df.columns:
+        return F.raise_error(F.lit("a row has neither id nor line")).cast("string")
+    return F.concat(F.lit("line-"), F.col("line").cast("string"))
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
@@ -101,8 +104,8 @@ def judge_context(df: DataFrame) -> DataFrame:
 
 def with_original_idx(df: DataFrame) -> DataFrame:
     """``original_idx``: the row's own, else its line number."""
-    key = F.col("original_idx") if "original_idx" in df.columns else F.col("line")
-    return df.withColumn("original_idx", key.cast("bigint"))
+    names = [c for c in ("original_idx", "line") if c in df.columns]
+    return df.withColumn("original_idx", F.coalesce(*[F.col(c).cast("bigint") for c in names]))
 
 
 def prepare_judge(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions import scores as S
-from ..functions.text import drop_to_last_blank_line, remove
+from ..functions.text import drop_to_last_blank_line, remove_blocks
 from .records import compute_once
 
 
@@ -47,8 +47,8 @@ def _robust(df: DataFrame, text: Column) -> DataFrame:
         steps = steps.withColumn("_tagged", step(tagged))
     # Nothing else is searched where the tagged object is good.
     steps = steps.withColumn("_clean", F.when(tagged.isNull(), text))
-    for pattern, needle in zip(fixed.THINK_BLOCKS, fixed.THINK_OPENINGS):
-        steps = steps.withColumn("_clean", remove(clean, pattern, needle))
+    for marks in zip(fixed.THINK_BLOCKS, fixed.THINK_OPENINGS, fixed.THINK_CLOSINGS):
+        steps = steps.withColumn("_clean", remove_blocks(clean, *marks))
     steps = steps.withColumn("_clean", drop_to_last_blank_line(clean))
     steps = steps.withColumn("_braced", S.brace_candidate(clean))
     for step in (S.json_envelope, S.open_envelope):
@@ -65,8 +65,8 @@ def ok_rows(scored: DataFrame) -> DataFrame:
 def failed_rows(scored: DataFrame, response: str = "response") -> DataFrame:
     """Quarantine: where a row came from, why it failed, what was seen.
 
-    A row without a score object keeps a preview of its response, a row with a bad one
-    keeps the object. Lines are counted from 1 here, as in an editor.
+    Every row keeps its whole response. A row without a score object also has a preview of
+    it, a row with a bad one has the object. Lines are counted from 1 here, as in an editor.
     """
     absent = F.col("extracted").isNull()
     position = [F.col(c) for c in ("file", "original_idx", "output_idx") if c in scored.columns]
@@ -79,6 +79,7 @@ def failed_rows(scored: DataFrame, response: str = "response") -> DataFrame:
             "response_preview"
         ),
         F.to_json("extracted").alias("extracted_score"),
+        F.col(response).alias("raw_response"),
     )
 
 

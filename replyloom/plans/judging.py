@@ -26,18 +26,28 @@ def infer_pending(
     done: DataFrame | None = None,
     **options: Any,
 ) -> DataFrame:
-    """Written responses ``keys, response`` for the prepared rows that ``done`` lacks, plus ``done``.
+    """Written ``keys, response, _status, _error`` for the prepared rows that ``done`` lacks, plus
+    those of ``done`` that are not tried again. Failed calls have an error and no response.
 
     The model sees only keys and prompt. The new responses are written once, so that
     nothing derived from them calls the model again.
     """
+    columns = [*keys, "response", "_status", "_error"]
     todo = prepared.select(*keys, "prompt")
     if done is not None:
         todo = matching.pending(todo, done, keys)
-    fresh = materialize(inference.batch_infer(todo, backend, params, **options), "responses").drop("prompt")
+    asked = inference.batch_infer(todo, backend, params, on_error="keep", **options)
+    fresh = materialize(asked.select(*columns), "responses")
     if done is None:
         return fresh
-    return done.select(*keys, "response").unionByName(fresh.select(*keys, "response"))
+    return earlier(done, keys).unionByName(fresh)
+
+
+def earlier(done: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Responses of an earlier run that count as done, in the columns of a new one."""
+    return matching.succeeded(done).select(
+        *keys, "response", F.lit("success").alias("_status"), F.lit(None).cast("string").alias("_error")
+    )
 
 
 def run_judge(
@@ -55,25 +65,36 @@ def run_judge(
 ) -> tuple[DataFrame, DataFrame]:
     """Prepare, judge, extract strictly: ``(scores per question, failed rows)``.
 
-    ``prepared`` reuses written prompts; ``done`` holds responses of an earlier run, and
-    with ``merge_only`` no others are asked for.
+    ``prepared`` reuses written prompts; ``done`` holds responses of an earlier run, of
+    which one per key counts, and with ``merge_only`` no others are asked for. Calls that
+    failed are failed rows, with the error of the call.
     """
+    given = prepared
+    if done is not None:
+        done = matching.succeeded(done).groupBy(*JUDGE_KEYS).agg(F.max("response").alias("response"))
     if prepared is None:
         prepared = records.prepare_judge(df, n_examples, prefix, template)
-    responses = (
-        done if merge_only else infer_pending(prepared, backend, params, JUDGE_KEYS, done, **options)
-    )
-    scored = scoring.score_responses(responses.select(*JUDGE_KEYS, "response"), "strict")
+    if merge_only:
+        responses = earlier(done, JUDGE_KEYS)
+    else:
+        responses = infer_pending(prepared, backend, params, JUDGE_KEYS, done, **options)
+    scored = scoring.score_responses(responses.select(*JUDGE_KEYS, "response", F.col("_error").alias("_call_error")), "strict")
+    scored = scored.withColumn("error", F.coalesce("_call_error", "error")).drop("_call_error")
     # Scores need no texts of the prepared rows: each question's own come once from the
     # source, not once per candidate. New responses are to prepared rows by construction,
     # earlier ones are matched with them by key.
     known = scored.where(F.col("error").isNull()).select(*JUDGE_KEYS, "scores")
     if done is not None:
         known = known.join(prepared.select(*JUDGE_KEYS), list(JUDGE_KEYS), "left_semi")
-    context = records.judge_context(records.with_original_idx(df))
+    source = matching.one_per_key(records.with_original_idx(df), "original_idx")
+    context = records.judge_context(source)
     scores = analysis.aggregate_scores(known, prefix, context=context)
-    failed = scoring.failed_prepared(scored).join(prepared, list(JUDGE_KEYS))
-    return scores, failed
+    failed = scoring.failed_prepared(scored)
+    if given is None:
+        # Prompts are the largest texts here: render them for failed rows only.
+        concerned = source.join(failed.select("original_idx").distinct(), "original_idx", "left_semi")
+        prepared = records.prepare_judge(concerned, n_examples, prefix, template)
+    return scores, failed.join(prepared, list(JUDGE_KEYS))
 
 
 @dataclass(frozen=True)

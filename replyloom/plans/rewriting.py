@@ -49,16 +49,18 @@ def run_stage2(
     done: DataFrame | None = None,
     merge_only: bool = False,
     merge_by: Sequence[str] | None = None,
+    order_by: Sequence[str] | None = None,
     **options: Any,
 ) -> DataFrame:
     """Answered conversations to delivery rows ``id, conversations, replaced_short``.
 
     ``merge_by`` names the columns that order repeated ids of several stage-1 shards (the
-    first wins). Drop ``id`` and ``replaced_short`` at the sink.
+    first wins); of sources that still share an id the last in ``order_by`` counts, see
+    :func:`~replyloom.operators.matching.one_per_key`. Drop ``id`` and ``replaced_short`` at the sink.
     """
     merged = matching.merge_shards(stage1, merge_by) if merge_by else stage1
     source = records.normalize_stage2(merged)
     if prepared is None:
         prepared = records.prepare_stage2(source, template)
     responses = done if merge_only else infer_pending(prepared, backend, params, ["id"], done, **options)
-    return matching.merge_stage2(source, responses, ratio, floor, fallback)
+    return matching.merge_stage2(source, responses, ratio, floor, fallback, order_by)

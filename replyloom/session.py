@@ -48,16 +48,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def widen(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
-    """Spread rows over all cores where the file scan behind them has fewer splits than that.
-
-    A compressed JSONL file, or a parquet file of one row group, is read by one task, which
-    would then also search all its texts. Scans with enough splits are left alone, so large
-    inputs are not shuffled. ``scan`` is the plain scan to count (``df`` itself if it is
-    one): counting the partitions of anything that shuffles would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = (df if scan is None else scan).rdd.getNumPartitions()
-    return df.repartition(cores) if splits < cores else df

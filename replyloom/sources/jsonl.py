@@ -7,13 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..functions import fixed_values as fixed
 from ..functions.scores import json_envelope, open_envelope
 from ..functions.text import py_strip
-from ..session import widen
-
-# Above this many file blocks the numbering table is joined by a shuffle instead.
-MAX_BROADCAST_BLOCKS = 1_000_000
-
 
 def scan_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Physical lines with the file they come from: ``value, file, block, row``.
@@ -41,36 +37,28 @@ def _first_lines(lines: DataFrame) -> DataFrame:
     return blocks.withColumn("first_line", F.coalesce(F.sum("rows").over(before), F.lit(0)))
 
 
-def number_lines(lines: DataFrame, max_broadcast_blocks: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
-    """Add the 0-based ``line`` within each file to :func:`scan_lines`, without moving text.
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Add the 0-based ``line`` within each file to :func:`scan_lines`.
 
-    A first, narrow scan counts lines per block. The table of blocks, four numbers per
-    file split, is broadcast while it is counted to be small (a million splits are some
-    tens of megabytes and about 100 TB of text) and shuffled otherwise. The two scans have
-    to cut the files alike: a row outside its block's counted range fails the job rather
-    than getting a wrong number, and so would two blocks with the same hash.
+    A first, narrow scan counts lines per block; lines find their block's four numbers by
+    an equi-join, for which Spark chooses the way from the size of the block table. The two
+    scans have to cut the files alike: a row outside its block's counted range fails the
+    job rather than getting a wrong number.
     """
-    key = F.xxhash64("file", "block").alias("_block")
-    blocks = _first_lines(lines.select("file", "block", "row")).select(
-        key, "first_row", "rows", "first_line"
-    )
-    blocks = blocks.cache()
-    small = blocks.limit(max_broadcast_blocks + 1).count() <= max_broadcast_blocks
+    blocks = _first_lines(lines.select("file", "block", "row"))
     offset = F.col("row") - F.col("first_row")
     error = F.raise_error(F.lit("files were split differently while numbering lines"))
     line = F.when(
         offset.between(0, F.col("rows") - 1), F.col("first_line") + offset
     ).otherwise(error.cast("bigint"))
-    keyed = lines.withColumn("_block", key)
-    joined = keyed.join(F.broadcast(blocks) if small else blocks, "_block", "left")
-    return joined.select("value", "file", line.alias("line"))
+    return lines.join(blocks, ["file", "block"], "left").select("value", "file", line.alias("line"))
 
 
-def _typed(parsed: Column, schema: T.StructType) -> list[Column]:
-    return [
-        F.try_variant_get(parsed, f"$['{f.name}']", f.dataType.simpleString()).alias(f.name)
+def _typed(parsed: Column, schema: T.StructType) -> dict[str, Column]:
+    return {
+        f.name: F.try_variant_get(parsed, f"$['{f.name}']", f.dataType.simpleString())
         for f in schema.fields
-    ]
+    }
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
@@ -78,20 +66,30 @@ def parse_lines(lines: DataFrame, schema: T.StructType | str) -> tuple[DataFrame
 
     ``rows`` has the schema's fields, ``extra`` (a map of all other fields, carried through
     to :func:`~replyloom.sources.write_jsonl`) and the other columns of ``lines``, which
-    say where a row was read. ``bad`` has the non-blank lines that are not one JSON object.
+    say where a row was read. A field whose value is not of its type is null and in
+    ``extra`` as it is. ``bad`` has the non-blank lines that are not one JSON object.
     Blank lines are skipped.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     where = [c for c in lines.columns if c != "value"]
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
     filled = lines.where(py_strip(F.col("value")) != "")
     opened = filled.withColumn("_envelope", json_envelope(F.col("value"))).withColumn(
         "_parsed", open_envelope(F.col("_envelope"))
     )
     fields = opened.withColumn("_fields", F.try_variant_get("_parsed", "$", "map<string,variant>"))
+    typed = _typed(F.col("_parsed"), schema)
+    # Fields that their column holds whole; a JSON null is a null column.
+    held = [
+        F.when(
+            column.isNotNull() | F.coalesce(F.is_variant_null(F.try_element_at("_fields", F.lit(name))), F.lit(True)),
+            F.lit(name),
+        )
+        for name, column in typed.items()
+    ]
+    known = F.array_compact(F.array(*held)) if held else F.array().cast("array<string>")
     rows = fields.where(F.col("_fields").isNotNull()).select(
-        *_typed(F.col("_parsed"), schema),
+        *[column.alias(name) for name, column in typed.items()],
         F.map_filter("_fields", lambda k, v: ~F.array_contains(known, k)).alias("extra"),
         *where,
     )
@@ -101,34 +99,43 @@ def parse_lines(lines: DataFrame, schema: T.StructType | str) -> tuple[DataFrame
 
 def as_bad_lines(bad: DataFrame) -> DataFrame:
     """Undecodable lines as failed records: 1-based line, file, error."""
-    return bad.select(
-        (F.col("line") + 1).alias("line"), "file", F.lit("JSON parse error").alias("error")
-    )
+    numbered = [(F.col("line") + 1).alias("line")] if "line" in bad.columns else []
+    return bad.select(*numbered, "file", F.lit(fixed.BAD_LINE).alias("error"))
 
 
 def read_jsonl(
-    spark: SparkSession, path: str, schema: T.StructType | str, numbered: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    numbered: bool = False,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Scan JSONL into ``(rows, bad)`` with ``file`` and ``line``, see :func:`parse_lines`.
+    """Scan JSONL into ``(rows, bad)`` with ``file`` and ``position``, see :func:`parse_lines`.
 
-    ``numbered=False`` saves the counting scan where every row has an id: instead of
-    ``line`` there is ``position``, which orders the lines of a file but numbers nothing.
+    ``position`` orders the lines of a file. ``numbered=True`` gives ``line`` instead, for
+    rows without ids, and reads the files a second time to count lines. ``partitions``
+    spreads the lines by a shuffle: compressed files are read by one task each.
     """
-    return _read(scan_lines(spark, path), schema, numbered)
+    return _read(scan_lines(spark, path), schema, numbered, partitions)
 
 
 def read_jsonl_dir(
-    spark: SparkSession, path: str, glob: str, schema: T.StructType | str, numbered: bool = True
+    spark: SparkSession,
+    path: str,
+    glob: str,
+    schema: T.StructType | str,
+    numbered: bool = False,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Scan the files of a folder whose name matches ``glob``; (file, line) is their order."""
-    return _read(scan_lines(spark, path, glob), schema, numbered)
+    """Scan the files of a folder whose name matches ``glob``; (file, position) is their order."""
+    return _read(scan_lines(spark, path, glob), schema, numbered, partitions)
 
 
 def _read(
-    lines: DataFrame, schema: T.StructType | str, numbered: bool
+    lines: DataFrame, schema: T.StructType | str, numbered: bool, partitions: int | None
 ) -> tuple[DataFrame, DataFrame]:
     if numbered:
         placed = number_lines(lines)
     else:
         placed = lines.select("value", "file", F.struct("block", "row").alias("position"))
-    return parse_lines(widen(placed, scan=lines), schema)
+    return parse_lines(placed if partitions is None else placed.repartition(partitions), schema)

@@ -11,9 +11,12 @@ from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import fixed_values as fixed
 from ..operators.inference import Backend, batch_infer
+from ..sources.jsonl import parse_lines
 from ..sources.sinks import json_line
 
 
@@ -31,15 +34,43 @@ def stream_infer(
 ) -> StreamingQuery:
     """Start a query that answers the JSONL files of ``source`` into ``sink`` and then ends.
 
-    ``prepare`` is a row-wise step (such as ``prepare_stage1``) ahead of the model. Files
-    of a micro-batch that failed are answered again, those that were committed are not.
+    Lines are parsed as :func:`~replyloom.sources.jsonl.parse_lines` does; those that are
+    no object are left to :func:`stream_bad_lines`. ``prepare`` is a row-wise step (such as
+    ``prepare_stage1``) ahead of the model. Files of a micro-batch that failed are answered
+    again, those that were committed are not.
     """
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    answered = batch_infer(prepare(reader.json(source)), backend, params, **options)
+    rows, _ = _parsed(spark, source, schema, max_files_per_trigger)
+    answered = batch_infer(prepare(rows), backend, params, **options)
+    return _started(answered, sink, checkpoint)
+
+
+def stream_bad_lines(
+    spark: SparkSession,
+    source: str,
+    sink: str,
+    checkpoint: str,
+    schema: str,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Start a query that puts the undecodable lines of ``source`` into ``sink``, with their
+    file and error, and then ends. It keeps its own account of files."""
+    _, bad = _parsed(spark, source, schema, max_files_per_trigger)
+    failed = bad.select(F.col("file").alias("source_file"), "value", F.lit(fixed.BAD_LINE).alias("error"))
+    return _started(failed, sink, checkpoint)
+
+
+def _parsed(
+    spark: SparkSession, source: str, schema: str, max_files: int | None
+) -> tuple[DataFrame, DataFrame]:
+    reader = spark.readStream
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return parse_lines(reader.text(source).select("value", F.col("_metadata.file_path").alias("file")), schema)
+
+
+def _started(rows: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     return (
-        answered.select(json_line(answered).alias("value"))
+        rows.select(json_line(rows).alias("value"))
         .writeStream.format("text")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

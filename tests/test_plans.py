@@ -89,7 +89,7 @@ def test_preference_run_from_files(spark, tmp_path):
     (tmp_path / "response_1.jsonl").write_text("\n".join([line(0, 1, 50, "d"), line(1, 0, 7, "e")]))
     (tmp_path / "notes.jsonl").write_text("{broken")
     schema = "original_idx bigint, output_idx int, question string, reference_answer string, model_answer string, response string"
-    rows, bad = read_jsonl_dir(spark, str(tmp_path), "response_*.jsonl", schema)
+    rows, bad = read_jsonl_dir(spark, str(tmp_path), "response_*.jsonl", schema, numbered=True)
     result = run_preference(rows, order_by=["output_idx", "file", "line"], bad=bad)
     best = {r.original_idx: (r.num_answers, r.best_answer.answer, r.worst_answer.answer) for r in result.best_worst.collect()}
     assert best == {0: (3, "a", "d"), 1: (1, "e", "e")}

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from replyloom.functions import sharding
 from replyloom.operators import matching
-from replyloom.session import widen
 from replyloom.sources import jsonl, sinks
 
 SCHEMA = "id string, n bigint, conversations array<struct<`from`:string,value:string>>"
@@ -44,22 +43,25 @@ def test_line_numbers_over_split_files(spark, files, broadcast):
     path, wanted = files
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    if not broadcast:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         lines = jsonl.scan_lines(spark, path, "part_*.jsonl")
         assert lines.select("block").distinct().count() > 5
-        numbered = jsonl.number_lines(lines, 1_000_000 if broadcast else 0)
+        numbered = jsonl.number_lines(lines)
         found = {}
         for r in numbered.collect():
             found.setdefault(name(r.file), {})[r.line] = r.value
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert found == {f: dict(enumerate(lines)) for f, lines in wanted.items()}
 
 
 def test_rows_bad_lines_and_extra_fields(spark, files):
     path, wanted = files
-    rows, bad = jsonl.read_jsonl_dir(spark, path, "part_*.jsonl", SCHEMA)
+    rows, bad = jsonl.read_jsonl_dir(spark, path, "part_*.jsonl", SCHEMA, numbered=True)
     good = {(name(r.file), r.line): r for r in rows.select("*", F.to_json("extra").alias("rest")).collect()}
     failed = {(name(r.file), r.line - 1): r.error for r in jsonl.as_bad_lines(bad).collect()}
     for f, lines in wanted.items():
@@ -76,7 +78,7 @@ def test_rows_bad_lines_and_extra_fields(spark, files):
 
 def test_carriage_returns_end_lines(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"id": "a"}\r{"id": "b"}\r\n\n{"id": "c"}', newline="")
-    rows, _ = jsonl.read_jsonl(spark, str(tmp_path), "id string")
+    rows, _ = jsonl.read_jsonl(spark, str(tmp_path), "id string", numbered=True)
     assert sorted((r.id, r.line) for r in rows.collect()) == [("a", 0), ("b", 1), ("c", 3)]
 
 
@@ -87,14 +89,14 @@ def test_open_schema_round_trip(spark, tmp_path):
         {"conversations": "no list", "only": 1},
     ]
     (tmp_path / "in.jsonl").write_text("\n".join(json.dumps(r) for r in rows))
-    read, bad = jsonl.read_jsonl(spark, str(tmp_path / "in.jsonl"), SCHEMA)
+    read, bad = jsonl.read_jsonl(spark, str(tmp_path / "in.jsonl"), SCHEMA, numbered=True)
     assert bad.count() == 0
     found = {r.line: r for r in read.collect()}
     assert found[1].id == "7" and [tuple(m) for m in found[1].conversations] == [("human", "q"), ("gpt", "3")]
     assert found[2].conversations is None
     sinks.write_jsonl(read, str(tmp_path / "out"), order_by=["line"])
     back = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
-    wanted = [rows[0], {"id": "7", "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "3"}]}, {"only": 1}]
+    wanted = [rows[0], {"id": "7", "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "3"}]}, rows[2]]
     assert sorted(back, key=str) == sorted(wanted, key=str)
     assert "ü" in "".join(r.value for r in spark.read.text(str(tmp_path / "out")).collect())
 
@@ -131,26 +133,10 @@ def test_write_stats_is_one_file(spark, tmp_path):
     assert json.loads(part.read_text()) == {"a": 1, "b": 2.5}
 
 
-def test_widen_only_what_has_few_splits(spark, tmp_path):
-    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
-    spark.range(1000).repartition(16).write.parquet(str(tmp_path / "many"))
-    one, many = (spark.read.parquet(str(tmp_path / d)) for d in ("one", "many"))
-    cores = spark.sparkContext.defaultParallelism
-    wide = widen(one)
-    assert one.rdd.getNumPartitions() < cores == wide.rdd.getNumPartitions() and wide.count() == 1000
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
-    try:
-        assert many.rdd.getNumPartitions() >= cores and widen(many) is many
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-
-
 def test_one_compressed_file(spark, tmp_path):
     """An unsplittable file: numbered in order, parsed by all cores."""
     with gzip.open(tmp_path / "a.jsonl.gz", "wt") as f:
         f.writelines(f'{{"n": {i}}}\n' for i in range(5000))
-    rows, bad = jsonl.read_jsonl(spark, str(tmp_path), "n bigint")
+    rows, bad = jsonl.read_jsonl(spark, str(tmp_path), "n bigint", numbered=True, partitions=8)
     assert rows.where("n = line").count() == 5000 and bad.count() == 0
     assert rows.select(F.spark_partition_id()).distinct().count() > 1
