@@ -54,7 +54,7 @@ def judge_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i in range(shapes.CANDIDATES)
     ]
     wide = candidates(spark, sf_dir).groupBy("original_idx").agg(*answers)
-    return conv_nested(spark, sf_dir).select("original_idx", "conversations").join(wide, "original_idx")
+    return conv_nested(spark, sf_dir).select("original_idx", "conversations").join(wide, "original_idx", "left")
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`responses` with question and reference answer."""
     context = records.judge_context(conv_nested(spark, sf_dir))
     return responses(spark, sf_dir).join(
-        context.select("original_idx", "question", "reference_answer"), "original_idx"
+        context.select("original_idx", "question", "reference_answer"), "original_idx", "left"
     )
 
 

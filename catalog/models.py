@@ -26,6 +26,53 @@ class DigestJudge(Backend):
         return {"text": f"Verdict:\n<result>\n{json.dumps(score)}\n</result>"}
 
 
+class DigestBackend(Backend):
+    """Deterministic stand-in for a model: the reply is the MD5 digest of the prompt."""
+
+    def __init__(self, prefix: str = "answer "):
+        self.prefix = prefix
+
+    def generate(self, prompt: str, messages: list | None, params: dict) -> dict:
+        text = self.prefix + hashlib.md5(prompt.encode("utf-8")).hexdigest()
+        counts = {"prompt_tokens": len(prompt.split()), "completion_tokens": len(text.split())}
+        return {"choices": [{"message": {"content": text}}], "usage": counts}
+
+
+class RefusingJudge(DigestJudge):
+    """A judge that fails for good on prompts whose digest starts with a letter."""
+
+    def generate(self, prompt: str, messages: list | None, params: dict) -> dict:
+        digest = hashlib.md5(prompt.encode("utf-8")).hexdigest()
+        if digest[0] in "abcdef":
+            raise BackendError(f"refused {digest[:8]}", 400)
+        return super().generate(prompt, messages, params)
+
+
+class FlakyBackend(Backend):
+    """Fails for a while: none, one or two calls per prompt, by its digest."""
+
+    def __init__(self):
+        self.calls: dict[str, int] = {}
+
+    def generate(self, prompt: str, messages: list | None, params: dict) -> dict:
+        digest = hashlib.md5(prompt.encode("utf-8")).hexdigest()
+        calls = self.calls[digest] = self.calls.get(digest, 0) + 1
+        if calls <= int(digest[0], 16) % 3:
+            raise BackendError("busy", 503)
+        del self.calls[digest]  # a prompt may come again
+        return {"text": f"answer {digest} after {calls}"}
+
+
+class PickyBackend(Backend):
+    """Rejects stop words for prompts whose digest starts with a letter; tells what it got."""
+
+    def generate(self, prompt: str, messages: list | None, params: dict) -> dict:
+        digest = hashlib.md5(prompt.encode("utf-8")).hexdigest()
+        if "stop" in params and digest[0] in "abcdef":
+            raise BackendError("no stop words here", 400)
+        return {"text": f"answer {digest} with {','.join(sorted(params))}"}
+
+
 class MoodyBackend(Backend):
     """Fails for good on prompts whose digest starts with a letter."""
 

@@ -254,7 +254,19 @@ _GIVEN_SCORES = f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {PREPARED}, {VERDICTS}
   FROM given WHERE digest[1] <> '0'"""
 
 
+SAME_RESULT = {
+    "preference_summary": "best_worst_summary",
+    "preference_histogram": "score_histogram",
+    "preference_report": "run_report",
+}
+
+
 def oracle_sql() -> dict[str, str]:
+    sql = _sql()
+    return sql | {name: sql[other] for name, other in SAME_RESULT.items()}
+
+
+def _sql() -> dict[str, str]:
     return {
         "extract_strict": f"WITH {RESPONSES}, {STRICT} SELECT original_idx, output_idx, error, {_SCORE_COLUMNS} FROM scored",
         "extract_robust": f"WITH {RESPONSES}, {ROBUST} SELECT original_idx, output_idx, error, {_SCORE_COLUMNS} FROM scored",
@@ -411,6 +423,43 @@ SELECT id, concat_ws('|', a, b, c) AS responses,
         "stream_answers": f"WITH {TURNS}, {NORMAL}, {LAST}, {ASKED} SELECT id, 'answer ' || md5(prompt) AS response FROM asked",
         "judge_scores": _GIVEN_SCORES,
         "judge_resumed": _GIVEN_SCORES,
+        "judge_retried": f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {PREPARED}, {VERDICTS} SELECT original_idx, output_idx,
+  CASE WHEN digest[1] = '0' THEN '{fixed.NO_SCORE_STRICT}' END AS error FROM given""",
+        "judge_refused": f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {PREPARED}, {VERDICTS} SELECT original_idx, output_idx,
+  CASE WHEN digest[1] = '0' THEN '{fixed.NO_SCORE_STRICT}' WHEN regexp_matches(digest, '^[a-f]') THEN 'refused ' || substr(digest, 1, 8) END AS error FROM given""",
+        "preference_scored": f"""WITH {RESPONSES}, {ROBUST} SELECT original_idx, output_idx, md5(model_answer) AS model_answer_md5, total_score FROM ok""",
+        "preference_failed": f"""WITH {RESPONSES}, {ROBUST} SELECT original_idx, output_idx, error, md5(response) AS raw_response_md5
+  FROM scored WHERE error IS NOT NULL""",
+        "retry_calls": f"""WITH {TURNS}, {NORMAL}, {LAST}, {ASKED} SELECT id, 'answer ' || md5(prompt) || ' after ' ||
+  CAST(1 + CAST('0x' || substr(md5(prompt), 1, 1) AS INT) % 3 AS STRING) AS response FROM asked""",
+        "reduced_params": f"""WITH {TURNS}, {NORMAL}, {LAST}, {ASKED} SELECT id, 'answer ' || md5(prompt) || ' with ' ||
+  CASE WHEN regexp_matches(md5(prompt), '^[a-f]') THEN 'temperature' ELSE 'stop,temperature' END AS response FROM asked""",
+        "ordered_output": "SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1 AS place FROM documents",
+        "stage1_repeated_ids": f"""WITH {TURNS}, {NORMAL}, {LAST},
+keyed AS (SELECT id AS conv, conv_id, question, {shapes.REPEATED_ID} AS id FROM last WHERE question <> ''),
+latest AS (SELECT id, max(conv_id) AS source FROM keyed GROUP BY id),
+replied AS (SELECT k.conv, k.id, l.source, 'answer ' || md5(k.question) AS text FROM keyed k JOIN latest l ON k.id = l.id),
+rows AS (SELECT r.conv, r.id, n.turn, CASE WHEN n.norm = 'user' THEN 'human' ELSE n.role END || ':' || n.value AS line
+    FROM replied r JOIN normal n ON n.conv_id = r.source WHERE n.norm IN ('system', 'human', 'user')
+  UNION ALL SELECT conv, id, 1000000, 'gpt:' || text FROM replied)
+SELECT id, messages, conversations_md5 FROM (SELECT conv, id, {messages('line')} FROM rows GROUP BY conv, id)""",
+        "stage2_empty_ids": f"""WITH {TURNS}, {NORMAL}, {LAST},
+keyed AS (SELECT id AS conv, conv_id, question, {unthink('answer')} AS source, {shapes.REPEATED_ID} AS id
+  FROM last WHERE question <> '' AND answer <> ''),
+latest AS (SELECT id, max(conv_id) AS from_conv, arg_max(source, conv_id) AS last_source FROM keyed GROUP BY id),
+replied AS (SELECT k.conv, k.id, l.from_conv, l.last_source, 'answer ' || md5({rewrite('k.question', 'k.source')}) AS reply
+  FROM keyed k JOIN latest l ON k.id = l.id),
+answers AS (SELECT *, {is_short('reply', 'last_source')} AS replaced_short FROM replied),
+rows AS (SELECT a.conv, n.turn, CASE WHEN n.norm = 'system' THEN 'system' ELSE 'human' END || ':' || n.value AS line
+    FROM answers a JOIN normal n ON n.conv_id = a.from_conv WHERE n.norm IN ('system', 'human', 'user')
+  UNION ALL SELECT conv, 1000000, 'gpt:' || CASE WHEN replaced_short THEN last_source ELSE reply END FROM answers),
+built AS (SELECT conv, {messages('line')} FROM rows GROUP BY conv)
+SELECT id, replaced_short, messages, conversations_md5 FROM answers JOIN built USING (conv)""",
+        "stage1_merge_only": f"""WITH {TURNS}, {NORMAL}, {LAST},
+answers AS (SELECT id, 'answer ' || md5(question) AS text FROM last WHERE question <> '' AND NOT regexp_matches(md5(question), '^[a-f]')),
+rows AS (SELECT id, turn, CASE WHEN norm = 'user' THEN 'human' ELSE role END || ':' || value AS line FROM normal WHERE {_PROMPT_ROLES}
+  UNION ALL SELECT id, 1000000, 'gpt:' || text FROM answers)
+SELECT id, {messages('line')} FROM rows WHERE id IN (SELECT id FROM answers) GROUP BY id""",
         "judge_failed": f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {PREPARED}, {VERDICTS} SELECT original_idx, output_idx,
   '{fixed.NO_SCORE_STRICT}' AS error, 'I would rather not say.' AS raw_response, digest AS prompt_md5 FROM given WHERE digest[1] = '0'""",
         "answer_stage1": f"""WITH {MESSY}, {NORMAL}, {LAST}, answers AS (SELECT id, 'answer ' || md5(question) AS text FROM last WHERE question <> ''),

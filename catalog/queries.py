@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from replyloom.functions import conversations as C
 from replyloom.functions import envelopes, prompts, sharding, text
@@ -595,6 +596,20 @@ def split_report(spark, sf_dir):
     return sinks.split_report(*jsonl.read_jsonl(spark, path, "conv_id bigint"))
 
 
+@query
+def ordered_output(spark, sf_dir):
+    """Documents written longest first: the place of each in the files read back."""
+    path = new_path(spark, "ordered")
+    docs = fixtures.table(spark, sf_dir, "documents").select("doc_id", "n_chars", (-F.col("n_chars")).alias("rank_by"))
+    sinks.write_jsonl(docs, path, order_by=["rank_by", "doc_id"])
+    rows, _ = jsonl.read_jsonl(spark, path, "doc_id bigint", numbered=True)
+    # Lines before a file: a window over one row per file.
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return rows.join(starts, "file").select("doc_id", (F.col("start") + F.col("line")).alias("place"))
+
+
 @query
 def line_numbers(spark, sf_dir):
     """Lines per file and the highest number: numbers are complete when they agree."""
@@ -675,10 +690,30 @@ def batch_infer_keep(spark, sf_dir):
     return rows.select("id", "response", "thinking", "usage.*", "_status", "_error")
 
 
+def at_once(seconds: float) -> None:
+    """In place of a delay between retries."""
+
+
+@query
+def retry_calls(spark, sf_dir):
+    """Calls that fail once or twice are made again."""
+    policy = inference.RetryPolicy(max_retries=2, sleep=at_once)
+    rows = inference.batch_infer(asked(spark, sf_dir), models.FlakyBackend(), policy=policy)
+    return rows.select("id", "response")
+
+
+@query
+def reduced_params(spark, sf_dir):
+    """A call with parameters that the model rejects is made once more without them."""
+    sent = {"temperature": 0.5, "stop": "."}
+    rows = inference.batch_infer(asked(spark, sf_dir), models.PickyBackend(), sent)
+    return rows.select("id", "response")
+
+
 @query
 def multi_turn_infer(spark, sf_dir):
     rows = inference.multi_turn_infer(
-        asked(spark, sf_dir), inference.DigestBackend(), models.ask_again, max_turns=10
+        asked(spark, sf_dir), models.DigestBackend(), models.ask_again, max_turns=10
     )
     return rows.select("id", F.array_join("responses", "|").alias("responses"), F.col("usage.completion").alias("completion"))
 
@@ -686,7 +721,7 @@ def multi_turn_infer(spark, sf_dir):
 @query
 def resume_infer(spark, sf_dir):
     todo = matching.pending(asked(spark, sf_dir), earlier_run(spark, sf_dir))
-    return inference.batch_infer(todo, inference.DigestBackend()).select("id", "response")
+    return inference.batch_infer(todo, models.DigestBackend()).select("id", "response")
 
 
 @query
@@ -695,7 +730,7 @@ def stream_answers(spark, sf_dir):
     source, sink, checkpoint = (new_path(spark, f"stream-{part}") for part in ("in", "out", "state"))
     sinks.write_jsonl(fixtures.conv_nested(spark, sf_dir).select("id", "conversations"), source)
     running = stream_infer(
-        spark, source, sink, checkpoint, CONV_SCHEMA, inference.DigestBackend(), prepare=records.prepare_stage1
+        spark, source, sink, checkpoint, CONV_SCHEMA, models.DigestBackend(), prepare=records.prepare_stage1
     )
     running.awaitTermination()
     return spark.read.schema("id string, response string").json(sink)
@@ -733,6 +768,59 @@ def judge_resumed(spark, sf_dir):
     return analysis.explode_scores(scores)
 
 
+def outcomes(scores: DataFrame, failed: DataFrame) -> DataFrame:
+    """One row per judged candidate: which output of a run it is in, and why it failed."""
+    name = F.substring_index("output_name", "_", -1).cast("int").alias("output_idx")
+    none = F.lit(None).cast("string").alias("error")
+    good = analysis.explode_scores(scores).select("original_idx", name, none)
+    return good.unionByName(failed.select("original_idx", "output_idx", "error"))
+
+
+@query
+def judge_retried(spark, sf_dir):
+    """A run after one in which calls failed: every candidate is in one output, once."""
+    wide = fixtures.judge_wide(spark, sf_dir)
+    prepared = materialize(records.prepare_judge(wide, shapes.CANDIDATES, PREFIX, TEMPLATE), "prepared")
+    done = materialize(inference.batch_infer(prepared, models.RefusingJudge(), on_error="keep"), "responses")
+    return outcomes(*run_judge(wide, models.DigestJudge(), prefix=PREFIX, prepared=prepared, done=done))
+
+
+@query
+def judge_refused(spark, sf_dir):
+    """A run whose model refuses some calls: these are failed rows with the call's error."""
+    wide = fixtures.judge_wide(spark, sf_dir)
+    return outcomes(
+        *run_judge(wide, models.RefusingJudge(), n_examples=shapes.CANDIDATES, prefix=PREFIX, template=TEMPLATE)
+    )
+
+
+@query
+def preference_scored(spark, sf_dir):
+    scored = run_preference(fixtures.judged(spark, sf_dir)).scored
+    return scored.select("original_idx", "output_idx", digest("model_answer"), "scores.total_score")
+
+
+@query
+def preference_failed(spark, sf_dir):
+    failed = run_preference(fixtures.judged(spark, sf_dir)).failed
+    return failed.select("original_idx", "output_idx", "error", digest("raw_response"))
+
+
+@query
+def preference_summary(spark, sf_dir):
+    return rounded(run_preference(fixtures.judged(spark, sf_dir)).summary)
+
+
+@query
+def preference_histogram(spark, sf_dir):
+    return rounded(run_preference(fixtures.judged(spark, sf_dir)).histogram)
+
+
+@query
+def preference_report(spark, sf_dir):
+    return rounded(run_preference(fixtures.judged(spark, sf_dir)).report)
+
+
 @query
 def preference_pairs(spark, sf_dir):
     return flat_best_worst(run_preference(fixtures.judged(spark, sf_dir)).best_worst)
@@ -740,12 +828,38 @@ def preference_pairs(spark, sf_dir):
 
 @query
 def answer_stage1(spark, sf_dir):
-    rows = run_stage1(fixtures.conv_messy(spark, sf_dir), inference.DigestBackend())
+    rows = run_stage1(fixtures.conv_messy(spark, sf_dir), models.DigestBackend())
+    return rows.select("id", *conversation())
+
+
+def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations in the order of their lines, with empty and repeated ids."""
+    rows = fixtures.conv_nested(spark, sf_dir)
+    return rows.select(F.expr(shapes.REPEATED_ID).alias("id"), F.col("conv_id").alias("line"), "conversations")
+
+
+@query
+def stage1_repeated_ids(spark, sf_dir):
+    rows = run_stage1(repeated_ids(spark, sf_dir), models.DigestBackend())
+    return rows.select("id", *conversation())
+
+
+@query
+def stage2_empty_ids(spark, sf_dir):
+    rows = run_stage2(repeated_ids(spark, sf_dir), models.DigestBackend())
+    return rows.select("id", "replaced_short", *conversation())
+
+
+@query
+def stage1_merge_only(spark, sf_dir):
+    """Only what an earlier run has written is merged."""
+    done = materialize(inference.batch_infer(asked(spark, sf_dir), models.MoodyBackend()), "responses")
+    rows = run_stage1(fixtures.conv_nested(spark, sf_dir), models.MoodyBackend(), done=done, merge_only=True)
     return rows.select("id", *conversation())
 
 
 @query
 def answer_stage2(spark, sf_dir):
     """Stage 2 on the answers the conversations came with."""
-    rows = run_stage2(fixtures.conv_messy(spark, sf_dir), inference.DigestBackend(), template=TEMPLATE)
+    rows = run_stage2(fixtures.conv_messy(spark, sf_dir), models.DigestBackend(), template=TEMPLATE)
     return rows.select("id", "replaced_short", *conversation())

@@ -91,3 +91,7 @@ STAGE2_RESPONSE = (
 # conversations -> shard rows: one pseudo-file per role, ids repeated by every turn
 SHARD_FILE = "role || '.jsonl'"
 SHARD_ID = "CASE WHEN role = 'system' THEN '' ELSE 'c' || CAST(conv_id AS STRING) END"
+
+# Empty ids, ids that several conversations share, and ids of their own.
+REPEATED_ID = """CASE WHEN conv_id % 4 = 0 THEN '' WHEN conv_id % 4 = 1 THEN 'again-' || CAST(conv_id % 10 AS STRING)
+  ELSE 'own-' || CAST(conv_id AS STRING) END"""

@@ -1,9 +1,9 @@
 """Statistics over validated scores.
 
-Every grouping here has partial (map-side) aggregation with a bounded buffer, so one
-question or one output may hold any share of the rows. Lists of scores are kept as
-``(total_score, answers)`` counts: repeated scores are counted before they are brought
-together.
+Every grouping here has partial (map-side) aggregation, so one question or one output may
+hold any share of the rows. Lists of scores are kept as ``(total_score, answers)`` counts:
+repeated scores are counted before they are brought together. What still grows is said where
+it does: with the number of *different* totals, exact percentiles and those lists.
 """
 
 from __future__ import annotations
@@ -106,19 +106,25 @@ def best_worst(
     """Best and worst answer of each question, with all totals unless told not to.
 
     Among equal totals the best is the first and the worst the last in ``order_by``.
-    Both come out of one aggregation: each map task sends at most two answers per
-    question, however many it has read, and the candidates of a question are usually
-    stored together.
+    All come out of one pass over the rows: per question and total, the first and the last
+    answer and the number of answers; then per question, the ends of these. ``all_scores``
+    has one entry per different total.
     """
     row = F.struct("output_idx", "model_answer", "scores", "question", "reference_answer")
     position = F.struct(*order_by)
-    picked = scored.groupBy("original_idx").agg(
-        F.min_by(row, F.struct(-_total(), position)).alias("best"),
-        F.max_by(row, F.struct(-_total(), position)).alias("worst"),
-        F.count(F.lit(1)).alias("num_answers"),
+    per_total = scored.groupBy("original_idx", _total().alias("total_score")).agg(
+        F.min_by(row, position).alias("first"),
+        F.max_by(row, position).alias("last"),
+        F.count(F.lit(1)).alias("answers"),
+    )
+    runs = F.sort_array(F.collect_list(F.struct("total_score", "answers")), asc=False)
+    rows = per_total.groupBy("original_idx").agg(
+        F.max_by("first", "total_score").alias("best"),
+        F.min_by("last", "total_score").alias("worst"),
+        F.sum("answers").alias("num_answers"),
+        *([runs.alias("all_scores")] if all_scores else []),
     )
     listed = ["all_scores"] if all_scores else []
-    rows = picked.join(score_runs(scored), "original_idx") if all_scores else picked
     return rows.select(
         "original_idx",
         "best.question",
@@ -292,9 +298,16 @@ def spread_verdict(stats: DataFrame) -> DataFrame:
     )
 
 
-def top_spread(spread: DataFrame, k: int = 10, pct: float = 0.9) -> DataFrame:
-    """The ``k`` widest questions among those at or above the ``pct`` percentile."""
-    threshold = spread.agg(F.percentile("variance", F.lit(pct))).scalar()
+def top_spread(
+    spread: DataFrame, k: int = 10, pct: float = 0.9, approximate: bool = False
+) -> DataFrame:
+    """The ``k`` widest questions among those at or above the ``pct`` percentile.
+
+    ``approximate`` bounds the percentile's buffer, as in :func:`spread_stats`.
+    """
+    exact = F.percentile("variance", F.lit(pct))
+    found = F.percentile_approx("variance", pct, 10_000) if approximate else exact
+    threshold = spread.agg(found).scalar()
     return (
         spread.where(F.col("variance") >= threshold)
         .orderBy(F.desc("variance"), "original_idx")
@@ -311,15 +324,20 @@ def output_scores(scored: DataFrame, prefix: str = "output_") -> DataFrame:
     return scored.select("original_idx", name.alias("output_name"), "scores.*")
 
 
-def output_stats(rows: DataFrame) -> DataFrame:
-    """Statistics per output name, from :func:`explode_scores` or :func:`output_scores`."""
+def output_stats(rows: DataFrame, approximate: bool = False) -> DataFrame:
+    """Statistics per output name, from :func:`explode_scores` or :func:`output_scores`.
+
+    The exact median's buffer grows with the number of different totals; ``approximate``
+    bounds it.
+    """
+    median = F.percentile_approx("total_score", 0.5, 10_000) if approximate else F.median("total_score")
     dims = []
     for dim in fixed.DIMENSIONS:
         dims += [F.avg(dim).alias(f"mean_{dim}"), F.stddev_pop(dim).alias(f"std_{dim}")]
     return rows.groupBy("output_name").agg(
         F.count(F.lit(1)).alias("samples"),
         F.avg("total_score").alias("mean_total"),
-        F.median("total_score").alias("median_total"),
+        median.alias("median_total"),
         F.stddev_pop("total_score").alias("std_total"),
         F.max("total_score").alias("max_total"),
         F.min("total_score").alias("min_total"),

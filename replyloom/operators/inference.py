@@ -8,7 +8,6 @@ a :class:`Backend`. Filter and select before these operators; write the result
 
 from __future__ import annotations
 
-import hashlib
 import json
 import time
 import urllib.error
@@ -51,18 +50,6 @@ class Backend:
         raise NotImplementedError
 
 
-class DigestBackend(Backend):
-    """Deterministic stand-in for a model: the reply is the MD5 digest of the prompt."""
-
-    def __init__(self, prefix: str = "answer "):
-        self.prefix = prefix
-
-    def generate(self, prompt: str, messages: list | None, params: dict) -> dict:
-        text = self.prefix + hashlib.md5(prompt.encode("utf-8")).hexdigest()
-        counts = {"prompt_tokens": len(prompt.split()), "completion_tokens": len(text.split())}
-        return {"choices": [{"message": {"content": text}}], "usage": counts}
-
-
 class ChatBackend(Backend):
     """A ``/chat/completions`` endpoint. ``send`` can be replaced, for instance in tests."""
 
@@ -94,7 +81,7 @@ def post_json(url: str, headers: dict, body: dict, timeout: float) -> dict:
         with urllib.request.urlopen(request, timeout=timeout) as reply:
             return json.load(reply)
     except urllib.error.HTTPError as error:
-        raise BackendError(f"Client Error {error.code}: {error.read().decode()}", error.code) from error
+        raise BackendError(f"the endpoint answered {error.code}: {error.read().decode()}", error.code) from error
 
 
 @dataclass(frozen=True)
@@ -120,7 +107,7 @@ class RetryPolicy:
             reduced = {k: v for k, v in params.items() if k not in self.drop_keys}
             if reduced == params:
                 raise
-        return self._repeat(call, reduced)
+        return call(reduced)
 
     def _repeat(self, call: Callable[[dict], dict], params: dict) -> dict:
         delay = self.base_delay
@@ -131,7 +118,7 @@ class RetryPolicy:
                 if isinstance(error, BackendError) and error.status not in self.retry_on:
                     raise
                 if attempt == self.max_retries:
-                    raise RuntimeError(f"Failed after {attempt} retries: {error}") from error
+                    raise RuntimeError(f"given up after {attempt} more tries: {error}") from error
             self.sleep(delay)
             delay = min(delay * 2, self.max_delay)
         raise AssertionError("unreachable")

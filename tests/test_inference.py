@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import models
 from replyloom.operators import inference as I
 from replyloom.operators import records
 
@@ -92,7 +93,7 @@ def test_retry_policy():
     def never(params):
         raise TimeoutError("late")
 
-    with pytest.raises(RuntimeError, match="Failed after 6 retries"):
+    with pytest.raises(RuntimeError, match="given up after 6 more tries"):
         policy.run(never, {})
 
 
@@ -139,7 +140,7 @@ def test_usage_totals(spark):
 
 def test_only_the_request_crosses_to_python(spark):
     df = spark.range(10).select("id", F.col("id").cast("string").alias("prompt"), F.array("id").alias("big"))
-    out = I.batch_infer(df, I.DigestBackend(), partitions=3)
+    out = I.batch_infer(df, models.DigestBackend(), partitions=3)
     plan = out._jdf.queryExecution().executedPlan().toString()
     call = next(line for line in plan.splitlines() if "ArrowEvalPython" in line)
     assert "calls(prompt" in call and "big" not in call.split("],")[0]
@@ -149,7 +150,7 @@ def test_only_the_request_crosses_to_python(spark):
 
 
 def test_rows_keep_their_replies_over_many_batches(spark):
-    class Uneven(I.DigestBackend):
+    class Uneven(models.DigestBackend):
         def generate(self, prompt, messages, params):
             time.sleep(0.02 if int(prompt) % 50 == 0 else 0)
             return super().generate(prompt, messages, params)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.models import DigestJudge
+from catalog import models
 from replyloom import materialize, run_judge, run_preference, run_stage1, run_stage2
 from replyloom.functions import conversations as C
 from replyloom.operators import inference, records
@@ -104,19 +105,19 @@ def test_preference_run_from_files(spark, tmp_path):
 def test_stages(spark):
     rows = [(f"i{i}", [("system", "s"), ("user", f"q{i}")] if i % 3 else [("gpt", "no question")], 0) for i in range(30)]
     source = spark.createDataFrame(rows, f"id string, conversations {C.CONVERSATION}, line int")
-    stage1 = run_stage1(source, inference.DigestBackend())
+    stage1 = run_stage1(source, models.DigestBackend())
     found = {r.id: [tuple(m) for m in r.conversations] for r in stage1.collect()}
     assert set(found) == {f"i{i}" for i in range(30) if i % 3}
     assert all(v[1][0] == "human" and v[2][0] == "gpt" and v[2][1].startswith("answer ") for v in found.values())
 
     twice = stage1.withColumn("file", F.lit("a")).unionByName(stage1.withColumn("file", F.lit("b"))).withColumn("line", F.lit(0))
     twice = twice.withColumn("line", F.monotonically_increasing_id())
-    stage2 = run_stage2(materialize(twice, "stage1"), inference.DigestBackend(""), merge_by=["file", "line"])
+    stage2 = run_stage2(materialize(twice, "stage1"), models.DigestBackend(""), merge_by=["file", "line"])
     delivered = stage2.collect()
     assert len(delivered) == 20
     # 32 digits are fewer than the floor of 120 characters: the source text is kept
     assert all(r.replaced_short and r.conversations[-1].value == found[r.id][2][1] for r in delivered)
-    long = run_stage2(stage1, inference.DigestBackend("x" * 120))
+    long = run_stage2(stage1, models.DigestBackend("x" * 120))
     assert not any(r.replaced_short for r in long.collect())
     done = materialize(stage1.select("id", F.lit("y" * 130).alias("response")), "done")
     merged = run_stage2(stage1, Unreachable(), done=done, merge_only=True)
@@ -128,7 +129,7 @@ def test_stream_resumes_with_new_files(spark, tmp_path):
     source, sink, state = (str(tmp_path / d) for d in ("in", "out", "state"))
 
     def run():
-        stream_infer(spark, source, sink, state, "id string, prompt string", inference.DigestBackend()).awaitTermination()
+        stream_infer(spark, source, sink, state, "id string, prompt string", models.DigestBackend()).awaitTermination()
         return [r.id for r in spark.read.schema("id string, response string").json(sink).collect()]
 
     sinks.write_jsonl(rows.where("id < 8"), source)
