@@ -3,7 +3,7 @@
 Test items are the indexed side: for every word, the items that have it with their BM25 impact,
 divided by the item's score against itself, so that one threshold serves items of any
 length. Items lie in blocks, and each word keeps its largest impact per block. Every passage of
-every text is a query. Its words' block maxima are added up first: a block whose sum stays below
+every text is a query. Its words' block maxima are added up first, each word once in each half of the passage: a block whose sum stays below
 the threshold is skipped, as no item in it can reach it; the others are scored item by item,
 and every item at or above the threshold is retrieved, not only the best. Passages of one text
 are bounded together, as windows over running sums.
@@ -25,8 +25,9 @@ whatever their names.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -38,7 +39,7 @@ SHINGLE = 5
 OVERLAP = 0.8
 THRESHOLD = 0.5
 MIN_WORDS = 8
-BLOCK = 16
+BLOCK = 4
 INDEX_BYTES = 1 << 20
 K1, B = 1.2, 0.75
 
@@ -71,8 +72,8 @@ class Index:
         n, mean = len(split), sum(lengths) / max(1, len(lengths))
         in_items = Counter(word for c in counts for word in c)
         self.blocks = -(-n // BLOCK)
-        self.postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
         self.words: dict[bytes, int] = {}
+        posted: list[list[tuple[int, float]]] = [[]]  # word 0 stands for all that no item has
         for item, (c, length) in enumerate(zip(counts, lengths, strict=True)):
             impact = {
                 word: math.log(1 + (n - in_items[word] + 0.5) / (in_items[word] + 0.5))
@@ -81,39 +82,48 @@ class Index:
             }
             whole = sum(impact.values())
             for word, value in impact.items():
-                number = self.words.setdefault(word, len(self.words) + 1)
-                self.postings[number].append((item, value / whole))
-        # Row 0 stands for all words that no item has.
-        self.maxima = np.zeros((len(self.words) + 1, self.blocks), np.float32)
-        for number, posted in self.postings.items():
-            for item, value in posted:
-                block = item // BLOCK
-                self.maxima[number, block] = max(self.maxima[number, block], value)
+                if word not in self.words:
+                    self.words[word] = len(posted)
+                    posted.append([])
+                posted[self.words[word]].append((item, value / whole))
+        # Postings of all words one after another, and where each word's begin.
+        self.begin = np.cumsum([0, *map(len, posted)])
+        self.items = np.array([item for p in posted for item, _ in p], np.int64)
+        self.impacts = np.array([value for p in posted for _, value in p])
+        self.maxima = np.zeros((len(posted), self.blocks), np.float32)
+        word_of = np.repeat(np.arange(len(posted)), np.diff(self.begin))
+        np.maximum.at(self.maxima, (word_of, self.items // BLOCK), self.impacts)
 
     def search(self, found: list[bytes], threshold: float) -> Iterator[tuple[int, int, int, float]]:
-        """``(first word, last word, item, score)`` of passages and items at the threshold."""
+        """``(first word, last word, item, score)`` of passages and items at the threshold.
+
+        A passage is two chunks of a text, each as long as the longest item.
+        """
         known = self.words.get
-        numbers = np.fromiter((known(word, 0) for word in found), np.int64, len(found))
+        numbers = np.fromiter(map(known, found, repeat(0)), np.int64, len(found))
         at = np.flatnonzero(numbers)
         if not len(at):
             return
-        bounds = np.zeros((len(at) + 1, self.blocks))
-        np.cumsum(self.maxima[numbers[at]], axis=0, out=bounds[1:])
-        starts = np.arange(0, max(1, len(found) - self.longest), self.longest)
-        first = np.searchsorted(at, starts)
-        last = np.searchsorted(at, starts + 2 * self.longest)
-        over = bounds[last] - bounds[first] >= threshold - 1e-4
-        for passage in np.flatnonzero(over.any(axis=1)):
-            scores: dict[int, float] = defaultdict(float)
-            blocks = set(np.flatnonzero(over[passage]).tolist())
-            for number in set(numbers[at[first[passage] : last[passage]]].tolist()):
-                for item, value in self.postings[number]:
-                    if item // BLOCK in blocks:
-                        scores[item] += value
-            start = int(starts[passage])
-            for item, score in scores.items():
-                if score >= threshold:
-                    yield start, min(start + 2 * self.longest, len(found)), item, score
+        # A word counts once in a chunk.
+        size, chunks = len(self.maxima), -(-len(found) // self.longest)
+        pairs = np.unique(at // self.longest * size + numbers[at])
+        word = pairs % size
+        edge = np.searchsorted(pairs, np.arange(chunks + 1) * size)
+        running = np.zeros((len(word) + 1, self.blocks))
+        np.cumsum(self.maxima[word], axis=0, out=running[1:])
+        passages = max(1, chunks - 1)
+        stop = np.minimum(np.arange(passages) + 2, chunks)
+        over = running[edge[stop]] - running[edge[:passages]] >= threshold - 1e-4
+        for passage in np.flatnonzero(over.any(axis=1)).tolist():
+            words = np.unique(word[edge[passage] : edge[stop[passage]]])
+            counts = self.begin[words + 1] - self.begin[words]
+            shift = np.repeat(self.begin[words] - (np.cumsum(counts) - counts), counts)
+            posting = shift + np.arange(len(shift))
+            posting = posting[over[passage][self.items[posting] // BLOCK]]
+            scores = np.bincount(self.items[posting], self.impacts[posting])
+            start = passage * self.longest
+            for item in np.flatnonzero(scores >= threshold).tolist():
+                yield start, min(start + 2 * self.longest, len(found)), item, float(scores[item])
 
     def leaks(self, text: bytes | None, threshold: float, overlap: float) -> list[tuple]:
         """``(key, score, question overlap, answer overlap, first word, last word)``, the best

@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from replyloom.llm import decontamination as D
@@ -43,9 +44,10 @@ def test_search_equals_brute_force(prose):
     index = D.Index([(i, prose(3000 + i, 12 + i % 20, 300).encode(), b"") for i in range(70)], 1)
     text = " ".join(prose(3000 + i, 12 + i % 20, 300) for i in range(0, 70, 7)) + " " + prose(9, 500, 300)
     words = D.tokens(text.encode())
-    impact = {(n, item): v for n, posted in index.postings.items() for item, v in posted}
+    owner = np.repeat(np.arange(len(index.maxima)), np.diff(index.begin)).tolist()
+    impact = dict(zip(zip(owner, index.items.tolist()), index.impacts.tolist()))
     found = {(s, item): score for s, _, item, score in index.search(words, 0.4)}
-    for start in range(0, max(1, len(words) - index.longest), index.longest):
+    for start in range(0, max(1, (-(-len(words) // index.longest) - 1) * index.longest), index.longest):
         passage = {index.words.get(w) for w in words[start : start + 2 * index.longest]}
         for item in range(len(index.keys)):
             score = sum(impact.get((n, item), 0) for n in passage)
