@@ -303,6 +303,12 @@ def _sql() -> dict[str, str]:
   'output_' || output_idx AS output_name, {_SCORE_COLUMNS} FROM judged""",
         "scores_csv": f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {STRICT}, {JUDGED} SELECT original_idx AS sample_idx,
   'output_' || output_idx AS output_name, {_SCORE_COLUMNS} FROM judged""",
+        "spread_report": f"""WITH {RESPONSES}, {ROBUST}, {SPREAD}
+SELECT 'statistics' AS section, CAST(1 AS BIGINT) AS entries, CAST(count(*) AS DOUBLE) AS total FROM spread
+UNION ALL SELECT 'distribution', CAST({len(fixed.SPREAD_EDGES) - 1} AS BIGINT), CAST(count(*) AS DOUBLE) FROM spread
+UNION ALL SELECT 'details', count(*), round(sum(variance), 6) FROM spread""",
+        "output_stats_approximate": f"""WITH {RESPONSES}, {STRICT} SELECT 'output_' || output_idx AS output_name, count(*) AS samples,
+  quantile_disc(total_score, 0.5) AS median_total FROM ok GROUP BY output_idx""",
         "output_stats": f"""WITH {RESPONSES}, {STRICT}, {OUTPUTS} SELECT output_name, samples,
   {rounded('mean_total', 'median_total', 'std_total', 'max_total', 'min_total', *[f'{s}_{d}' for d in DIMS for s in ('mean', 'std')])} FROM outputs""",
         "evaluation_totals": f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {STRICT}, {JUDGED} SELECT count(DISTINCT original_idx) AS samples,

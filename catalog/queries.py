@@ -224,6 +224,26 @@ def evaluation_totals(spark, sf_dir):
     return rounded(analysis.evaluation_totals(aggregated(spark, sf_dir)))
 
 
+@query
+def spread_report(spark, sf_dir):
+    """The report written to one folder and read back: entries and a total per section."""
+    path = new_path(spark, "spread-report")
+    spread = materialize(analysis.score_spread(ok_scores(spark, sf_dir)), "spread")
+    sinks.write_jsonl(analysis.spread_report(spread), path)
+    rows = spark.read.schema("section string, entry string").json(path)
+    value = F.coalesce(*[F.get_json_object("entry", f"$.{name}") for name in ("total_questions", "n", "variance")])
+    return rounded(
+        rows.groupBy("section").agg(F.count(F.lit(1)).alias("entries"), F.sum(value.cast("double")).alias("total"))
+    )
+
+
+@query
+def output_stats_approximate(spark, sf_dir):
+    """The median from a bounded buffer: of an even number of totals the lower middle one."""
+    stats = analysis.output_stats(strict_output_scores(spark, sf_dir), approximate=True)
+    return stats.select("output_name", "samples", "median_total")
+
+
 @query
 def grade_bands(spark, sf_dir):
     return rounded(analysis.grade_bands(ok_scores(spark, sf_dir)))

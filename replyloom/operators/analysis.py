@@ -106,24 +106,32 @@ def best_worst(
     """Best and worst answer of each question, with all totals unless told not to.
 
     Among equal totals the best is the first and the worst the last in ``order_by``.
-    All come out of one pass over the rows: per question and total, the first and the last
-    answer and the number of answers; then per question, the ends of these. ``all_scores``
-    has one entry per different total.
+    Either way the rows are read once. Without ``all_scores`` one grouping sends at most two
+    answers per question from each map task; with it, answers are first grouped by question
+    and total, and the ends of these and the counts make up a question. The list has one
+    entry per different total.
     """
     row = F.struct("output_idx", "model_answer", "scores", "question", "reference_answer")
     position = F.struct(*order_by)
-    per_total = scored.groupBy("original_idx", _total().alias("total_score")).agg(
-        F.min_by(row, position).alias("first"),
-        F.max_by(row, position).alias("last"),
-        F.count(F.lit(1)).alias("answers"),
-    )
-    runs = F.sort_array(F.collect_list(F.struct("total_score", "answers")), asc=False)
-    rows = per_total.groupBy("original_idx").agg(
-        F.max_by("first", "total_score").alias("best"),
-        F.min_by("last", "total_score").alias("worst"),
-        F.sum("answers").alias("num_answers"),
-        *([runs.alias("all_scores")] if all_scores else []),
-    )
+    if all_scores:
+        per_total = scored.groupBy("original_idx", _total().alias("total_score")).agg(
+            F.min_by(row, position).alias("first"),
+            F.max_by(row, position).alias("last"),
+            F.count(F.lit(1)).alias("answers"),
+        )
+        runs = F.sort_array(F.collect_list(F.struct("total_score", "answers")), asc=False)
+        rows = per_total.groupBy("original_idx").agg(
+            F.max_by("first", "total_score").alias("best"),
+            F.min_by("last", "total_score").alias("worst"),
+            F.sum("answers").alias("num_answers"),
+            runs.alias("all_scores"),
+        )
+    else:
+        rows = scored.groupBy("original_idx").agg(
+            F.min_by(row, F.struct(-_total(), position)).alias("best"),
+            F.max_by(row, F.struct(-_total(), position)).alias("worst"),
+            F.count(F.lit(1)).alias("num_answers"),
+        )
     listed = ["all_scores"] if all_scores else []
     return rows.select(
         "original_idx",
@@ -298,6 +306,21 @@ def spread_verdict(stats: DataFrame) -> DataFrame:
     )
 
 
+def spread_report(spread: DataFrame, approximate: bool = False) -> DataFrame:
+    """The whole report as rows of one output: ``section`` (statistics, distribution, details)
+    and ``entry``, a JSON object. There is one detail per question."""
+    sections = {
+        "statistics": spread_stats(spread, approximate),
+        "distribution": spread_histogram(spread),
+        "details": spread,
+    }
+    rows = [
+        df.select(F.lit(name).alias("section"), F.to_json(F.struct("*")).alias("entry"))
+        for name, df in sections.items()
+    ]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2])
+
+
 def top_spread(
     spread: DataFrame, k: int = 10, pct: float = 0.9, approximate: bool = False
 ) -> DataFrame:

@@ -1,3 +1,3 @@
-from .incremental import stream_infer
+from .incremental import stream_bad_lines, stream_infer
 
-__all__ = ["stream_infer"]
+__all__ = ["stream_bad_lines", "stream_infer"]

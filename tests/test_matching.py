@@ -159,3 +159,31 @@ def test_pending(spark):
     assert sorted(r.n for r in matching.pending(todo, done).collect()) == [2, 3, 4]
     assert sorted(r.n for r in matching.pending(todo, done, retry_failed=False).collect()) == [3, 4]
     assert sorted(r.n for r in matching.pending(todo, done.drop("_status")).collect()) == [3, 4]
+
+
+def test_rows_without_a_position_stay(spark):
+    df = spark.createDataFrame([("a", None, 1), ("b", 2, 2), ("b", 1, 3), ("", None, 4), ("", None, 5)], "id string, line int, n int")
+    kept = {r.n for r in matching.keep_one(df, "id", ["line"]).collect()}
+    assert kept == {1, 3, 4, 5}
+
+
+def test_one_source_per_id(spark):
+    """As many rows as responses, whatever ids the sources share."""
+    turns = "array<struct<`from`:string,value:string>>"
+    rows = [(i, k, [("human", f"q{k}")]) for k, i in enumerate(["a", "a", "", "", "", None])]
+    for order in (None, ["line"]):
+        source = spark.createDataFrame(rows, f"id string, line int, conversations {turns}")
+        output = spark.createDataFrame([("a", "x"), ("a", "y"), ("", "z"), ("", "u"), ("", "v")], "id string, response string")
+        merged = matching.merge_stage1(source, output, order).collect()
+        assert sorted(r.conversations[-1].value for r in merged) == ["u", "v", "x", "y", "z"]
+        assert {r.conversations[0].value for r in merged if r.id == "a"} == {"q1"}
+        hidden = matching.merge_stage1(source.drop("line"), output)
+        assert hidden.count() == 5
+
+
+def test_repeated_keys_do_not_fan_out(spark):
+    turns = "array<struct<`from`:string,value:string>>"
+    scores = spark.createDataFrame([(1, "s"), (2, "t")], "original_idx long, n string")
+    original = spark.createDataFrame([(1, 0, [("human", "a")]), (1, 1, [("human", "b")])], f"original_idx long, line long, conversations {turns}")
+    found = {r.original_idx: r.conversations for r in matching.enrich_with_conversations(scores, original).collect()}
+    assert found[2] is None and found[1][0].value == "b" and len(found) == 2

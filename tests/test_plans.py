@@ -10,7 +10,7 @@ from replyloom.functions import conversations as C
 from replyloom.operators import inference, records
 from replyloom.session import shared_dir
 from replyloom.sources import read_jsonl_dir, sinks
-from replyloom.streaming import stream_infer
+from replyloom.streaming import stream_bad_lines, stream_infer
 
 
 class Unreachable(inference.Backend):
@@ -141,3 +141,18 @@ def test_stream_resumes_with_new_files(spark, tmp_path):
 
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_stream_reads_lines_as_the_batch_does(spark, tmp_path):
+    """Broken and doubtful lines are no rows of the stream; other fields stay."""
+    source, sink, bad, state = (str(tmp_path / d) for d in ("in", "out", "bad", "state"))
+    lines = ['{"id": "a", "prompt": "p", "more": [1]}', "{broken", "{'id': 'b'} and text", '{"id": "c", "prompt": 7}', ""]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.jsonl").write_text("\n".join(lines))
+    schema = "id string, prompt string"
+    stream_infer(spark, source, sink, state + "1", schema, models.DigestBackend()).awaitTermination()
+    stream_bad_lines(spark, source, bad, state + "2", schema).awaitTermination()
+    good = {r["id"]: r for r in (json.loads(x.value) for x in spark.read.text(sink).collect())}
+    assert set(good) == {"a", "c"} and good["a"]["more"] == [1] and good["c"]["prompt"] == "7"
+    failed = [json.loads(x.value) for x in spark.read.text(bad).collect()]
+    assert sorted(r["value"] for r in failed) == sorted(lines[1:3])

@@ -1,12 +1,14 @@
 import json
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from replyloom.functions import fixed_values as fixed
 from replyloom.functions import scores as S
+from replyloom.functions.text import strip_think_tokens
 from replyloom.operators import scoring
 
 GOOD = '{"correctness": 40, "logic": 20, "clarity": 10, "completeness": 8, "total_score": 78}'
@@ -160,3 +162,19 @@ def test_each_text_is_searched_once(spark):
     plan = scoring.ok_rows(scoring.score_responses(rows))._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(re.escape("<think>.*?</think>"), plan)) == 1
     assert plan.count("parseJson") == 3  # tag, braces, scan
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<result>{ ", '{"correctness": 1 ', "<think> x", "<|begin_of_thought|> ", '{ "total_score" ', "<result> ", "</result>{", "} \n\n", '"correctness"{'],
+)
+def test_texts_without_ends_stay_linear(spark, piece):
+    """A megabyte of openings that nothing closes, and the same with one late close."""
+    text = piece * (1_000_000 // len(piece))
+    rows = [(text,), (text + "</result>",), (text + "} </result>",), (text + "</think>",)]
+    df = spark.createDataFrame(rows, "response string").repartition(4)
+    start = time.perf_counter()
+    for mode in ("strict", "robust"):
+        assert scoring.score_responses(df, mode).where("error is null").count() == 0
+    df.select(F.length(strip_think_tokens(F.col("response")))).collect()
+    assert time.perf_counter() - start < 60
