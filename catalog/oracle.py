@@ -258,6 +258,9 @@ SAME_RESULT = {
     "preference_summary": "best_worst_summary",
     "preference_histogram": "score_histogram",
     "preference_report": "run_report",
+    "stage1_prepared": "answer_stage1",
+    "stage2_prepared": "answer_stage2",
+    "stage2_merge_only": "answer_stage2",
 }
 
 

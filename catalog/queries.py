@@ -878,6 +878,34 @@ def stage1_merge_only(spark, sf_dir):
     return rows.select("id", *conversation())
 
 
+@query
+def stage1_prepared(spark, sf_dir):
+    """Prompts written by an earlier run are used as they are."""
+    rows = fixtures.conv_messy(spark, sf_dir)
+    source = records.with_row_id(records.normalize_stage1(rows))
+    prepared = materialize(records.prepare_stage1(source), "prepared")
+    return run_stage1(rows, models.DigestBackend(), prepared=prepared).select("id", *conversation())
+
+
+def prepared_stage2(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    return materialize(records.prepare_stage2(records.normalize_stage2(rows), TEMPLATE), "prepared")
+
+
+@query
+def stage2_prepared(spark, sf_dir):
+    rows = fixtures.conv_messy(spark, sf_dir)
+    found = run_stage2(rows, models.DigestBackend(), prepared=prepared_stage2(spark, rows))
+    return found.select("id", "replaced_short", *conversation())
+
+
+@query
+def stage2_merge_only(spark, sf_dir):
+    rows = fixtures.conv_messy(spark, sf_dir)
+    done = materialize(inference.batch_infer(prepared_stage2(spark, rows), models.DigestBackend()), "responses")
+    found = run_stage2(rows, models.MoodyBackend(), done=done, merge_only=True)
+    return found.select("id", "replaced_short", *conversation())
+
+
 @query
 def answer_stage2(spark, sf_dir):
     """Stage 2 on the answers the conversations came with."""
