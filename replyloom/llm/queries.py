@@ -164,3 +164,37 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with passages of 50 words or more that other documents hold, too."""
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def _failed_sql(policy: str) -> str:
+    return " OR ".join(f"({condition})" for name, condition in rules.RULES if name in rules.POLICIES[policy])
+
+
+ORACLE["op10_quality_rules"] = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT doc_id, {_WORDS.format('text')} AS words FROM docs),
+tokens AS (SELECT doc_id, unnest(range(0, len(words))) AS spot, unnest(words) AS word FROM split),
+windows AS (SELECT doc_id, spot, word AS one, lead(word, 1) OVER w AS two, lead(word, 2) OVER w AS three
+    FROM tokens WINDOW w AS (PARTITION BY doc_id ORDER BY spot)),
+again AS (SELECT doc_id, one, two, three FROM windows WHERE three IS NOT NULL
+    GROUP BY doc_id, one, two, three HAVING count(*) > 1),
+spots AS (SELECT w.doc_id, w.spot FROM windows w JOIN again a
+    ON w.doc_id = a.doc_id AND w.one = a.one AND w.two = a.two AND w.three = a.three),
+covered AS (SELECT doc_id, count(*) AS n FROM (
+    SELECT doc_id, spot FROM spots UNION SELECT doc_id, spot + 1 FROM spots UNION SELECT doc_id, spot + 2 FROM spots)
+    GROUP BY doc_id),
+top AS (SELECT doc_id, max(n) AS n FROM (SELECT doc_id, word, count(*) AS n FROM tokens GROUP BY doc_id, word) GROUP BY doc_id),
+kept_lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)),
+    lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS kept_lines FROM docs),
+measured AS (SELECT d.doc_id, CAST(len(s.words) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(d.text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(d.text) - length(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l.kept_lines) - len(list_distinct(l.kept_lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, len(l.kept_lines) AS n_lines,
+    length(d.text) - length(regexp_replace(d.text, '[A-Z]', '', 'g')) AS n_upper,
+    length(d.text) - length(regexp_replace(d.text, '[A-Za-z]', '', 'g')) AS n_letters,
+    length(d.text) - length(replace(d.text, '!', '')) AS n_exclaims, coalesce(t.n, 0) AS top_word
+    FROM docs d JOIN split s ON d.doc_id = s.doc_id JOIN kept_lines l ON d.doc_id = l.doc_id
+    LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN top t ON d.doc_id = t.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    {_failed_sql('base')} AS base_failed, NOT ({_failed_sql('v2')}) AS kept FROM measured"""
