@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from replyloom.functions import fixed_values as fixed
 from replyloom.functions import scores as S
 from replyloom.functions.text import strip_think_tokens
-from replyloom.operators import scoring
+from replyloom.operators import analysis, scoring
 
 GOOD = '{"correctness": 40, "logic": 20, "clarity": 10, "completeness": 8, "total_score": 78}'
 
@@ -164,6 +164,15 @@ def test_each_text_is_searched_once(spark):
     assert plan.count("parseJson") == 3  # tag, braces, scan
 
 
+def test_best_and_worst_come_from_one_search(spark):
+    names = "original_idx bigint, output_idx int, question string, reference_answer string, model_answer string, response string"
+    rows = spark.createDataFrame([(1, 0, "q", "r", "m", GOOD)], names)
+    found = analysis.best_worst(scoring.ok_rows(scoring.score_responses(rows)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(re.escape("<think>.*?</think>"), plan)) == 1 and "Join" not in plan
+    assert found.first().num_answers == 1
+
+
 @pytest.mark.parametrize(
     "piece",
     ["<result>{ ", '{"correctness": 1 ', "<think> x", "<|begin_of_thought|> ", '{ "total_score" ', "<result> ", "</result>{", "} \n\n", '"correctness"{'],
