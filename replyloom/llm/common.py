@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 #: ``bytes.split()`` splits at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
+OTHER_SPACES = r"[\x09-\x0D]"
 SPACE_BYTES = b" \t\n\r\x0b\f"
 
 
@@ -20,8 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def words(text: Column) -> Column:
-    """The words of a text; of a null, none."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
+    """The words of a text; of a null, none. Where blanks are the only whitespace, no regular
+    expression is needed to split."""
+    whole = F.coalesce(text, F.lit(""))
+    parts = F.when(whole.rlike(OTHER_SPACES), F.split(whole, SPACES)).otherwise(F.split(whole, " "))
+    return F.array_remove(parts, "")
 
 
 def word_count(text: Column) -> Column:

@@ -41,20 +41,21 @@ def masked(line: Column) -> Column:
 
 def tree_lines(docs: DataFrame, text: str, key: str, depth: int, min_words: int) -> DataFrame:
     """``text_id, key, pos, line`` and the leaf ``(n, lead)`` of every line that can count."""
-    lines = docs.select(
-        text_key(F.col(text)).alias("text_id"),
-        F.col(key).alias("key"),
-        F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)).alias("pos", "line"),
+    # One chain per text and one generator: nothing is pushed below it and computed again.
+    raw = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+    split = F.transform(F.transform(raw, masked), lambda x: F.struct(x.alias("line"), words(x).alias("words")))
+    placed = F.transform(
+        split,
+        lambda x: F.struct(
+            x["line"].alias("line"),
+            F.size(x["words"]).alias("n"),
+            F.xxhash64(F.slice(x["words"], 1, depth)).alias("lead"),
+        ),
     )
-    parts = lines.withColumn("line", masked(F.col("line"))).withColumn("words", words(F.col("line")))
-    return parts.where(F.size("words") >= min_words).select(
-        "text_id",
-        "key",
-        "pos",
-        F.array_join("words", " ").alias("line"),
-        F.size("words").alias("n"),
-        F.xxhash64(F.slice("words", 1, depth)).alias("lead"),
+    rows = docs.select(
+        text_key(F.col(text)).alias("text_id"), F.col(key).alias("key"), F.posexplode(placed).alias("pos", "x")
     )
+    return rows.where(F.col("x.n") >= min_words).select("text_id", "key", "pos", "x.line", "x.n", "x.lead")
 
 
 def dropped_lines(
@@ -70,7 +71,8 @@ def dropped_lines(
     lines = tree_lines(docs, text, key, depth, min_words)
     leaf = ["n", "lead"]
     full = lines.groupBy(*leaf).count().where(F.col("count") >= min_docs).select(*leaf)
-    held = materialize(lines.join(full, leaf, "left_semi"), "lines")
+    words_only = F.array_join(words(F.col("line")), " ")
+    held = materialize(lines.join(full, leaf, "left_semi").withColumn("line", words_only), "lines")
 
     # Equal lines once, with the number of texts that hold them.
     by_text = held.groupBy(*leaf, "line", "text_id").agg(F.min("key").alias("key"))
