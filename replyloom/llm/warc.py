@@ -57,8 +57,8 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if re.match(r"\w+:/", path) else (fs.LocalFileSystem(), path)
 
 
-def sharded(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int, shard_bytes: int) -> DataFrame:
-    """All records, and a mark for each that is a revisit, with their shard."""
+def sharded(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int, shard_bytes: int) -> tuple[DataFrame, int]:
+    """All records, and a mark for each that is a revisit, with their shard; and the number of shards."""
     data = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     rows = pages.select(
         F.col(key).cast("long").alias("key"),
@@ -77,7 +77,7 @@ def sharded(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int,
     bucket = F.coalesce(F.floor((F.col("key") - F.lit(low)) / F.lit(width)), F.lit(0)).cast("int")
     filled = narrow.groupBy(bucket.alias("bucket")).agg(F.sum(F.col("n_bytes") + 512).alias("bytes"))
     upto = F.sum("bytes").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    shards = filled.select("bucket", F.floor(F.coalesce(upto, F.lit(0)) / shard_bytes).alias("shard"))
+    shards = materialize(filled, "buckets").select("bucket", F.floor(F.coalesce(upto, F.lit(0)) / shard_bytes).alias("shard"))
     # Payloads cross the network once, to their shard. What refers to an earlier record is found
     # from narrow rows and sent along as a mark that sorts right before the record.
     again = firsts.where("n > 1").select("digest", "first")
@@ -90,7 +90,8 @@ def sharded(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int,
     records = rows.select("key", "digest", "url", "payload", F.lit(None).cast("long").alias("refers_to"))
     either = records.unionByName(marks, allowMissingColumns=True).withColumn("bucket", bucket)
     # One row per bucket at most: a table of bounded size.
-    return either.join(F.broadcast(shards), "bucket").drop("bucket")
+    count = (shards.agg(F.max("shard")).first()[0] or 0) + 1
+    return either.join(F.broadcast(shards), "bucket").drop("bucket"), count
 
 
 def with_references(rows: Iterator[dict]) -> Iterator[dict]:
@@ -166,8 +167,8 @@ def write(
                 yield name, shard, count, size, digest.hexdigest()
                 number += 1
 
-    rows = sharded(pages, key, url, payload, min_bytes, shard_bytes)
-    order = rows.repartition("shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "digest", F.col("refers_to").asc_nulls_last(), "url")
+    rows, shards = sharded(pages, key, url, payload, min_bytes, shard_bytes)
+    order = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "digest", F.col("refers_to").asc_nulls_last(), "url")
     map_rows(order, archive, MANIFEST).write.parquet(f"{folder}/manifest")
     return pages.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
