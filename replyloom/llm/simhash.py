@@ -125,7 +125,13 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", shingl
     digest = text_key(F.col(text))
     chosen = docs.select(F.col(key).alias("key"), digest.alias("digest"), F.col(text).alias("text"))
     _, members = _members(chosen, "text", ("key", "digest"), shingle)
-    kept = members.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    kept = members.groupBy("root").agg(F.min("first").alias("first")).select("first.key", "first.digest")
+    return first_rows(docs, kept, text, key)
+
+
+def first_rows(docs: DataFrame, kept: DataFrame, text: str, key: str) -> DataFrame:
+    """One row of ``docs`` for each ``(key, digest)`` of ``kept``."""
+    digest = text_key(F.col(text))
     rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("row_key"), digest.alias("row_digest"))
     found = rows.join(kept, F.expr("row_key <=> key and row_digest = digest"))
     copy = F.row_number().over(Window.partitionBy("row_key", "row_digest").orderBy("row_key"))
