@@ -7,8 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replyloom.llm import classifier, decontamination, licenses, lines, mixing, passages, rules, simhash, substrings, warc
-from replyloom.llm.common import table
+from replyloom.llm import (
+    classifier,
+    decontamination,
+    licenses,
+    lines,
+    mixing,
+    passages,
+    periods,
+    rules,
+    simhash,
+    substrings,
+    tokenfiles,
+    warc,
+)
+from replyloom.llm.common import table, words
 from replyloom.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,3 +211,45 @@ measured AS (SELECT d.doc_id, CAST(len(s.words) AS BIGINT) AS n_words,
     LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN top t ON d.doc_id = t.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     {_failed_sql('base')} AS base_failed, NOT ({_failed_sql('v2')}) AS kept FROM measured"""
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` where the text of about every tenth id repeats some of its own words to its end."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", words(F.col("text")).alias("words"), hashed.alias("h"))
+    numbers = rows.withColumns({"n": F.size("words"), "g": F.floor(F.col("h") / 10)})
+    places = numbers.withColumn("a", F.expr("if(n > 0, cast(g % n as int), 0)"))
+    places = places.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    repeated = "slice(flatten(array_repeat(slice(words, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)"
+    planted = F.expr(f"array_join(concat(slice(words, 1, a), {repeated}), ' ')")
+    return places.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every document, the strongest of them, and what is left without repeats."""
+    found = periods.find_periods(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = periods.strongest_run(F.col("runs"))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    rows = found.withColumns({"best": best, "listed": F.array_join(F.transform(listed, lambda r: F.concat(r, F.lit("\n"))), "")})
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as the token files give it back."""
+    import public_tokenizers
+
+    encoding = tokenfiles.Encoding(public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return tokenfiles.round_trip(table(spark, sf_dir, "documents"), encoding).select(
+        F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
