@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,21 @@ def text_key(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")))
 
 
+def mix64(x: np.ndarray) -> np.ndarray:
+    """64 bits that depend on all bits of each number (the finalizer of splitmix64)."""
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def join64(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """64 bits that stand for pairs of such."""
+    return mix64(left * np.uint64(0x9E3779B97F4A7C15) + right)
+
+
 def map_rows(
     df: DataFrame, function: Callable[[Iterator[dict]], Iterable[tuple]], schema: str
 ) -> DataFrame:

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from replyloom.llm.common import join64, mix64
+
 #: A run has this many words and periods at least.
 LEAST, REPEATS = 24, 3
 #: Periods up to here are found by direct comparison.
@@ -43,20 +45,6 @@ FOUND = f"struct<n_words:bigint,runs:{RUNS},collapsed:string>"
 Run = tuple[int, int, int]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """64 bits that depend on all bits of each number (the finalizer of splitmix64)."""
-    x = x ^ (x >> np.uint64(30))
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
-
-
-def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return _mixed(left * np.uint64(0x9E3779B97F4A7C15) + right)
-
-
 def _sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     """The least or greatest of each ``width`` neighbours."""
     spread, done = values, 1
@@ -144,16 +132,16 @@ def _search(x: np.ndarray, upto: list[int], sizes: list[int], least: int, repeat
             for i in np.flatnonzero(length >= need - q).tolist():
                 add(int(first[i]), int(first[i] + length[i]), q)
 
-    power, hashes = 1, _mixed(x.astype(np.uint64))
+    power, hashes = 1, mix64(x.astype(np.uint64))
     for low, k in scales(sizes[0] // repeats if sizes else 0):
         end = long_enough(max(least, repeats * (low + 1)))
         while power * 2 <= k:
-            hashes = _joined(hashes[:-power], hashes[power:])
+            hashes = join64(hashes[:-power], hashes[power:])
             power *= 2
         size = end - k + 1
         if size < 1:
             break
-        h = _joined(hashes[:size], hashes[k - power : k - power + size])
+        h = join64(hashes[:size], hashes[k - power : k - power + size])
         places, distances = _pairs(h, low, k)
         seen, q = 0, 0
         for i in np.lexsort((places, distances)).tolist():

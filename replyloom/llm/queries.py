@@ -15,6 +15,7 @@ from replyloom.llm import (
     mixing,
     passages,
     periods,
+    phrases,
     rules,
     simhash,
     substrings,
@@ -253,3 +254,34 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(table(spark, sf_dir, "documents"), encoding).select(
         F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest collocations of two and three words of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_collocations"] = rf"""
+WITH docs AS (SELECT doc_id, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, doc_id, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+lists AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+grams AS (SELECT lang, s AS size, array_to_string(w[i : i + s - 1], ' ') AS phrase
+    FROM spots, (VALUES (1), (2), (3)) AS sizes(s) WHERE i + s - 1 <= len(w)),
+counts AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY lang, size, phrase),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= {phrases.SUPPORT}),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 : size], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)),
+cut_scores AS (SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+    CAST((CAST({phrases.SCALE} AS HUGEINT) * c.a * c.a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cuts c JOIN counts x ON c.lang = x.lang AND c.head = x.phrase JOIN counts y ON c.lang = y.lang AND c.rest = y.phrase),
+best AS (SELECT * FROM cut_scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_pairs AS (SELECT lang, array_to_string(w[i : i + 1], ' ') AS phrase, max(a) AS around
+    FROM (SELECT *, unnest([1, 2]) AS i FROM candidates WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inner_pairs p ON b.lang = p.lang AND b.phrase = p.phrase
+    WHERE p.around IS NULL OR 100 * p.around < {phrases.INSIDE_PERCENT} * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM ranked r JOIN totals t ON r.lang = t.lang WHERE r.rank <= {phrases.TOP}"""
