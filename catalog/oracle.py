@@ -432,6 +432,9 @@ SELECT id, concat_ws('|', a, b, c) AS responses,
         "stream_answers": f"WITH {TURNS}, {NORMAL}, {LAST}, {ASKED} SELECT id, 'answer ' || md5(prompt) AS response FROM asked",
         "judge_scores": _GIVEN_SCORES,
         "judge_resumed": _GIVEN_SCORES,
+        "judge_repeated_idx": f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {PREPARED}, {VERDICTS} SELECT original_idx, md5(question) AS question_md5,
+  'output_' || output_idx AS output_name, CAST({' + '.join(DIMS)} AS DOUBLE) AS total_score, digest AS brief_comment
+  FROM given WHERE digest[1] <> '0'""",
         "judge_retried": f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {PREPARED}, {VERDICTS} SELECT original_idx, output_idx,
   CASE WHEN digest[1] = '0' THEN '{fixed.NO_SCORE_STRICT}' END AS error FROM given""",
         "judge_refused": f"""WITH {TURNS}, {CONTEXT}, {RESPONSES}, {PREPARED}, {VERDICTS} SELECT original_idx, output_idx,

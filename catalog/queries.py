@@ -186,8 +186,9 @@ def top_spread(spark, sf_dir):
 
 
 def aggregated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = scoring.score_responses(fixtures.judged(spark, sf_dir), "strict")
-    return analysis.aggregate_scores(scoring.ok_rows(scored), PREFIX)
+    scored = scoring.score_responses(fixtures.responses(spark, sf_dir), "strict")
+    context = records.judge_context(fixtures.conv_nested(spark, sf_dir))
+    return analysis.aggregate_scores(scoring.ok_rows(scored), PREFIX, context=context)
 
 
 @query
@@ -814,6 +815,20 @@ def judge_refused(spark, sf_dir):
     )
 
 
+@query
+def judge_repeated_idx(spark, sf_dir):
+    """Every question comes twice, first with other answers; scores and question are of the last."""
+    wide = fixtures.judge_wide(spark, sf_dir)
+    names = [f"{PREFIX}{i}" for i in range(shapes.CANDIDATES)]
+    other = wide.withColumns({a: F.concat(F.lit("other "), F.col(b)) for a, b in zip(names, reversed(names))})
+    asked = C.message(F.lit("human"), F.lit("another question"))
+    other = other.withColumn("conversations", F.concat("conversations", F.array(asked)))
+    both = other.withColumn("line", F.lit(0)).unionByName(wide.withColumn("line", F.lit(1)))
+    scores, _ = run_judge(both, models.DigestJudge(), n_examples=shapes.CANDIDATES, prefix=PREFIX, template=TEMPLATE)
+    rows = scores.select("original_idx", digest("question"), F.explode("scores").alias("output_name", "score"))
+    return rows.select("original_idx", "question_md5", "output_name", "score.total_score", "score.brief_comment")
+
+
 @query
 def preference_scored(spark, sf_dir):
     scored = run_preference(fixtures.judged(spark, sf_dir)).scored

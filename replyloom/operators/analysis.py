@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from ..functions import fixed_values as fixed
 from ..functions.scores import SCORE
+from ..session import ROW, number_rows
 
 _SCORES = f"map<string,{SCORE}>"
 
@@ -37,28 +38,31 @@ def aggregate_scores(
 
     A repeated output takes its last scores in ``order_by``. Question and reference come
     from ``context`` (one row per ``original_idx``, such as
-    :func:`~replyloom.operators.records.judge_context` of the source), so that only scores
-    are grouped; without it from the rows' own columns, of the lowest output.
+    :func:`~replyloom.operators.records.judge_context` of the source), without it from
+    :func:`context_of` the rows themselves. Either way only scores are grouped.
     """
+    if context is None:
+        scored = number_rows(scored, "scored")
+        context = context_of(scored)
     texts = ("question", "reference_answer")
     order = F.struct(*order_by, "scores")
-    kept = [F.max_by("scores", order).alias("scores")]
-    if context is None:
-        kept.append(F.min(F.struct(*texts)).alias("context"))
-    outputs = scored.groupBy("original_idx", "output_idx").agg(*kept)
+    outputs = scored.groupBy("original_idx", "output_idx").agg(F.max_by("scores", order).alias("scores"))
     name = F.concat(F.lit(prefix), F.col("output_idx").cast("string"))
     entry = F.struct(name.alias("key"), F.col("scores").alias("value"))
-    grouped = [F.collect_list(entry).alias("entries")]
-    if context is None:
-        grouped.append(F.min_by("context", "output_idx").alias("context"))
-    questions = outputs.groupBy("original_idx").agg(*grouped)
+    questions = outputs.groupBy("original_idx").agg(F.collect_list(entry).alias("entries"))
     scores = F.map_from_entries(F.array_sort("entries")).alias("scores")
-    if context is None:
-        return questions.select("original_idx", *[f"context.{t}" for t in texts], scores)
     joined = questions.join(context.select("original_idx", *texts), "original_idx", "left")
     return joined.select("original_idx", *texts, scores)
 
 
+def context_of(scored: DataFrame) -> DataFrame:
+    """``original_idx, question, reference_answer`` as the lowest output of each question has them."""
+    rows = number_rows(scored, "scored")
+    lowest = rows.groupBy("original_idx").agg(F.min(F.struct("output_idx", ROW)).alias("lowest"))
+    picked = lowest.select("original_idx", F.col(f"lowest.{ROW}").alias(ROW))
+    return picked.join(rows.select(ROW, "question", "reference_answer"), ROW).drop(ROW)
+
+
 def explode_scores(aggregated: DataFrame) -> DataFrame:
     """Scores map to one row per (question, output)."""
     return aggregated.select(
@@ -92,11 +96,11 @@ def list_scores(runs: Column) -> Column:
     )
 
 
-def _answer(output: Column) -> Column:
+def _answer(output: str) -> Column:
     return F.struct(
-        output["output_idx"].alias("output_idx"),
-        output["model_answer"].alias("answer"),
-        output["scores"].alias("scores"),
+        F.col(f"{output}.output_idx").alias("output_idx"),
+        F.col(f"{output}.model_answer").alias("answer"),
+        F.col(f"{output}.scores").alias("scores"),
     )
 
 
@@ -105,41 +109,46 @@ def best_worst(
 ) -> DataFrame:
     """Best and worst answer of each question, with all totals unless told not to.
 
-    Among equal totals the best is the first and the worst the last in ``order_by``.
-    Either way the rows are read once. Without ``all_scores`` one grouping sends at most two
-    answers per question from each map task; with it, answers are first grouped by question
-    and total, and the ends of these and the counts make up a question. The list has one
-    entry per different total.
+    Among equal totals the best is the first and the worst the last in ``order_by``. Only
+    totals, positions and row numbers are grouped; texts are fetched for the two rows of each
+    question. For that the rows are written, unless :func:`~replyloom.session.number_rows` has
+    done so before. ``all_scores`` has one entry per different total.
     """
-    row = F.struct("output_idx", "model_answer", "scores", "question", "reference_answer")
-    position = F.struct(*order_by)
+    rows = number_rows(scored, "scored")
+    position = F.struct(*order_by, ROW)
+    narrow = rows.select("original_idx", _total().alias("total_score"), position.alias("position"))
     if all_scores:
-        per_total = scored.groupBy("original_idx", _total().alias("total_score")).agg(
-            F.min_by(row, position).alias("first"),
-            F.max_by(row, position).alias("last"),
-            F.count(F.lit(1)).alias("answers"),
+        per_total = narrow.groupBy("original_idx", "total_score").agg(
+            F.min("position").alias("first"), F.max("position").alias("last"), F.count(F.lit(1)).alias("answers")
         )
         runs = F.sort_array(F.collect_list(F.struct("total_score", "answers")), asc=False)
-        rows = per_total.groupBy("original_idx").agg(
+        ends = per_total.groupBy("original_idx").agg(
             F.max_by("first", "total_score").alias("best"),
             F.min_by("last", "total_score").alias("worst"),
             F.sum("answers").alias("num_answers"),
             runs.alias("all_scores"),
         )
     else:
-        rows = scored.groupBy("original_idx").agg(
-            F.min_by(row, F.struct(-_total(), position)).alias("best"),
-            F.max_by(row, F.struct(-_total(), position)).alias("worst"),
+        order = F.struct(-F.col("total_score"), "position")
+        ends = narrow.groupBy("original_idx").agg(
+            F.min_by("position", order).alias("best"),
+            F.max_by("position", order).alias("worst"),
             F.count(F.lit(1)).alias("num_answers"),
         )
+    answer = F.struct("output_idx", "model_answer", "scores")
+    best = rows.select(F.col(ROW).alias("_best"), "question", "reference_answer", answer.alias("best"))
+    worst = rows.select(F.col(ROW).alias("_worst"), answer.alias("worst"))
     listed = ["all_scores"] if all_scores else []
-    return rows.select(
+    ends = ends.select(
+        "original_idx", "num_answers", *listed, F.col(f"best.{ROW}").alias("_best"), F.col(f"worst.{ROW}").alias("_worst")
+    )
+    return ends.join(best, "_best").join(worst, "_worst").select(
         "original_idx",
-        "best.question",
-        "best.reference_answer",
+        "question",
+        "reference_answer",
         "num_answers",
-        _answer(F.col("best")).alias("best_answer"),
-        _answer(F.col("worst")).alias("worst_answer"),
+        _answer("best").alias("best_answer"),
+        _answer("worst").alias("worst_answer"),
         (F.col("best.scores.total_score") - F.col("worst.scores.total_score")).alias("score_range"),
         *listed,
     )

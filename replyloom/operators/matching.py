@@ -16,6 +16,7 @@ from ..functions import conversations as C
 from ..functions import fixed_values as fixed
 from ..functions.prompts import is_short
 from ..functions.text import py_strip, strip_think_tokens
+from ..session import ROW, number_rows
 from .records import compute_once, optional, with_original_idx
 
 NULL_KEY_SPREAD = 1024
@@ -75,14 +76,18 @@ def one_per_key(df: DataFrame, key: str, order_by: Sequence[str] | None = None)
     """The last row of each key, the empty one included.
 
     The order is ``order_by``, else where the rows were read. Rows that do not know where
-    they were read are ordered by their hash, and of equal rows one stays.
+    they were read are ordered by their hash, and of equal rows one stays; they are written
+    once with their hash and number, so that both are decided on these alone.
     """
     known = next((p for p in POSITIONS if set(p) <= set(df.columns)), None)
     if order_by or known:
         return keep_one(df, key, order_by or known, last=True, empty_is_key=True)
     hashable = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
-    placed = df.withColumn("_row", F.xxhash64(*hashable))
-    return keep_one(placed, key, ["_row"], last=True, empty_is_key=True).drop("_row").dropDuplicates([key])
+    placed = number_rows(df.withColumn("_hash", F.xxhash64(*hashable)), "sources")
+    keyed = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    last = placed.groupBy(keyed.alias("_key")).agg(F.max(F.struct("_hash", ROW)).alias("_last"))
+    kept = last.select(F.col(f"_last.{ROW}").alias(ROW))
+    return placed.join(kept, ROW, "left_semi").select(*df.columns)
 
 
 def _answers(output: DataFrame, clean: Callable[[Column], Column]) -> DataFrame:

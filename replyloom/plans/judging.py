@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions.prompts import Template
 from ..operators import analysis, inference, matching, records, scoring
-from ..session import materialize
+from ..session import ROW, materialize, number_rows
 from ..sources.jsonl import as_bad_lines
 
 JUDGE_KEYS = ("original_idx", "output_idx")
@@ -65,15 +65,19 @@ def run_judge(
 ) -> tuple[DataFrame, DataFrame]:
     """Prepare, judge, extract strictly: ``(scores per question, failed rows)``.
 
-    ``prepared`` reuses written prompts; ``done`` holds responses of an earlier run, of
-    which one per key counts, and with ``merge_only`` no others are asked for. Calls that
-    failed are failed rows, with the error of the call.
+    Of rows that share an ``original_idx`` the last counts, see
+    :func:`~replyloom.operators.matching.one_per_key`. ``prepared`` reuses written prompts, one
+    per key; ``done`` holds responses of an earlier run, of which one per key counts, and with
+    ``merge_only`` no others are asked for. Calls that failed are failed rows, with the error of
+    the call.
     """
     given = prepared
+    # Of rows that share an original_idx one is prepared, judged and reported.
+    source = matching.one_per_key(records.with_original_idx(df), "original_idx")
     if done is not None:
         done = matching.succeeded(done).groupBy(*JUDGE_KEYS).agg(F.max("response").alias("response"))
     if prepared is None:
-        prepared = records.prepare_judge(df, n_examples, prefix, template)
+        prepared = records.prepare_judge(source, n_examples, prefix, template)
     if merge_only:
         responses = earlier(done, JUDGE_KEYS)
     else:
@@ -86,7 +90,6 @@ def run_judge(
     known = scored.where(F.col("error").isNull()).select(*JUDGE_KEYS, "scores")
     if done is not None:
         known = known.join(prepared.select(*JUDGE_KEYS), list(JUDGE_KEYS), "left_semi")
-    source = matching.one_per_key(records.with_original_idx(df), "original_idx")
     context = records.judge_context(source)
     scores = analysis.aggregate_scores(known, prefix, context=context)
     failed = scoring.failed_prepared(scored)
@@ -126,12 +129,12 @@ def run_preference(
         # Only failed rows need what was searched again.
         bad_row = F.col("error").isNotNull()
         seen = {c: F.when(bad_row, F.col(c)) for c in ("response", "extracted")}
-        scored = materialize(scored.withColumns(seen), "scored")
+        scored = number_rows(scored.withColumns(seen), "scored")
     ok, failed = scoring.split_ok_failed(scored)
     if bad is not None:
         failed = failed.unionByName(as_bad_lines(bad), allowMissingColumns=True)
     return PreferenceResult(
-        scored=ok,
+        scored=ok.drop(ROW),
         failed=failed,
         best_worst=analysis.best_worst(ok, order_by),
         summary=analysis.best_worst_summary(ok),

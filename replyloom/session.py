@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Number of a row of a written frame, see :func:`number_rows`.
+ROW = "_row"
 
 # Settings that may be changed in a running session.
 RUNTIME_SETTINGS = {
@@ -28,9 +33,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``, else one in the
-    session's warehouse, which all executors and the driver reach as well."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where everything runs on this machine the session's warehouse does as well; on a cluster
+    its default is a folder of the driver's own, so there the setting is required.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    local = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+    if not root and not local:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
@@ -48,3 +59,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def number_rows(df: DataFrame, label: str) -> DataFrame:
+    """:func:`materialize` with a number for each row, :data:`ROW`, that stays what it is.
+
+    Groupings then carry this number instead of texts, and fetch the texts of the rows that they
+    picked with a join. Frames that have it already are taken as they are.
+    """
+    if ROW in df.columns:
+        return df
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), label)

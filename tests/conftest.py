@@ -41,3 +41,16 @@ def column(spark):
         return [r.out for r in rows.select("i", function(F.col("v")).alias("out")).orderBy("i").collect()]
 
     return apply
+
+
+@pytest.fixture(scope="session")
+def grouped_columns():
+    """Names of the columns that reach any aggregate of a frame's plan."""
+    import re
+
+    def find(df):
+        plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        parts = re.findall(r"\(\d+\) \w*Aggregate\b.*?\nInput(?: \[\d+\])?: \[(.*?)\]\n", plan, re.S)
+        return {re.sub(r"#\d+L?$", "", c.strip()) for p in parts for c in p.split(",")}
+
+    return find
