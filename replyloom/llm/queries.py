@@ -250,7 +250,7 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as the token files give it back."""
     import public_tokenizers
 
-    encoding = tokenfiles.Encoding(public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    encoding = tokenfiles.Encoding(public_tokenizers.path("word_bpe_49k.json"), end_id=2, folds=True)
     return tokenfiles.round_trip(table(spark, sf_dir, "documents"), encoding).select(
         F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )

@@ -32,8 +32,10 @@ import json
 import os
 import re
 import struct
+import sys
 import uuid
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,11 +51,18 @@ FRAME_IDS = 1 << 15
 INDEX_ROWS = 1 << 14
 #: A file is closed after so many ids, and a task gets about so many bytes of text.
 FILE_IDS = 1 << 24
-TASK_BYTES = 32 << 20
+TASK_BYTES = 64 << 20
 #: Texts are encoded in blocks of this many bytes; a task remembers the ids of so many words.
-BLOCK, WORDS = 1 << 20, 1 << 17
+BLOCK, WORDS = 1 << 20, 1 << 20
 LEVEL = 3
 
+#: Lower-case letters up to U+00FF, which no normalization changes, and marks behind them.
+LATIN_AND_MARKS = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
+#: Byte-level tokenizers write a byte as the letter of that number, and those that are no visible
+#: letter, in their order, as the letters from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - _VISIBLE))}
+
 SKIPPABLE, SEEK_TABLE, SEEK_END = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 INDEX_ROW = np.dtype([("key", "<i8"), ("known", "u1"), ("n", "<u8")])
 DESCRIPTION = ("ids", "documents", "bytes_per_id", "data_frames", "index_frames")
@@ -69,20 +78,37 @@ def store_of(path: str) -> tuple[fs.FileSystem, str]:
 
 @dataclass(frozen=True)
 class Encoding:
-    """A tokenizer file, the id that ends a document, and whether white space only separates.
+    """A tokenizer file, the id that ends a document, and what its words may be cut at.
 
     With ``by_word`` a text is cut at ASCII white space and the ids of a word are remembered,
-    which is right for tokenizers that drop white space and never look beyond it.
+    which is right for tokenizers that drop white space and never look beyond it. With ``folds``
+    ASCII letters are lower-cased before, so that there are fewer different words; marks behind
+    Latin letters are encoded apart from them, and such letters go to the tokenizer's model as
+    the one byte-level piece that they are: right for tokenizers that do all this themselves.
+    Texts that may hold a special token, which begins with ``special``, are left as they are.
     """
 
     path: str
     end_id: int
     by_word: bool = True
+    folds: bool = False
+    special: bytes = b"<|"
 
     def open(self) -> Encoder:
         return Encoder(self)
 
 
+class Known(dict):
+    """Ids of words, found when a word is first asked for."""
+
+    def __init__(self, find: Callable[[bytes], bytes]):
+        self.find = find
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self[word] = self.find(word)
+        return found
+
+
 class Encoder:
     """Ids of texts, as little-endian bytes in blocks, the end id last."""
 
@@ -93,29 +119,43 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(encoding.path)
         highest = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, encoding.end_id)
         self.width = 2 if highest < 1 << 16 else 4
+        self.kind = "H" if self.width == 2 else "I"
         self.end = self._bytes([encoding.end_id])
-        self.by_word = encoding.by_word
-        self.known: dict[bytes, bytes] = {}
+        self.encoding = encoding
+        self.known = Known(self._word)
 
     def _bytes(self, ids: list[int]) -> bytes:
-        return np.asarray(ids, f"<u{self.width}").tobytes()
-
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        decoded = [t.decode("utf-8", "replace") for t in texts]
-        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch(decoded, add_special_tokens=False)]
+        packed = array(self.kind, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _folded(self, block: bytes) -> bytes:
+        if not self.encoding.folds or self.encoding.special in block:
+            return block
+        return block.lower()
+
+    def _encode(self, text: bytes) -> bytes:
+        return self._bytes(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
+    def _word(self, word: bytes) -> bytes:
+        plain = self.encoding.folds and LATIN_AND_MARKS.fullmatch(word.decode("utf-8", "replace"))
+        if not plain:
+            return self._encode(word)
+        letters, marks = plain.groups()
+        if marks:
+            return self.known[letters.encode()] + self.known[marks.encode()]
+        piece = letters.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return self._bytes([t.id for t in self.tokenizer.model.tokenize(piece)])
 
     def __call__(self, text: bytes | None) -> Iterator[bytes]:
-        if not self.by_word:
-            yield from self._encode([text or b""])
-        for block in blocks(text or b"") if self.by_word else ():
-            words = block.split()
-            new = list(set(words).difference(self.known))
-            if new:
-                if len(self.known) + len(new) > WORDS:
-                    self.known.clear()
-                    new = list(set(words))
-                self.known.update(zip(new, self._encode(new), strict=True))
-            yield b"".join(map(self.known.__getitem__, words))
+        by_word = self.encoding.by_word
+        if not by_word:
+            yield self._encode(text or b"")
+        for block in blocks(text or b"") if by_word else ():
+            if len(self.known) > WORDS:
+                self.known.clear()
+            yield b"".join(map(self.known.__getitem__, self._folded(block).split()))
         yield self.end
 
 

@@ -16,7 +16,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 tokenizers = pytest.importorskip("tokenizers")
 vocabularies = pytest.importorskip("public_tokenizers")
 PATH = vocabularies.path("word_bpe_49k.json")
-ENCODING = tokenfiles.Encoding(PATH, end_id=2)
+ENCODING = tokenfiles.Encoding(PATH, end_id=2, folds=True)
 
 
 @pytest.fixture(scope="module")
@@ -25,11 +25,14 @@ def reference():
     return lambda text: [*model.encode(text or "", add_special_tokens=False).ids, 2]
 
 
-def test_words_are_encoded_as_in_the_whole_text(reference, odd_texts):
-    encoder = ENCODING.open()
+@pytest.mark.parametrize("folds", [False, True])
+def test_words_are_encoded_as_in_the_whole_text(reference, odd_texts, folds):
+    encoder = tokenfiles.Encoding(PATH, 2, folds=folds).open()
     tricky = [
         "I'll can't 'S  x's y　z \x1c a\x0bb\x0cc", "<|endoftext|> a<|startoftext|>b", "é ́ öne ΑΣ Σ ΣΑΣ",
         "12345 a1b2 ...!? <p>", "ﬁ \U0001f600‍ x y", "à\ńb", "\x00 \x00a",
+        "It's. 's, a.b... c!?d 'S,'s;'re: A.B.C. <|ENDOFTEXT|>", "x<|endoftext|>. Y, Z", "É, é. à; K. İ! ſ,",
+        " ".join(map(chr, range(33, 0x180))), "".join(map(chr, range(0xDF, 0x100))), "ærø, ß: ªº aªb. naïveté...",
     ]
     for text in [*odd_texts, *tricky]:
         found = np.frombuffer(b"".join(encoder((text or "").encode())), f"<u{encoder.width}").tolist()
