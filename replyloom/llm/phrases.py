@@ -1,13 +1,14 @@
 """Collocations: phrases that recur, ranked by how much their words belong together.
 
-Frequent phrases are found by partitioning (SON). Rows are dealt to ``shards`` once and written.
+Frequent phrases are found by partitioning (SON). Rows are dealt to ``shards`` once and written, as
+blocks of numbered words that all later passes read.
 Each shard is mined completely, level by level, at a support lowered to its share of all words: a
 phrase with ``support`` occurrences has that share of them in one shard at least, so the union of
 what is frequent in some shard holds all of them. A second pass counts these candidates, by their
 text, over all rows, which alone decides.
 
-A shard is no task: its rows are read by any number of tasks, which count words as numbers in
-blocks and send one row per block and different phrase; a common phrase is no single task's work.
+A shard is no task: its blocks are read by any number of tasks, which send one row per block and
+different phrase; a common phrase is no single task's work.
 A level sends only phrases whose two parts without the last and without the first word are
 frequent in the shard. What is frequent is looked up in a bitmap of 64-bit hashes, of 16 bits an entry
 and :data:`MOST_BITS` at most: hashes that meet, and bitmaps that fill up on very large input, let
@@ -27,9 +28,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from replyloom.llm.common import join64
 from replyloom.session import materialize
@@ -39,9 +42,7 @@ SUPPORT, LONGEST, SHARDS, TOP = 10, 3, 4, 2000
 INSIDE_PERCENT = 50
 SCALE = 1_000_000
 #: Words counted together, and bytes of a text that are split together.
-WORDS, BLOCK = 1 << 21, 1 << 20
-#: Different words whose numbers a task remembers.
-KNOWN = 1 << 20
+WORDS, BLOCK = 1 << 20, 1 << 20
 #: Size of the largest bitmap as a power of two: 32 MB.
 MOST_BITS = 28
 SEGMENT = 15
@@ -111,24 +112,84 @@ def bitmap(rows: DataFrame, key: Column, most: int = MOST_BITS) -> Bitmap:
 
 # -- blocks of words ------------------------------------------------------------------
 
+#: Consecutive words of many texts of one shard: their languages, how many words in a row have
+#: which, the different words, and which of them follow each other. The first of the different
+#: words is BREAK; the first ``counted`` words were in the block before, too.
+BLOCK_ROW = "shard int, langs array<string>, runs binary, words binary, ids binary, counted int"
 
-class Block:
-    """Consecutive words of many texts as numbers, 0 between pieces.
 
-    ``counted`` is where the words begin that no earlier block held; phrases that end before
-    it were counted there.
-    """
+def cut_blocks(batches: Iterator[pa.RecordBatch], overlap: int, size: int) -> Iterator[dict]:
+    """Rows of :data:`BLOCK_ROW` from rows of ``lang, shard, text``."""
+    numbers: defaultdict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    langs: dict[str, int] = {}
+    ids: list[np.ndarray] = []
+    runs: list[tuple[int, int]] = []
+    held = counted = shard = 0
+
+    def start(last: list[bytes], lang: str) -> None:
+        nonlocal held, counted
+        numbers.clear()
+        numbers[BREAK] = 0
+        langs.clear()
+        langs[lang] = 0
+        ids[:] = [np.array([numbers[w] for w in last], "<u4")]
+        runs[:] = [(0, len(last))]
+        held = counted = len(last)
+
+    def block() -> dict:
+        return {
+            "shard": shard,
+            "langs": list(langs),
+            "runs": np.array(runs, "<i4").tobytes(),
+            "words": b" ".join(numbers),
+            "ids": np.concatenate(ids).tobytes(),
+            "counted": counted,
+        }
+
+    start([], "")
+    for batch in batches:
+        for i in range(0, batch.num_rows, 64):
+            for row in batch.slice(i, 64).to_pylist():
+                if row["shard"] != shard:
+                    if held > counted:
+                        yield block()
+                    shard = row["shard"]
+                    start([], row["lang"])
+                lang = langs.setdefault(row["lang"], len(langs))
+                for part in (*tokens(row["text"] or b""), [BREAK]):
+                    ids.append(np.fromiter(map(numbers.__getitem__, part), "<u4", len(part)))
+                    runs.append((lang, len(part)))
+                    held += len(part)
+                    if held < size:
+                        continue
+                    yield block()
+                    # The last words stay, for the phrases that they begin.
+                    names, last = list(numbers), np.concatenate(ids[-overlap - 1 :])[-overlap:] if overlap else []
+                    start([names[j] for j in last], row["lang"])
+                    lang = 0
+    if held > counted:
+        yield block()
+
+
+class Block:
+    """A row of :data:`BLOCK_ROW` as arrays over its words; phrases that end before ``counted`` were
+    counted in the block before."""
 
-    def __init__(self, ids: np.ndarray, group: np.ndarray, words: list[bytes], hashes: np.ndarray, groups: list[tuple[str, int]], counted: int):
+    def __init__(self, row: dict):
         from xxhash import xxh64_intdigest
 
-        self.ids, self.group, self.words, self.groups, self.counted = ids, group, words, groups, counted
-        langs = np.array([xxh64_intdigest(lang.encode(), 42) for lang, _ in groups], np.uint64)
-        salts = np.array([shard_salt(shard) for _, shard in groups], np.uint64)
-        self.lang, self.salt = langs[group], salts[group]
-        self.hash = hashes[ids]
-        self._keys = {1: join64(self.lang, self.hash)}
-        self._whole = {1: ids > 0}
+        self.shard, self.langs, self.counted = row["shard"], row["langs"], row["counted"]
+        self.ids = np.frombuffer(row["ids"], "<u4")
+        self.words = row["words"].split(b" ")
+        lang, length = np.frombuffer(row["runs"], "<i4").reshape(-1, 2).T
+        self.lang = np.repeat(lang.astype(np.int32), length)
+        hashes = np.fromiter(map(xxh64_intdigest, self.words), np.uint64, len(self.words))
+        salts = np.array([xxh64_intdigest(name.encode(), 42) for name in self.langs], np.uint64)
+        self.hash = hashes[self.ids]
+        self.salt = np.uint64(shard_salt(self.shard))
+        self._keys = {1: join64(salts[self.lang], self.hash)}
+        self._whole = {1: self.ids > 0}
 
     def keys(self, n: int) -> np.ndarray:
         """Hashes of language and phrase for the phrases of ``n`` words from each place on."""
@@ -136,77 +197,42 @@ class Block:
             self._keys[n] = join64(self.keys(n - 1)[:-1], self.hash[n - 1 :])
         return self._keys[n]
 
+    def local(self, n: int) -> np.ndarray:
+        """:meth:`keys` of phrase and shard."""
+        return self.keys(n) ^ self.salt
+
     def whole(self, n: int) -> np.ndarray:
         """Whether the ``n`` words from a place on are a phrase of one piece."""
         if n not in self._whole:
             self._whole[n] = self.whole(n - 1)[:-1] & self._whole[1][n - 1 :]
         return self._whole[n]
 
-    def local(self, n: int) -> np.ndarray:
-        """:meth:`keys` of phrase and shard."""
-        return self.keys(n) ^ self.salt[: len(self.ids) - n + 1]
-
-    def counts(self, n: int, chosen: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First place and number of each different key among the chosen places of this block."""
+    def counts(self, n: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One place and the number of each different phrase among the chosen places."""
         places = np.flatnonzero(chosen & self.whole(n))
-        places = places[places >= self.counted - n + 1]
-        _, first, number = np.unique(keys[places], return_index=True, return_counts=True)
-        return places[first], number
-
-    def phrase(self, place: int, n: int) -> bytes:
-        return b" ".join([self.words[i] for i in self.ids[place : place + n].tolist()])
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator[Block]:
-    from xxhash import xxh64_intdigest
-
-    numbers: defaultdict[bytes, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
-    numbers[BREAK] = 0
-    groups: dict[tuple[str, int], int] = {}
-    hashes = np.zeros(0, np.uint64)
-    ids: list[np.ndarray] = []
-    sizes: list[tuple[int, int]] = []  # group and words
-    held = counted = 0
+        places = places[np.searchsorted(places, self.counted - n + 1) :]
+        keys = self.keys(n)[places]
+        order = np.argsort(keys)
+        ordered = keys[order]
+        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(keys) else order
+        return places[order[first]], np.diff(np.append(first, len(keys)))
 
-    def block() -> Block:
-        nonlocal hashes
-        words = list(numbers)
-        new = np.array([xxh64_intdigest(w, 42) for w in words[len(hashes) :]], np.uint64)
-        hashes = np.concatenate((hashes, new))
-        group = np.repeat(*np.array(sizes).T)
-        return Block(np.concatenate(ids), group, words, hashes, list(groups), counted)
+    def lang_names(self, places: np.ndarray) -> pa.Array:
+        return pa.array(self.langs, pa.string()).take(pa.array(self.lang[places]))
 
-    for batch in batches:
-        for i in range(0, batch.num_rows, 64):
-            for row in batch.slice(i, 64).to_pylist():
-                group = groups.setdefault((row["lang"], row["shard"]), len(groups))
-                for part in (*tokens(row["text"] or b""), [BREAK]):
-                    ids.append(np.fromiter(map(numbers.__getitem__, part), np.int64, len(part)))
-                    sizes.append((group, len(part)))
-                    held += len(part)
-                    if held < WORDS:
-                        continue
-                    done = block()
-                    yield done
-                    # The last words stay, for the phrases that they begin.
-                    rest = done.ids[len(done.ids) - overlap :]
-                    if len(numbers) > KNOWN:
-                        last = [done.words[j] for j in rest.tolist()]
-                        numbers.clear()
-                        numbers[BREAK] = 0
-                        hashes = np.zeros(0, np.uint64)
-                        rest = np.array([numbers[w] for w in last], np.int64)
-                    ids, sizes = [rest], [(group, len(rest))]
-                    held = counted = len(rest)
-    if held > counted:
-        yield block()
+    def phrases(self, places: np.ndarray, n: int) -> pa.Array:
+        """Phrases as strings."""
+        names = pa.array(self.words, pa.binary())
+        parts = [names.take(pa.array(self.ids[places + i])) for i in range(n)]
+        whole = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if n > 1 else parts[0]
+        return whole.view(pa.string())
 
 
-def _map_blocks(rows: DataFrame, function: Callable[[Block], Iterator[pa.RecordBatch]], schema: str, longest: int) -> DataFrame:
+def _map_blocks(rows: DataFrame, function: Callable[[Block], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches, longest - 1):
-            yield from function(block)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from function(Block(batch.slice(i, 1).to_pylist()[0]))
 
     return rows.mapInArrow(run, schema)
 
@@ -219,13 +245,12 @@ def _batch(**columns: pa.Array | np.ndarray) -> pa.RecordBatch:
 
 
 def _count_words(block: Block) -> Iterator[pa.RecordBatch]:
-    first, n = block.counts(1, block.whole(1), block.local(1))
-    lang, shard = zip(*(block.groups[g] for g in block.group[first].tolist()), strict=True) if len(first) else ((), ())
+    places, n = block.counts(1, block.whole(1))
     yield _batch(
-        lang=pa.array(lang, pa.string()),
-        shard=pa.array(shard, pa.int32()),
-        word=pa.array([block.words[i].decode("utf-8", "replace") for i in block.ids[first].tolist()], pa.string()),
-        key=block.keys(1)[first].view(np.int64),
+        lang=block.lang_names(places),
+        shard=np.full(len(places), block.shard, np.int32),
+        word=block.phrases(places, 1),
+        key=block.keys(1)[places].view(np.int64),
         n=n.astype(np.int64),
     )
 
@@ -237,9 +262,9 @@ def _mine(n: int, parts: Bitmap) -> Callable[[Block], Iterator[pa.RecordBatch]]:
         if len(block.ids) < n:
             return
         known = parts.holds(block.local(n - 1)) & block.whole(n - 1)
-        first, number = block.counts(n, known[:-1] & known[1:], block.local(n))
-        shards = np.array([shard for _, shard in block.groups], np.int32)
-        yield _batch(shard=shards[block.group[first]], key=block.keys(n)[first].view(np.int64), n=number.astype(np.int64))
+        places, number = block.counts(n, known[:-1] & known[1:])
+        shard = np.full(len(places), block.shard, np.int32)
+        yield _batch(shard=shard, key=block.keys(n)[places].view(np.int64), n=number.astype(np.int64))
 
     return mine
 
@@ -249,11 +274,11 @@ def _count(candidates: dict[int, Bitmap]) -> Callable[[Block], Iterator[pa.Recor
         for size, known in candidates.items():
             if len(block.ids) < size:
                 continue
-            first, number = block.counts(size, known.holds(block.keys(size)), block.keys(size))
+            places, number = block.counts(size, known.holds(block.keys(size)))
             yield _batch(
-                lang=pa.array([block.groups[g][0] for g in block.group[first].tolist()], pa.string()),
-                phrase=pa.array([block.phrase(i, size).decode("utf-8", "replace") for i in first.tolist()], pa.string()),
-                size=np.full(len(first), size, np.int32),
+                lang=block.lang_names(places),
+                phrase=block.phrases(places, size),
+                size=np.full(len(places), size, np.int32),
                 n=number.astype(np.int64),
             )
 
@@ -275,14 +300,22 @@ def frequent(
 ) -> tuple[DataFrame, DataFrame]:
     """``(words, phrases)``: ``lang, word, n`` of all words; ``lang, phrase, size, n`` of the
     phrases of two to ``longest`` words that have ``support`` occurrences or more."""
+    spark = docs.sparkSession
     dealt = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         (F.spark_partition_id() % shards).alias("shard"),
         F.col(text).cast("binary").alias("text"),
     )
-    rows = materialize(dealt, "phrase-rows")
+    size = WORDS
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in cut_blocks(batches, longest - 1, size):
+            yield pa.RecordBatch.from_pylist([row], arrow)
+
+    arrow = to_arrow_schema(spark.createDataFrame([], BLOCK_ROW).schema)
+    rows = materialize(dealt.mapInArrow(cut, BLOCK_ROW), "phrase-blocks")
     schema = "lang string, shard int, word string, key long, n long"
-    counted = _map_blocks(rows, _count_words, schema, longest)
+    counted = _map_blocks(rows, _count_words, schema)
     words = materialize(counted.groupBy("lang", "shard", "word").agg(F.min("key").alias("key"), F.sum("n").alias("n")), "words")
 
     sizes = dict(words.groupBy("shard").agg(F.sum("n")).collect())
@@ -293,11 +326,11 @@ def frequent(
     known, candidates = words.where(F.col("n") >= _by_shard(lowered)), {}
     for n in range(2, longest + 1):
         parts = bitmap(known, F.col("key").bitwiseXOR(_by_shard(salts)))
-        sent = _map_blocks(rows, _mine(n, parts), "shard int, key long, n long", longest)
+        sent = _map_blocks(rows, _mine(n, parts), "shard int, key long, n long")
         local = sent.groupBy("shard", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= _by_shard(lowered))
         known = materialize(local, "local-phrases")
         candidates[n] = bitmap(known, F.col("key"))
-    sent = _map_blocks(rows, _count(candidates), "lang string, phrase string, size int, n long", longest)
+    sent = _map_blocks(rows, _count(candidates), "lang string, phrase string, size int, n long")
     phrases = sent.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
     return words.groupBy("lang", "word").agg(F.sum("n").alias("n")), materialize(phrases, "phrases")
 

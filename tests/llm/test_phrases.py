@@ -64,30 +64,34 @@ def test_same_as_brute_force(spark, options):
     assert rows_of(spark, docs, **options) == sorted(want) and len(want) > 15
 
 
-def test_blocks_and_forgotten_words(spark, monkeypatch):
-    """Blocks of a few words and bytes, and words that are numbered anew, change nothing."""
+@pytest.mark.parametrize("size", [50, 7, 3, 1])
+def test_blocks_of_a_few_words(size):
+    """Phrases over the ends of blocks are counted once."""
     docs = list(some_texts(9, 40))
-    want = sorted(brute(docs, support=3))
-    for words, known in ((50, 1 << 20), (7, 5), (3, 1)):
-        monkeypatch.setattr(phrases, "WORDS", words)
-        monkeypatch.setattr(phrases, "KNOWN", known)
-        batches = [batch_of(docs)]
-        counted = Counter()
-        for block in phrases._blocks(iter(batches), 2):
-            for n in (1, 2, 3):
-                if len(block.ids) < n:
-                    continue
-                for place, number in zip(*block.counts(n, block.whole(n), block.local(n)), strict=True):
-                    counted[block.groups[block.group[place]][0], block.phrase(place, n).decode()] += int(number)
-        for lang, _, phrase, a, *_ in want:
-            assert counted[lang, phrase] == a
+    counted = Counter()
+    for row in phrases.cut_blocks(iter([batch_of(docs)]), 2, size):
+        block = phrases.Block(row)
+        for n in (1, 2, 3):
+            if len(block.ids) < n:
+                continue
+            places, number = block.counts(n, block.whole(n))
+            for lang, phrase, k in zip(block.lang_names(places).to_pylist(), block.phrases(places, n).to_pylist(), number.tolist(), strict=True):
+                counted[lang, phrase] += k
+    want = Counter()
+    for lang, text in docs:
+        for w in pieces(text):
+            want.update(("und" if lang is None else lang, " ".join(w[i : i + n])) for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    assert counted == want
+
+
+def test_tokens_in_blocks():
     assert [w for part in phrases.tokens(b"a b. C,d " * 50, 10) for w in part] == [b"a", b"b", b".", b"c", b".", b"d"] * 50
 
 
 def batch_of(docs):
     import pyarrow as pa
 
-    return pa.RecordBatch.from_pylist([{"lang": "und" if lang is None else lang, "shard": i % 3, "text": t.encode()} for i, (lang, t) in enumerate(docs)])
+    return pa.RecordBatch.from_pylist([{"lang": "und" if lang is None else lang, "shard": i // 9 % 3, "text": t.encode()} for i, (lang, t) in enumerate(docs)])
 
 
 def test_full_bitmap_loses_nothing(spark, monkeypatch):
