@@ -87,6 +87,16 @@ class MoodyBackend(Backend):
         }
 
 
+class BatchBackend(DigestBackend):
+    """Answers batches; one with a prompt that it refuses fails as a whole."""
+
+    def generate_many(self, prompts: list[str], messages: list, params: dict) -> list[dict]:
+        digests = [hashlib.md5(p.encode("utf-8")).hexdigest() for p in prompts]
+        if any(d[0] == "0" for d in digests):
+            raise BackendError("a prompt of the batch is refused", 400)
+        return [{"text": f"{json.dumps(params, sort_keys=True)} {d}"} for d in digests]
+
+
 def ask_again(texts: list[str], state: dict) -> tuple[bool, str | None, dict]:
     """Turn callback: ask about the last reply until one ends in a digit, three times at most."""
     turns = state.get("turns", 0) + 1

@@ -258,6 +258,13 @@ SAME_RESULT = {
     "preference_summary": "best_worst_summary",
     "preference_histogram": "score_histogram",
     "preference_report": "run_report",
+    "multi_turn_rounds": "multi_turn_infer",
+    "spread_stats_ranked": "spread_stats",
+    "output_stats_ranked": "output_stats",
+    "top_spread_ranked": "top_spread",
+    "written_run_report": "run_report",
+    "written_prepare_report": "prepare_report",
+    "written_usage": "usage_totals",
     "stage1_prepared": "answer_stage1",
     "stage2_prepared": "answer_stage2",
     "stage2_merge_only": "answer_stage2",
@@ -393,6 +400,15 @@ SELECT count(*) FILTER (WHERE clean <> '') AS written, count(*) FILTER (WHERE cl
   WHERE {shapes.CONV_ID} NOT IN (SELECT id FROM earlier)""",
         "merge_shards": f"""WITH {SHARDS} SELECT id, file, conv_id, turn, md5(text) AS text_md5 FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY file, conv_id, turn) AS n FROM shards) WHERE n = 1 OR id = ''""",
+        "length_quantiles": f"""SELECT lang, count(*) AS n,
+  {', '.join(f"round(quantile_cont(length(text), {q}), 6) AS p{int(q * 100)}" for q in (0.25, 0.5, 0.75, 0.99))} FROM documents GROUP BY lang""",
+        "ledger_resume": f"""WITH {TURNS}, {NORMAL}, {LAST}, {ASKED} SELECT id, CASE WHEN regexp_matches(md5(prompt), '^[a-f]') THEN 'second' ELSE 'first' END AS run,
+  'answer ' || md5(prompt) AS response FROM asked""",
+        "ledger_merge": f"""WITH {SHARDS}, first_run AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY file, conv_id, turn) AS n FROM shards WHERE turn > 1),
+second_run AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY file, conv_id, turn) AS n FROM shards
+  WHERE id = '' OR id NOT IN (SELECT id FROM first_run))
+SELECT id, 'first' AS run, file, conv_id, turn, md5(text) AS text_md5 FROM first_run WHERE n = 1 OR id = ''
+UNION ALL SELECT id, 'second', file, conv_id, turn, md5(text) FROM second_run WHERE n = 1 OR id = ''""",
         "merge_report": f"""WITH {SHARDS}, marked AS (SELECT id = '' OR row_number() OVER (PARTITION BY id ORDER BY file, conv_id, turn) = 1 AS kept FROM shards)
 SELECT count(*) FILTER (WHERE kept) AS written, count(*) FILTER (WHERE NOT kept) AS duplicate, CAST(0 AS BIGINT) AS bad_json FROM marked""",
         "md5_shard_counts": f"""SELECT CAST(('0x' || substr(md5({shapes.CONV_ID}), 1, 16))::UBIGINT % 80 AS INT) AS shard, count(*) AS rows
@@ -401,6 +417,16 @@ SELECT count(*) FILTER (WHERE kept) AS written, count(*) FILTER (WHERE NOT kept)
   FROM keyed GROUP BY 1""",
         "write_shards": f"""SELECT CAST(('0x' || substr(md5(id), 1, 16))::UBIGINT % 16 AS INT) AS shard, count(*) AS rows
   FROM (SELECT DISTINCT {shapes.CONV_ID} AS id FROM conversations) GROUP BY 1""",
+        "shards_read_back": f"""WITH ids AS (SELECT {shapes.CONV_ID} AS id, count(*) AS messages FROM conversations GROUP BY 1)
+SELECT CAST(('0x' || substr(md5(id), 1, 16))::UBIGINT % 16 AS INT) AS shard, count(*) AS rows, count(*) AS rows_read,
+  CAST(sum(messages) AS BIGINT) AS messages, true AS has_files FROM ids GROUP BY 1""",
+        "written_stage_counters": f"""WITH {MESSY}, {NORMAL}, {LAST} SELECT count(*) AS total, count(*) FILTER (WHERE question <> '') AS kept, CAST(1 AS INT) AS stage FROM last
+UNION ALL SELECT count(*), count(*) FILTER (WHERE question <> '' AND answer <> ''), 2 FROM last""",
+        "written_merge_report": f"""WITH {TURNS}, {NORMAL}, {LAST}, {STAGE2_PAIRS},
+cleaned AS (SELECT id, {unthink('response')} AS clean, {unthink('answer')} AS source FROM pairs)
+SELECT count(*) FILTER (WHERE clean <> '') AS written, count(*) FILTER (WHERE clean = '') AS skipped_empty,
+  count(*) FILTER (WHERE clean <> '' AND {is_short('clean', 'source')}) AS short_replaced,
+  count(*) FILTER (WHERE clean <> '') AS rows FROM cleaned""",
         "jsonl_roundtrip": f"WITH {TURNS} SELECT id, conv_id AS original_idx, {messages()} FROM turns GROUP BY id, conv_id",
         "jsonl_bad_lines": """SELECT CASE WHEN doc_id % 3 = 0 THEN doc_id END AS doc_id, CASE WHEN doc_id % 3 = 0 THEN md5(text) END AS text_md5,
   CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'JSON parse error' END AS error FROM documents""",
@@ -421,6 +447,10 @@ SELECT id, CASE WHEN NOT bad THEN 'answer ' || d END AS response, CASE WHEN NOT
   CASE WHEN NOT bad THEN length(prompt) END AS prompt, CASE WHEN NOT bad THEN CAST(39 AS BIGINT) END AS completion,
   CASE WHEN NOT bad THEN length(prompt) + 39 END AS total, CASE WHEN bad THEN 'failed' ELSE 'success' END AS _status,
   CASE WHEN bad THEN 'refused ' || substr(d, 1, 8) END AS _error FROM called""",
+        "batch_infer_many": f"""WITH {TURNS}, {NORMAL}, {LAST}, {ASKED}, called AS (SELECT id, md5(prompt) AS d,
+    '{{"temperature": ' || CAST(CAST((length(prompt) % 3)::DOUBLE / 10 AS DECIMAL(2, 1)) AS STRING) || '}} ' AS sent FROM asked)
+SELECT id, CASE WHEN d[1] <> '0' THEN sent || d END AS response, CASE WHEN d[1] = '0' THEN 'failed' ELSE 'success' END AS _status,
+  CASE WHEN d[1] = '0' THEN 'a prompt of the batch is refused' END AS _error FROM called""",
         "multi_turn_infer": f"""WITH {TURNS}, {NORMAL}, {LAST}, {ASKED},
 one AS (SELECT id, 'answer ' || md5(prompt) AS a FROM asked),
 two AS (SELECT id, a, CASE WHEN NOT regexp_matches(a, '[0-9]$') THEN 'answer ' || md5('and ' || a || '?') END AS b FROM one),
@@ -478,6 +508,12 @@ SELECT id, {messages('line')} FROM rows WHERE id IN (SELECT id FROM answers) GRO
 rows AS (SELECT id, turn, CASE WHEN norm = 'user' THEN 'human' ELSE role END || ':' || value AS line FROM normal WHERE {_PROMPT_ROLES}
   UNION ALL SELECT id, 1000000, 'gpt:' || text FROM answers)
 SELECT id, {messages('line')} FROM rows WHERE id IN (SELECT id FROM answers) GROUP BY id""",
+        "recorded_stage1": f"""WITH {MESSY}, {NORMAL}, {LAST},
+answers AS (SELECT run, id, CASE WHEN run = 'template' THEN 'asked ' || md5({templated('question')}) ELSE 'answer ' || md5(question) END AS text
+  FROM last, (VALUES ('first'), ('same'), ('template')) AS runs(run) WHERE question <> ''),
+rows AS (SELECT run, id, turn, CASE WHEN norm = 'user' THEN 'human' ELSE role END || ':' || value AS line FROM normal JOIN answers USING (id) WHERE {_PROMPT_ROLES}
+  UNION ALL SELECT run, id, 1000000, 'gpt:' || text FROM answers)
+SELECT run, id, {messages('line')} FROM rows GROUP BY run, id""",
         "answer_stage2": f"""WITH {MESSY}, {NORMAL}, {LAST},
 cleaned AS (SELECT id, question, {unthink('answer')} AS source FROM last WHERE question <> '' AND answer <> ''),
 replied AS (SELECT id, source, 'answer ' || md5({templated(rewrite('question', 'source'))}) AS reply FROM cleaned),

@@ -13,9 +13,9 @@ from pyspark.sql.window import Window
 
 from replyloom.functions import conversations as C
 from replyloom.functions import envelopes, prompts, sharding, text
-from replyloom.operators import analysis, inference, matching, records, scoring
-from replyloom.plans import run_judge, run_preference, run_stage1, run_stage2
-from replyloom.session import configure, materialize, new_path
+from replyloom.operators import analysis, inference, ledgers, matching, quantiles, records, rounds, scoring
+from replyloom.plans import RunLedger, record_stage1, run_judge, run_preference, run_stage1, run_stage2
+from replyloom.session import configure, materialize, materialize_counted, new_path
 from replyloom.sources import jsonl, sinks
 from replyloom.streaming import stream_infer
 
@@ -117,6 +117,12 @@ def run_report(spark, sf_dir):
     return rounded(scoring.run_report(robust(spark, sf_dir)))
 
 
+@query
+def written_run_report(spark, sf_dir):
+    """The report that the job writing scored and failed rows gathers."""
+    return rounded(sinks.write_split(robust(spark, sf_dir), new_path(spark, "split")))
+
+
 def flat_best_worst(df: DataFrame) -> DataFrame:
     columns = []
     for side in ("best", "worst"):
@@ -245,6 +251,32 @@ def output_stats_approximate(spark, sf_dir):
     return stats.select("output_name", "samples", "median_total")
 
 
+@query
+def spread_stats_ranked(spark, sf_dir):
+    spread = analysis.score_spread(ok_scores(spark, sf_dir))
+    return rounded(analysis.spread_stats(spread, ranked=True))
+
+
+@query
+def output_stats_ranked(spark, sf_dir):
+    return rounded(analysis.output_stats(strict_output_scores(spark, sf_dir), ranked=True))
+
+
+@query
+def top_spread_ranked(spark, sf_dir):
+    top = analysis.top_spread(analysis.score_spread(ok_scores(spark, sf_dir)), ranked=True)
+    return rounded(top.select("original_idx", "num_answers", "variance", "mean_score"))
+
+
+@query
+def length_quantiles(spark, sf_dir):
+    """Exact quartiles of the documents' lengths, per language."""
+    docs = fixtures.table(spark, sf_dir, "documents").select("lang", F.length("text").alias("chars"))
+    found = quantiles.exact_quantiles(docs, "chars", [0.25, 0.5, 0.75, 0.99], ["lang"])
+    names = ("p25", "p50", "p75", "p99")
+    return rounded(found.select("lang", "n", *[F.col("quantiles")[i].alias(name) for i, name in enumerate(names)]))
+
+
 @query
 def grade_bands(spark, sf_dir):
     return rounded(analysis.grade_bands(ok_scores(spark, sf_dir)))
@@ -294,14 +326,10 @@ def score_lists(spark, sf_dir):
 @query
 def quarantine(spark, sf_dir):
     """Scored and failed rows written and read back: which file holds which row."""
-    ok_path, failed_path = new_path(spark, "ok"), new_path(spark, "failed")
-    scored = materialize(robust(spark, sf_dir), "scored")
-    sinks.write_ok_failed(*scoring.split_ok_failed(scored), ok_path, failed_path)
+    path = new_path(spark, "split")
+    sinks.write_split(robust(spark, sf_dir), path)
     schema = "original_idx bigint, output_idx int, model_answer string, error string"
-    both = [
-        spark.read.schema(schema).json(path).withColumn("file", F.lit(name))
-        for name, path in (("ok", ok_path), ("failed", failed_path))
-    ]
+    both = [sinks.read_split(spark, path, schema, name).withColumn("file", F.lit(name)) for name in sinks.OUTCOMES]
     return both[0].unionByName(both[1]).select(
         "file", "original_idx", "output_idx", digest("model_answer"), "error"
     )
@@ -413,6 +441,20 @@ def stage_counters(spark, sf_dir):
     return records.counters(rows, stage1=asked, stage2=asked & answered)
 
 
+@query
+def written_prepare_report(spark, sf_dir):
+    _, report = records.prepare_judge_counted(fixtures.judge_wide(spark, sf_dir), shapes.CANDIDATES, PREFIX)
+    return rounded(report)
+
+
+@query
+def written_stage_counters(spark, sf_dir):
+    """Rows read and kept by each normalising step, counted by the job that writes them."""
+    rows = fixtures.conv_messy(spark, sf_dir)
+    reports = [records.normalize_counted(rows, stage)[1].withColumn("stage", F.lit(stage)) for stage in (1, 2)]
+    return reports[0].unionByName(reports[1])
+
+
 # -- text -------------------------------------------------------------------------
 
 
@@ -489,6 +531,14 @@ def merge_stage_report(spark, sf_dir):
     return matching.merge_stage_report(output, merged, think=True)
 
 
+@query
+def written_merge_report(spark, sf_dir):
+    """The same counters from the job that writes the merged rows."""
+    source, output = fixtures.stage2_source(spark, sf_dir), fixtures.stage2_responses(spark, sf_dir)
+    merged, report = matching.merge_stage2_counted(source, output)
+    return report.withColumn("rows", merged.agg(F.count(F.lit(1))).scalar())
+
+
 @query
 def join_responses(spark, sf_dir):
     prepared = records.prepare_judge(fixtures.judge_wide(spark, sf_dir), shapes.CANDIDATES, PREFIX)
@@ -549,6 +599,31 @@ def merge_shards(spark, sf_dir):
     return rows.select("id", "file", "conv_id", "turn", digest("text"))
 
 
+@query
+def ledger_resume(spark, sf_dir):
+    """Two runs over the same rows: the second asks what the ledger of the first does not hold."""
+    todo = asked(spark, sf_dir)
+    ledger = ledgers.KeyLedger(spark, new_path(spark, "ledger"), buckets=8)
+    runs = []
+    for run, backend in (("first", models.MoodyBackend()), ("second", models.DigestBackend())):
+        answered = materialize(inference.batch_infer(ledger.pending(todo, run), backend), "responses")
+        ledger.append(answered, run)
+        runs.append(answered.select("id", F.lit(run).alias("run"), "response"))
+    return runs[0].unionByName(runs[1])
+
+
+@query
+def ledger_merge(spark, sf_dir):
+    """Shards that arrive in two runs: over both the first row of an id stays."""
+    rows = fixtures.shard_rows(spark, sf_dir)
+    ledger = ledgers.KeyLedger(spark, new_path(spark, "ledger"), buckets=8)
+    merged = [
+        ledger.merge(part, run, new_path(spark, "merged"), ["file", "conv_id", "turn"]).withColumn("run", F.lit(run))
+        for run, part in (("first", rows.where(F.col("turn") > 1)), ("second", rows))
+    ]
+    return merged[0].unionByName(merged[1]).select("id", "run", "file", "conv_id", "turn", digest("text"))
+
+
 @query
 def merge_report(spark, sf_dir):
     return matching.merge_report(fixtures.shard_rows(spark, sf_dir))
@@ -574,7 +649,21 @@ def mod_shard_counts(spark, sf_dir):
 def write_shards(spark, sf_dir):
     rows = fixtures.conv_nested(spark, sf_dir).select("id", "conversations")
     path = new_path(spark, "shards")
-    return sinks.write_shards(rows, path, sharding.md5_shard(F.col("id"), 16))
+    return sinks.write_shards(rows, path, sharding.md5_shard(F.col("id"), 16), 16).select("shard", "rows")
+
+
+@query
+def shards_read_back(spark, sf_dir):
+    """Rows of each shard by its manifest and as its checked files give them back."""
+    rows = fixtures.conv_nested(spark, sf_dir).select("id", "conversations")
+    path = new_path(spark, "shards")
+    shard = sharding.md5_shard(F.col("id"), 16)
+    manifest = sinks.write_shards(rows, path, shard, 16)
+    read, _ = sinks.read_shards(spark, path, CONV_SCHEMA)
+    found = read.groupBy(shard.alias("shard")).agg(
+        F.count(F.lit(1)).alias("rows_read"), F.sum(F.size("conversations")).alias("messages")
+    )
+    return manifest.join(found, "shard", "full").select("shard", "rows", "rows_read", "messages", (F.col("files") > 0).alias("has_files"))
 
 
 CONV_SCHEMA = "id string, conversations array<struct<`from`:string,value:string>>"
@@ -692,6 +781,14 @@ def usage_totals(spark, sf_dir):
     return inference.usage_totals(fixtures.replies(spark, sf_dir).select(parsed))
 
 
+@query
+def written_usage(spark, sf_dir):
+    """Token counts gathered by the job that writes the replies."""
+    parsed = envelopes.token_stats(envelopes.read_reply(F.col("reply"))).alias("usage")
+    rows = fixtures.replies(spark, sf_dir).select("conv_id", "turn", parsed)
+    return materialize_counted(rows, "replies", **inference.usage_sums())[1]
+
+
 # -- inference --------------------------------------------------------------------
 
 
@@ -711,6 +808,14 @@ def batch_infer_keep(spark, sf_dir):
     return rows.select("id", "response", "thinking", "usage.*", "_status", "_error")
 
 
+@query
+def batch_infer_many(spark, sf_dir):
+    """Batches of equal parameters; of a batch that fails only the refused prompts fail."""
+    rows = asked(spark, sf_dir).withColumn("temperature", F.length("prompt") % 3 / 10)
+    found = inference.batch_infer(rows, models.BatchBackend(), on_error="keep", batch_size=16)
+    return found.select("id", "response", "_status", "_error")
+
+
 def at_once(seconds: float) -> None:
     """In place of a delay between retries."""
 
@@ -739,6 +844,15 @@ def multi_turn_infer(spark, sf_dir):
     return rows.select("id", F.array_join("responses", "|").alias("responses"), F.col("usage.completion").alias("completion"))
 
 
+@query
+def multi_turn_rounds(spark, sf_dir):
+    """The same conversations in rounds, one written frame per turn."""
+    rows = rounds.multi_turn_rounds(
+        asked(spark, sf_dir), models.DigestBackend(), models.ask_again, max_turns=10
+    )
+    return rows.select("id", F.array_join("responses", "|").alias("responses"), F.col("usage.completion").alias("completion"))
+
+
 @query
 def resume_infer(spark, sf_dir):
     todo = matching.pending(asked(spark, sf_dir), earlier_run(spark, sf_dir))
@@ -921,6 +1035,22 @@ def stage2_merge_only(spark, sf_dir):
     return found.select("id", "replaced_short", *conversation())
 
 
+@query
+def recorded_stage1(spark, sf_dir):
+    """Three runs by one ledger: the second finds all that it needs, the third has another template."""
+    rows = fixtures.conv_messy(spark, sf_dir)
+    ledger = RunLedger(spark, new_path(spark, "runs"))
+    found = []
+    for run, backend, template in (
+        ("first", models.DigestBackend(), None),
+        ("same", models.DigestBackend("never asked "), None),
+        ("template", models.DigestBackend("asked "), TEMPLATE),
+    ):
+        merged = record_stage1(ledger, rows, backend, "digest", template=template).df
+        found.append(merged.select(F.lit(run).alias("run"), "id", *conversation()))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query
 def answer_stage2(spark, sf_dir):
     """Stage 2 on the answers the conversations came with."""

@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from ..functions import fixed_values as fixed
 from ..functions.scores import SCORE
 from ..session import ROW, number_rows
+from .quantiles import exact_quantiles
 
 _SCORES = f"map<string,{SCORE}>"
 
@@ -233,15 +234,18 @@ def spread_detail(scored: DataFrame) -> DataFrame:
     )
 
 
-def spread_stats(spread: DataFrame, approximate: bool = False) -> DataFrame:
+def spread_stats(spread: DataFrame, approximate: bool = False, ranked: bool = False) -> DataFrame:
     """One row over all spreads: count, mean, median, deviation, min, max, percentiles.
 
     The exact percentiles interpolate linearly; their buffer counts equal values, so it
-    grows with the number of different spreads, not of questions. ``approximate`` bounds
-    that too, for scores with many decimals.
+    grows with the number of different spreads, not of questions. ``ranked`` gives the same
+    values without a buffer, by :func:`~replyloom.operators.quantiles.exact_quantiles`, for
+    scores with many decimals; ``approximate`` bounds the buffer.
     """
     ranks = [p / 100 for p in fixed.SPREAD_PERCENTILES]
-    if approximate:
+    if ranked:
+        found = exact_quantiles(spread, "variance", ranks).select("quantiles").scalar()
+    elif approximate:
         found = F.percentile_approx("variance", ranks, 10_000)
     else:
         found = F.percentile("variance", F.array(*[F.lit(r) for r in ranks]))
@@ -251,8 +255,10 @@ def spread_stats(spread: DataFrame, approximate: bool = False) -> DataFrame:
         F.stddev_pop("variance").alias("std_variance"),
         F.min("variance").alias("min_variance"),
         F.max("variance").alias("max_variance"),
-        found.alias("found"),
+        *([] if ranked else [found.alias("found")]),
     )
+    if ranked:
+        stats = stats.withColumn("found", found)
     percentiles = [
         F.col("found")[i].alias(f"p{p}") for i, p in enumerate(fixed.SPREAD_PERCENTILES)
     ]
@@ -331,15 +337,18 @@ def spread_report(spread: DataFrame, approximate: bool = False) -> DataFrame:
 
 
 def top_spread(
-    spread: DataFrame, k: int = 10, pct: float = 0.9, approximate: bool = False
+    spread: DataFrame, k: int = 10, pct: float = 0.9, approximate: bool = False, ranked: bool = False
 ) -> DataFrame:
     """The ``k`` widest questions among those at or above the ``pct`` percentile.
 
-    ``approximate`` bounds the percentile's buffer, as in :func:`spread_stats`.
+    ``approximate`` and ``ranked`` are as in :func:`spread_stats`.
     """
-    exact = F.percentile("variance", F.lit(pct))
-    found = F.percentile_approx("variance", pct, 10_000) if approximate else exact
-    threshold = spread.agg(found).scalar()
+    if ranked:
+        threshold = exact_quantiles(spread, "variance", [pct]).select(F.col("quantiles")[0]).scalar()
+    else:
+        exact = F.percentile("variance", F.lit(pct))
+        found = F.percentile_approx("variance", pct, 10_000) if approximate else exact
+        threshold = spread.agg(found).scalar()
     return (
         spread.where(F.col("variance") >= threshold)
         .orderBy(F.desc("variance"), "original_idx")
@@ -356,12 +365,17 @@ def output_scores(scored: DataFrame, prefix: str = "output_") -> DataFrame:
     return scored.select("original_idx", name.alias("output_name"), "scores.*")
 
 
-def output_stats(rows: DataFrame, approximate: bool = False) -> DataFrame:
+def output_stats(rows: DataFrame, approximate: bool = False, ranked: bool = False) -> DataFrame:
     """Statistics per output name, from :func:`explode_scores` or :func:`output_scores`.
 
-    The exact median's buffer grows with the number of different totals; ``approximate``
-    bounds it.
+    The exact median's buffer grows with the number of different totals; ``ranked`` and
+    ``approximate`` are as in :func:`spread_stats`.
     """
+    if ranked:
+        medians = exact_quantiles(rows, "total_score", [0.5], ["output_name"])
+        medians = medians.select("output_name", F.col("quantiles")[0].alias("median_total"))
+        others = output_stats(rows, approximate=True).drop("median_total")
+        return others.join(medians, "output_name", "left")
     median = F.percentile_approx("total_score", 0.5, 10_000) if approximate else F.median("total_score")
     dims = []
     for dim in fixed.DIMENSIONS:

@@ -49,6 +49,16 @@ class Backend:
     def generate(self, prompt: str, messages: list | None, params: dict) -> dict:
         raise NotImplementedError
 
+    def generate_many(
+        self, prompts: list[str], messages: list[list | None], params: dict
+    ) -> list[dict | Exception]:
+        """Replies to several requests with the same parameters, in their order.
+
+        A model that answers batches overrides this. An exception among the replies fails that
+        request alone; one that is raised fails the call, which is then tried in halves.
+        """
+        return [self.generate(p, m, params) for p, m in zip(prompts, messages, strict=True)]
+
 
 class ChatBackend(Backend):
     """A ``/chat/completions`` endpoint. ``send`` can be replaced, for instance in tests."""
@@ -127,6 +137,29 @@ class RetryPolicy:
 TurnCallback = Callable[[list[str], Any], tuple[bool, str | None, Any]]
 
 
+def _pooled(
+    batches: Iterator[Any],
+    backend: Backend,
+    concurrency: int,
+    submit: Callable[[ThreadPoolExecutor, Any], Any],
+    results: Callable[[Any], pd.DataFrame],
+) -> Iterator[pd.DataFrame]:
+    """Results of each Arrow batch, whose calls are made by ``concurrency`` threads."""
+    backend.open()
+    try:
+        with ThreadPoolExecutor(concurrency) as pool:
+            waiting: deque[Any] = deque()
+            for batch in batches:
+                waiting.append(submit(pool, batch))
+                # One batch ahead, so that a slow row does not leave the threads idle.
+                if len(waiting) > 1:
+                    yield results(waiting.popleft())
+            while waiting:
+                yield results(waiting.popleft())
+    finally:
+        backend.close()
+
+
 def _call_column(
     one: Callable[[Backend, str, list | None, dict], dict],
     result: str,
@@ -137,19 +170,10 @@ def _call_column(
 
     @F.pandas_udf(result)
     def calls(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        backend.open()
-        try:
-            with ThreadPoolExecutor(concurrency) as pool:
-                waiting: deque[list[Future]] = deque()
-                for batch in batches:
-                    waiting.append([pool.submit(guarded, *row) for row in zip(*batch)])
-                    # One batch ahead, so that a slow row does not leave the threads idle.
-                    if len(waiting) > 1:
-                        yield results(waiting.popleft())
-                while waiting:
-                    yield results(waiting.popleft())
-        finally:
-            backend.close()
+        yield from _pooled(batches, backend, concurrency, submit, results)
+
+    def submit(pool: ThreadPoolExecutor, batch: tuple[pd.Series, ...]) -> list[Future]:
+        return [pool.submit(guarded, *row) for row in zip(*batch)]
 
     def results(calls: list[Future]) -> pd.DataFrame:
         return pd.DataFrame([call.result() for call in calls])
@@ -166,6 +190,65 @@ def _call_column(
     return calls.asNondeterministic()
 
 
+def _batched_column(
+    backend: Backend, policy: RetryPolicy, concurrency: int, batch_size: int
+) -> Callable[..., Column]:
+    """As :func:`_call_column`, with up to ``batch_size`` rows of equal parameters in a call."""
+
+    @F.pandas_udf(_ONE_REPLY)
+    def calls(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        yield from _pooled(batches, backend, concurrency, submit, results)
+
+    def submit(pool: ThreadPoolExecutor, batch: tuple[pd.Series, ...]) -> tuple[int, list]:
+        rows = list(zip(*batch))
+        groups: dict[str, list[int]] = {}
+        for i, (_, _, sent) in enumerate(rows):
+            groups.setdefault(sent or "{}", []).append(i)
+        submitted = []
+        for sent, places in groups.items():
+            for start in range(0, len(places), batch_size):
+                part = places[start : start + batch_size]
+                submitted.append((part, pool.submit(many, [rows[i][:2] for i in part], json.loads(sent))))
+        return len(rows), submitted
+
+    def results(batch: tuple[int, list]) -> pd.DataFrame:
+        size, submitted = batch
+        found: list[dict | None] = [None] * size
+        for places, call in submitted:
+            for i, row in zip(places, call.result(), strict=True):
+                found[i] = row
+        return pd.DataFrame(found, columns=["reply", "error", "latency"])
+
+    def many(requests: list[tuple[str | None, str | None]], params: dict) -> list[dict]:
+        start = time.perf_counter()
+        try:
+            prompts = [prompt or "" for prompt, _ in requests]
+            turns = [json.loads(m) if m else None for _, m in requests]
+            replies = policy.run(lambda p: _counted_replies(backend, prompts, turns, p), params)
+        except Exception as error:  # a bad request must not fail the others
+            if len(requests) == 1:
+                replies = [error]
+            else:
+                half = len(requests) // 2
+                return many(requests[:half], params) + many(requests[half:], params)
+        latency = time.perf_counter() - start
+        return [
+            {"reply": None, "error": str(r), "latency": latency}
+            if isinstance(r, Exception)
+            else {"reply": json.dumps(r, ensure_ascii=False), "error": None, "latency": latency}
+            for r in replies
+        ]
+
+    return calls.asNondeterministic()
+
+
+def _counted_replies(backend: Backend, prompts: list[str], messages: list[list | None], params: dict) -> list:
+    replies = backend.generate_many(prompts, messages, params)
+    if len(replies) != len(prompts):
+        raise RuntimeError(f"{len(replies)} replies to {len(prompts)} requests")
+    return replies
+
+
 _ONE_REPLY = "reply string, error string, latency double"
 _MANY_REPLIES = "replies array<string>, error string, latency double"
 _EMPTY = {_ONE_REPLY: {"reply": None}, _MANY_REPLIES: {"replies": None}}
@@ -200,13 +283,17 @@ def batch_infer(
     concurrency: int = 64,
     partitions: int | None = None,
     usage: bool = False,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """Add ``response`` to every row.
 
     ``on_error='drop'`` leaves failing rows out, so that a later run finds them pending.
     ``on_error='keep'`` keeps them and adds ``thinking``, ``usage``, ``_latency``,
     ``_status`` and ``_error``. Calls in flight: ``concurrency`` times running tasks;
-    ``partitions`` sets the number of tasks at the price of a shuffle.
+    ``partitions`` sets the number of tasks at the price of a shuffle. With ``batch_size`` up
+    to so many rows of an Arrow batch that have the same parameters go to
+    :meth:`Backend.generate_many` together; a batch that fails is tried in halves, so that
+    one bad row fails alone, and ``_latency`` is that of the batch.
     """
     if on_error not in ("drop", "keep"):
         raise ValueError(f"unknown on_error: {on_error}")
@@ -216,7 +303,11 @@ def batch_infer(
         return {"reply": json.dumps(reply, ensure_ascii=False)}
 
     ready, request = _requests(df, params, system_prompt, partitions)
-    called = ready.withColumn("_call", _call_column(one, _ONE_REPLY, backend, concurrency)(*request))
+    if batch_size is None:
+        call = _call_column(one, _ONE_REPLY, backend, concurrency)
+    else:
+        call = _batched_column(backend, policy, concurrency, batch_size)
+    called = ready.withColumn("_call", call(*request))
     if on_error == "drop":
         called = called.where(F.col("_call.error").isNull())
     parsed = called.withColumn("_reply", envelopes.read_reply(F.col("_call.reply"))).withColumn(
@@ -278,6 +369,11 @@ def multi_turn_infer(
         "_call", _call_column(one, _MANY_REPLIES, backend, concurrency)(*request)
     ).where(F.col("_call.error").isNull())
     parsed = called.withColumn("_replies", F.transform("_call.replies", envelopes.read_reply))
+    return parsed.select(*_kept(df), *replies_columns())
+
+
+def replies_columns() -> list[Column]:
+    """``responses`` and summed ``usage`` of ``_replies``, the parsed replies of a conversation."""
     texts = F.transform(
         "_replies", lambda r: F.coalesce(r["text"], envelopes.parse_envelope(r)["response"])
     )
@@ -288,7 +384,7 @@ def multi_turn_infer(
         return F.aggregate(stats, zero, lambda total, s: total + s[name]).alias(name)
 
     usage = F.struct(summed("prompt"), summed("completion"), summed("total"))
-    return parsed.select(*_kept(df), texts.alias("responses"), usage.alias("usage"))
+    return [texts.alias("responses"), usage.alias("usage")]
 
 
 def reply_text(reply: Mapping[str, Any]) -> str:
@@ -301,5 +397,10 @@ def reply_text(reply: Mapping[str, Any]) -> str:
 
 def usage_totals(df: DataFrame) -> DataFrame:
     """One row: token counts over all rows with a ``usage`` struct."""
-    names = ("prompt", "completion", "total")
-    return df.agg(*[F.coalesce(F.sum(f"usage.{n}"), F.lit(0)).alias(n) for n in names])
+    return df.agg(*[c.alias(n) for n, c in usage_sums().items()])
+
+
+def usage_sums() -> dict[str, Column]:
+    """The sums of :func:`usage_totals`, for :class:`~replyloom.session.Counters` of the job that
+    writes the replies."""
+    return {n: F.coalesce(F.sum(f"usage.{n}"), F.lit(0)) for n in ("prompt", "completion", "total")}

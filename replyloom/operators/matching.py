@@ -16,7 +16,7 @@ from ..functions import conversations as C
 from ..functions import fixed_values as fixed
 from ..functions.prompts import is_short
 from ..functions.text import py_strip, strip_think_tokens
-from ..session import ROW, number_rows
+from ..session import ROW, Counters, materialize, number_rows
 from .records import compute_once, optional, with_original_idx
 
 NULL_KEY_SPREAD = 1024
@@ -91,9 +91,13 @@ def one_per_key(df: DataFrame, key: str, order_by: Sequence[str] | None = None)
 
 
 def _answers(output: DataFrame, clean: Callable[[Column], Column]) -> DataFrame:
-    """``id, _response``: cleaned responses that are not empty."""
-    rows = compute_once(output.select("id", "response"), _response=clean(F.col("response")))
-    return rows.where(F.col("_response") != "").select("id", "_response")
+    """``id, _response``: cleaned responses, empty where there is nothing left."""
+    cleaned = F.coalesce(clean(F.col("response")), F.lit(""))
+    return compute_once(output.select("id", "response"), _response=cleaned).select("id", "_response")
+
+
+def _answered() -> Column:
+    return F.col("_response") != ""
 
 
 def merge_stage1(
@@ -104,12 +108,17 @@ def merge_stage1(
     Where an id is repeated, the empty one included, its last source wins, in the order
     that :func:`one_per_key` describes: there are as many rows as responses.
     """
+    merged = _merged_stage1(source, output, order_by).where(_answered())
+    return merged.drop("_response")
+
+
+def _merged_stage1(source: DataFrame, output: DataFrame, order_by: Sequence[str] | None) -> DataFrame:
     answers = _answers(output, py_strip)
     carried = [c for c in source.columns if c not in ("id", "question")]
     merged = answers.join(one_per_key(source, "id", order_by).select("id", *carried), "id", "left")
     return merged.withColumn(
         "conversations", C.replace_last_assistant(F.col("conversations"), F.col("_response"))
-    ).select("id", *carried)
+    ).select("id", *carried, "_response")
 
 
 def merge_stage2(
@@ -125,6 +134,13 @@ def merge_stage2(
     Responses lose their think markup; one that comes out too short is replaced by the
     cleaned source text. Sources with one id are taken as in :func:`merge_stage1`.
     """
+    merged = _merged_stage2(source, output, ratio, floor, fallback, order_by).where(_answered())
+    return merged.drop("_response")
+
+
+def _merged_stage2(
+    source: DataFrame, output: DataFrame, ratio: float, floor: int, fallback: bool, order_by: Sequence[str] | None
+) -> DataFrame:
     answers = _answers(output, strip_think_tokens)
     text = F.coalesce(strip_think_tokens(optional(source, "thinking_answer_text")), F.lit(""))
     texts = one_per_key(source, "id", order_by).select("id", "conversations", text.alias("_source"))
@@ -138,9 +154,37 @@ def merge_stage2(
         "id",
         C.delivery_conversations(F.col("conversations"), answer).alias("conversations"),
         "replaced_short",
+        "_response",
     )
 
 
+def merge_stage1_counted(
+    source: DataFrame, output: DataFrame, order_by: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`merge_stage1` written once, and its :func:`merge_stage_report` from the same job."""
+    return _written_merge(_merged_stage1(source, output, order_by))
+
+
+def merge_stage2_counted(
+    source: DataFrame,
+    output: DataFrame,
+    ratio: float = fixed.MIN_LENGTH_RATIO,
+    floor: int = fixed.MIN_LENGTH_FLOOR,
+    fallback: bool = True,
+    order_by: Sequence[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`merge_stage2` written once, and its :func:`merge_stage_report` from the same job."""
+    merged = _merged_stage2(source, output, ratio, floor, fallback, order_by)
+    return _written_merge(merged, short_replaced=F.count_if(F.col("replaced_short") & _answered()))
+
+
+def _written_merge(merged: DataFrame, **more: Column) -> tuple[DataFrame, DataFrame]:
+    # Skipped responses come along to the writing stage, where they are counted.
+    counters = Counters(written=F.count_if(_answered()), skipped_empty=F.count_if(~_answered()), **more)
+    written = materialize(counters.watch(merged).where(_answered()).drop("_response"), "merged")
+    return written, counters.row()
+
+
 def merge_stage_report(output: DataFrame, merged: DataFrame, think: bool = False) -> DataFrame:
     """One row: responses, those skipped as empty, those replaced as too short."""
     clean = strip_think_tokens if think else py_strip

@@ -10,6 +10,7 @@ from ..functions import envelopes, prompts
 from ..functions import fixed_values as fixed
 from ..functions.prompts import Template
 from ..functions.text import after_last_think, compact_len, strip_think_tokens
+from ..session import Counters, materialize
 
 
 def optional(df: DataFrame, name: str, kind: str = "string") -> Column:
@@ -109,12 +110,17 @@ def with_original_idx(df: DataFrame) -> DataFrame:
 
 
 def prepare_judge(
-    df: DataFrame, n_examples: int = 8, prefix: str = "output_", template: Template = None
+    df: DataFrame,
+    n_examples: int = 8,
+    prefix: str = "output_",
+    template: Template = None,
+    mark_first: bool = False,
 ) -> DataFrame:
     """One row per question and non-empty candidate ``{prefix}0 … {prefix}{n-1}`` with its prompt.
 
     ``original_idx`` is the input's own, else its line number. The prompt is rendered
-    after the unpivot, once per candidate.
+    after the unpivot, once per candidate. ``mark_first`` adds ``_first``, true for the first
+    candidate of each input row.
     """
     names = [(i, f"{prefix}{i}") for i in range(n_examples)]
     candidates = [
@@ -128,8 +134,8 @@ def prepare_judge(
         "original_idx",
         "question",
         "reference_answer",
-        F.inline(F.filter(F.array(*candidates), lambda c: c["model_answer"] != "")),
-    )
+        F.posexplode(F.filter(F.array(*candidates), lambda c: c["model_answer"] != "")).alias("_place", "_candidate"),
+    ).select("original_idx", "question", "reference_answer", "_candidate.*", (F.col("_place") == 0).alias("_first"))
     prompt = prompts.judge_prompt(
         F.col("question"), F.col("reference_answer"), F.col("model_answer")
     )
@@ -140,15 +146,40 @@ def prepare_judge(
         "reference_answer",
         "model_answer",
         prompts.apply_chat_template(prompt, template).alias("prompt"),
+        *(["_first"] if mark_first else []),
     )
 
 
+def prepare_judge_counted(
+    df: DataFrame, n_examples: int = 8, prefix: str = "output_", template: Template = None
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`prepare_judge` written once, and its :func:`prepare_report` from the same job."""
+    first = F.col("_first")
+    tasks = prepare_judge(df, n_examples, prefix, template, mark_first=True)
+    counters = Counters(inputs=F.count_if(first), tasks=F.count(F.lit(1)))
+    written = materialize(counters.watch(tasks).drop("_first"), "prepared")
+    return written, tasks_per_input(counters.row())
+
+
+def normalize_counted(df: DataFrame, stage: int, label: str = "normalized") -> tuple[DataFrame, DataFrame]:
+    """One of the two normalising steps, written once, and one row with the rows it read
+    (``total``) and kept, counted by the job that writes."""
+    read, kept = Counters(total=F.count(F.lit(1))), Counters(kept=F.count(F.lit(1)))
+    step = normalize_stage1 if stage == 1 else normalize_stage2
+    written = materialize(kept.watch(step(read.watch(df))), label)
+    return written, read.row().crossJoin(kept.row())
+
+
 def prepare_report(prepared: DataFrame) -> DataFrame:
     """One row: inputs with a task, tasks, tasks per input."""
     per_input = prepared.groupBy("original_idx").agg(F.count(F.lit(1)).alias("n"))
     counted = per_input.agg(
         F.count(F.lit(1)).alias("inputs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tasks")
     )
+    return tasks_per_input(counted)
+
+
+def tasks_per_input(counted: DataFrame) -> DataFrame:
     average = F.coalesce(F.try_divide(F.col("tasks"), F.col("inputs")), F.lit(0.0))
     return counted.withColumn("tasks_per_input", average)
 

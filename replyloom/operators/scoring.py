@@ -68,19 +68,22 @@ def failed_rows(scored: DataFrame, response: str = "response") -> DataFrame:
     Every row keeps its whole response. A row without a score object also has a preview of
     it, a row with a bad one has the object. Lines are counted from 1 here, as in an editor.
     """
+    return scored.where(F.col("error").isNotNull()).select(*failed_columns(scored, response))
+
+
+def failed_columns(scored: DataFrame, response: str = "response") -> list[Column]:
     absent = F.col("extracted").isNull()
     position = [F.col(c) for c in ("file", "original_idx", "output_idx") if c in scored.columns]
     if "line" in scored.columns:
         position.insert(0, (F.col("line") + 1).alias("line"))
-    return scored.where(F.col("error").isNotNull()).select(
+    preview = F.substring(F.coalesce(response, F.lit("")), 1, fixed.PREVIEW_CHARS)
+    return [
         *position,
-        "error",
-        F.when(absent, F.substring(F.coalesce(response, F.lit("")), 1, fixed.PREVIEW_CHARS)).alias(
-            "response_preview"
-        ),
+        F.col("error"),
+        F.when(absent, preview).alias("response_preview"),
         F.to_json("extracted").alias("extracted_score"),
         F.col(response).alias("raw_response"),
-    )
+    ]
 
 
 def failed_prepared(scored: DataFrame, response: str = "response") -> DataFrame:
@@ -101,14 +104,19 @@ def run_report(scored: DataFrame, bad: DataFrame | None = None) -> DataFrame:
 
     Undecodable lines in ``bad`` count as failed.
     """
-    outcome = scored.select(F.col("error").isNull().alias("ok"))
+    return report_of(scored.agg(*[c.alias(name) for name, c in outcome_counts().items()]), bad)
+
+
+def outcome_counts() -> dict[str, Column]:
+    """``total, success, failed`` of a scored frame, for an aggregation or for
+    :class:`~replyloom.session.Counters` of the job that writes it."""
+    failed = F.col("error").isNotNull()
+    return {"total": F.count(F.lit(1)), "success": F.count_if(~failed), "failed": F.count_if(failed)}
+
+
+def report_of(counts: DataFrame, bad: DataFrame | None = None) -> DataFrame:
+    """:func:`run_report` from :func:`outcome_counts`; only ``bad`` is read."""
     if bad is not None:
-        outcome = outcome.unionAll(bad.select(F.lit(False).alias("ok")))
-    counted = outcome.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if("ok").alias("success"),
-        F.count_if(~F.col("ok")).alias("failed"),
-    )
-    return counted.withColumn(
-        "success_rate", F.try_divide(F.col("success") * 100.0, F.col("total"))
-    )
+        lines = bad.agg(F.count(F.lit(1))).scalar()
+        counts = counts.withColumns({"total": F.col("total") + lines, "failed": F.col("failed") + lines})
+    return counts.withColumn("success_rate", F.try_divide(F.col("success") * 100.0, F.col("total")))

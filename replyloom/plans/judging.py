@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions.prompts import Template
 from ..operators import analysis, inference, matching, records, scoring
-from ..session import ROW, materialize, number_rows
+from ..session import ROW, materialize, materialize_counted
 from ..sources.jsonl import as_bad_lines
 
 JUDGE_KEYS = ("original_idx", "output_idx")
@@ -82,21 +82,37 @@ def run_judge(
         responses = earlier(done, JUDGE_KEYS)
     else:
         responses = infer_pending(prepared, backend, params, JUDGE_KEYS, done, **options)
-    scored = scoring.score_responses(responses.select(*JUDGE_KEYS, "response", F.col("_error").alias("_call_error")), "strict")
-    scored = scored.withColumn("error", F.coalesce("_call_error", "error")).drop("_call_error")
-    # Scores need no texts of the prepared rows: each question's own come once from the
-    # source, not once per candidate. New responses are to prepared rows by construction,
-    # earlier ones are matched with them by key.
-    known = scored.where(F.col("error").isNull()).select(*JUDGE_KEYS, "scores")
     if done is not None:
-        known = known.join(prepared.select(*JUDGE_KEYS), list(JUDGE_KEYS), "left_semi")
-    context = records.judge_context(source)
-    scores = analysis.aggregate_scores(known, prefix, context=context)
-    failed = scoring.failed_prepared(scored)
-    if given is None:
+        # New responses are to prepared rows by construction, earlier ones are matched by key.
+        responses = responses.join(prepared.select(*JUDGE_KEYS), list(JUDGE_KEYS), "left_semi")
+
+    def of_failed(failed: DataFrame) -> DataFrame:
         # Prompts are the largest texts here: render them for failed rows only.
         concerned = source.join(failed.select("original_idx").distinct(), "original_idx", "left_semi")
-        prepared = records.prepare_judge(concerned, n_examples, prefix, template)
+        return records.prepare_judge(concerned, n_examples, prefix, template)
+
+    return judge_results(source, given if given is not None else of_failed, responses, prefix)
+
+
+def judge_results(
+    source: DataFrame,
+    prepared: DataFrame | Callable[[DataFrame], DataFrame],
+    responses: DataFrame,
+    prefix: str = "output_",
+) -> tuple[DataFrame, DataFrame]:
+    """``(scores per question, failed rows)`` from responses with their call's ``_error``.
+
+    Scores need no texts of the prepared rows: each question's own come once from the source,
+    not once per candidate. ``prepared`` may be a function of the failed rows.
+    """
+    called = responses.select(*JUDGE_KEYS, "response", F.col("_error").alias("_call_error"))
+    scored = scoring.score_responses(called, "strict")
+    scored = scored.withColumn("error", F.coalesce("_call_error", "error")).drop("_call_error")
+    known = scored.where(F.col("error").isNull()).select(*JUDGE_KEYS, "scores")
+    scores = analysis.aggregate_scores(known, prefix, context=records.judge_context(source))
+    failed = scoring.failed_prepared(scored)
+    if callable(prepared):
+        prepared = prepared(failed)
     return scores, failed.join(prepared, list(JUDGE_KEYS))
 
 
@@ -121,15 +137,19 @@ def run_preference(
     """Responses to scores, failed rows, best and worst answers and their report.
 
     ``bad`` holds the undecodable lines of the same files, which join the failed rows. The
-    parsed frame is written once, as six frames are read from it; ``write=False`` parses
-    again for each.
+    parsed frame is written once, as five frames are read from it, and counted by the job that
+    writes; ``write=False`` parses again for each.
     """
     scored = scoring.score_responses(responses, "robust").drop("prompt")
     if write:
         # Only failed rows need what was searched again.
         bad_row = F.col("error").isNotNull()
         seen = {c: F.when(bad_row, F.col(c)) for c in ("response", "extracted")}
-        scored = number_rows(scored.withColumns(seen), "scored")
+        numbered = scored.withColumns(seen).withColumn(ROW, F.monotonically_increasing_id())
+        scored, counts = materialize_counted(numbered, "scored", **scoring.outcome_counts())
+        report = scoring.report_of(counts, bad)
+    else:
+        report = scoring.run_report(scored, bad)
     ok, failed = scoring.split_ok_failed(scored)
     if bad is not None:
         failed = failed.unionByName(as_bad_lines(bad), allowMissingColumns=True)
@@ -139,5 +159,5 @@ def run_preference(
         best_worst=analysis.best_worst(ok, order_by),
         summary=analysis.best_worst_summary(ok),
         histogram=analysis.score_histogram(ok),
-        report=scoring.run_report(scored, bad),
+        report=report,
     )

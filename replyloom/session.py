@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Mapping
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Number of a row of a written frame, see :func:`number_rows`.
@@ -70,3 +72,45 @@ def number_rows(df: DataFrame, label: str) -> DataFrame:
     if ROW in df.columns:
         return df
     return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), label)
+
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, in whatever store it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def one_row(spark: SparkSession, schema: Any, values: Mapping[str, Any]) -> DataFrame:
+    """A frame of one row from driver values."""
+    columns = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*columns)
+
+
+class Counters:
+    """Aggregates over a frame that are gathered by the job that uses it.
+
+    ``watch`` returns the frame to go on with; after an action on it, ``row`` has the values.
+    They are exact where no shuffle lies between the watched frame and that action: tasks of a
+    last stage count once, those of earlier stages again when an executor is lost. The first
+    action counts.
+    """
+
+    def __init__(self, **metrics: Column):
+        self.metrics = [column.alias(name) for name, column in metrics.items()]
+        self.seen = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        self.spark, self.schema = df.sparkSession, df.agg(*self.metrics).schema
+        return df.observe(self.seen, *self.metrics)
+
+    def values(self) -> dict[str, Any]:
+        return dict(self.seen.get)
+
+    def row(self) -> DataFrame:
+        return one_row(self.spark, self.schema, self.values())
+
+
+def materialize_counted(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, DataFrame]:
+    """:func:`materialize`, and one row of ``metrics`` over ``df`` that the writing job gathers."""
+    counters = Counters(**metrics)
+    return materialize(counters.watch(df), label), counters.row()

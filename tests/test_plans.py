@@ -97,7 +97,8 @@ def test_preference_run_from_files(spark, tmp_path):
     failed = sorted((r.line, r.error, r.original_idx) for r in result.failed.collect())
     assert failed == [(2, "JSON parse error", None), (5, "total_score out of range", 0)]
     assert tuple(result.report.first()) == (6, 4, 2, pytest.approx(400 / 6))
-    sinks.write_ok_failed(result.scored, result.failed, str(tmp_path / "ok"), str(tmp_path / "bad"))
+    sinks.write_jsonl(result.scored, str(tmp_path / "ok"))
+    sinks.write_jsonl(result.failed, str(tmp_path / "bad"))
     written = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "ok")).collect()]
     assert len(written) == 4 and all(r["model"] == "m" and "file" not in r for r in written)
 

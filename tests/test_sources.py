@@ -108,7 +108,7 @@ def test_write_shards_splits_a_hot_shard(spark, tmp_path):
         rows = spark.range(40_000).select(
             F.when(F.col("id") % 3 > 0, F.col("id")).alias("original_idx"), F.sha2(F.col("id").cast("string"), 256).alias("text")
         ).repartition(6)
-        counts = sinks.write_shards(rows, str(tmp_path / "s"), sharding.mod_shard(F.col("original_idx"), 4)).collect()
+        counts = sinks.write_shards(rows, str(tmp_path / "s"), sharding.mod_shard(F.col("original_idx"), 4), 4).collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert sum(r.rows for r in counts) == 40_000 and {r.shard for r in counts} == {0, 1, 2, 3}
@@ -120,7 +120,7 @@ def test_shards_merge_back(spark, tmp_path):
     """Split by id, read the shards again, merge: every record once."""
     rows = spark.range(500).select(F.concat(F.lit("id"), F.col("id") % 400).alias("id"), F.col("id").alias("n"))
     for part in (0, 1):
-        sinks.write_shards(rows, str(tmp_path / f"s{part}"), sharding.md5_shard(F.col("id"), 8))
+        sinks.write_shards(rows, str(tmp_path / f"s{part}"), sharding.md5_shard(F.col("id"), 8), 8)
     lines = jsonl.scan_lines(spark, str(tmp_path / "s*" / "shard=*"))
     read, _ = jsonl.parse_lines(jsonl.number_lines(lines), "id string, n bigint")
     merged = matching.merge_shards(read)
