@@ -42,7 +42,7 @@ SUPPORT, LONGEST, SHARDS, TOP = 10, 3, 4, 2000
 INSIDE_PERCENT = 50
 SCALE = 1_000_000
 #: Words counted together, and bytes of a text that are split together.
-WORDS, BLOCK = 1 << 20, 1 << 20
+WORDS, BLOCK = 1 << 19, 1 << 20
 #: Size of the largest bitmap as a power of two: 32 MB.
 MOST_BITS = 28
 SEGMENT = 15
