@@ -127,15 +127,21 @@ texts AS (SELECT min(doc_id) AS key, text, any_value(lines) AS lines FROM rows G
 each AS (SELECT key, unnest(range(0, len(lines))) AS pos, unnest(lines) AS line FROM texts),
 tokens AS (SELECT key, pos, list_transform({_WORDS.format('line')},
         lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '{lines.MARK}' ELSE w END) AS words FROM each),
-tree AS (SELECT key, pos, words, len(words) AS n, words[1:{lines.DEPTH}] AS head, array_to_string(words, ' ') AS line
-    FROM tokens WHERE len(words) >= {lines.MIN_WORDS}),
+tree AS (SELECT key, pos, words, len(words) AS n, array_to_string(words, ' ') AS line,
+    words[1 : CASE WHEN len(words) <= {lines.WHOLE} THEN len(words) ELSE least({lines.DEPTH}, len(words) // 2) END] AS head
+    FROM tokens WHERE len(words) > 0),
 texts_of AS (SELECT n, head, line, any_value(words) AS words, count(DISTINCT key) AS texts FROM tree GROUP BY n, head, line),
 placed AS (SELECT n, head, line, texts, unnest(range(0, n)) AS spot, unnest(words) AS word FROM texts_of),
 common AS (SELECT n, head, spot, word FROM placed GROUP BY n, head, spot, word HAVING sum(texts) >= {lines.MIN_DOCS}),
-general AS (SELECT p.n, p.head, p.line, p.spot, c.word FROM placed p LEFT JOIN common c
+general AS (SELECT p.n, p.head, p.line, p.spot, p.word = '{lines.MARK}' AS number,
+    CASE WHEN p.word = '{lines.MARK}' THEN p.word ELSE c.word END AS word FROM placed p LEFT JOIN common c
     ON p.n = c.n AND p.head = c.head AND p.spot = c.spot AND p.word = c.word),
 templates AS (SELECT n, head, line, string_agg(coalesce(word, '{lines.MARK}'), ' ' ORDER BY spot) AS template
-    FROM general GROUP BY n, head, line HAVING count(word) >= n * {lines.FIXED}),
+    FROM general GROUP BY n, head, line
+    HAVING count(*) FILTER (WHERE word IS NULL) <= CASE WHEN n <= {lines.WHOLE} THEN 0.0 WHEN n <= {lines.ONE_FIELD} THEN 1.0
+        ELSE n * (1 - {lines.FIXED}) + 1e-9 END
+      AND 2 * count(*) FILTER (WHERE word IS NOT NULL AND NOT number) >= n
+      AND count(*) FILTER (WHERE word IS NOT NULL AND NOT number) >= greatest(1, least(2, n - 1))),
 marked AS (SELECT t.n, t.head, m.template, t.key, t.pos FROM tree t JOIN templates m
     ON t.n = m.n AND t.head = m.head AND t.line = m.line),
 recurring AS (SELECT n, head, template, min(key) AS kept_in FROM marked
