@@ -6,34 +6,41 @@ length. Items lie in blocks, and each word keeps its largest impact per block. E
 every text is a query. Its words' block maxima are added up first, each word once in each half of the passage: a block whose sum stays below
 the threshold is skipped, as no item in it can reach it; the others are scored item by item,
 and every item at or above the threshold is retrieved, not only the best. Passages of one text
-are bounded together, as windows over running sums.
+are bounded together.
 
 What is retrieved is verified: of the question's five-word shingles and of the answer's words a
-share of ``overlap`` or more must be in the passage. Passages are twice as long as the longest
-item of the index and overlap by half, so every occurrence lies within one of them whole.
+share of ``overlap`` or more must be in the passage. Items are dealt to classes by length, up to a power
+of two; passages are twice as long as that and overlap by half, so every occurrence lies within
+one of them whole. Items of fewer than ``min_words`` words have too little to score: they are found
+where all their words stand in a row.
 
-The index is sent to all tasks. Its size is bounded: items are dealt over as many indexes as
-their bytes need (:data:`INDEX_BYTES` each), and texts are read once per index.
+Items and their word counts are Spark tables, and so are the numbers of items and of items with
+a word that scores depend on. What is sent to all tasks at once is a bundle of indexes over
+``index_bytes`` of items; texts are read once per bundle. Results do not depend on that number.
 
 Words are lower-cased (A-Z) with ASCII punctuation taken as space. Defined results: null and empty
-texts or items never match; items shorter than ``min_words`` words are no evidence and are left
-out; repeated items with one id are one item, the first in order of text; repeated documents
-are all found; an empty table on either side finds nothing; further columns are carried
-whatever their names.
+texts or items never match, nor do items without an id; repeated items with one id are one item, the
+first in order of text; of an item's passages with the same overlap the better, then the first
+counts; a text of any length is searched whole, its words in memory; documents with null or
+repeated ids are all found; an empty table on either side finds nothing; further columns are
+carried whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replyloom.llm.common import map_rows, words
+from replyloom.session import materialize
 
 SHINGLE = 5
 OVERLAP = 0.8
@@ -41,6 +48,8 @@ THRESHOLD = 0.5
 MIN_WORDS = 8
 BLOCK = 4
 INDEX_BYTES = 1 << 20
+#: Sums of maxima held at once, of a text's chunks times blocks.
+SUMS = 1 << 22
 K1, B = 1.2, 0.75
 
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -56,48 +65,53 @@ def shingles(found: list[bytes]) -> set[tuple[bytes, ...]]:
 
 
 class Index:
-    """Postings of items with impacts, and their maxima per block of items."""
+    """Postings of items with impacts, and the words' largest impacts per block of items.
 
-    def __init__(self, items: list[tuple[int, bytes, bytes]], min_words: int):
+    ``count``, ``mean`` and ``in_items`` are of all items, those of other indexes included: their
+    number, their mean length and in how many a word is. ``chunk`` is half a passage, as long as
+    any item or longer.
+    """
+
+    def __init__(self, items: list[tuple[int, bytes, bytes]], count: int, mean: float, in_items: Mapping[bytes, int], chunk: int):
         split = [(key, tokens(question), tokens(answer)) for key, question, answer in items]
-        split = [x for x in split if len(x[1]) + len(x[2]) >= min_words]
         # Items alike in their words lie together, so that blocks bound them well.
         split.sort(key=lambda x: (len(x[1]) + len(x[2]), x[1]))
         self.keys = [key for key, _, _ in split]
         self.questions = [shingles(question) for _, question, _ in split]
         self.answers = [Counter(answer) for _, _, answer in split]
-        counts = [Counter(question + answer) for _, question, answer in split]
-        lengths = [sum(c.values()) for c in counts]
-        self.longest = max(lengths, default=0)
-        n, mean = len(split), sum(lengths) / max(1, len(lengths))
-        in_items = Counter(word for c in counts for word in c)
-        self.blocks = -(-n // BLOCK)
+        self.chunk = chunk
+        self.blocks = -(-len(split) // BLOCK)
         self.words: dict[bytes, int] = {}
         posted: list[list[tuple[int, float]]] = [[]]  # word 0 stands for all that no item has
-        for item, (c, length) in enumerate(zip(counts, lengths, strict=True)):
-            impact = {
-                word: math.log(1 + (n - in_items[word] + 0.5) / (in_items[word] + 0.5))
-                * (tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean)))
-                for word, tf in c.items()
-            }
+        for item, (_, question, answer) in enumerate(split):
+            impact = impacts(Counter(question + answer), count, mean, in_items)
             whole = sum(impact.values())
             for word, value in impact.items():
                 if word not in self.words:
                     self.words[word] = len(posted)
                     posted.append([])
                 posted[self.words[word]].append((item, value / whole))
-        # Postings of all words one after another, and where each word's begin.
+        # Postings of all words one after another, and where each word's begin; so for the blocks.
         self.begin = np.cumsum([0, *map(len, posted)])
         self.items = np.array([item for p in posted for item, _ in p], np.int64)
         self.impacts = np.array([value for p in posted for _, value in p])
-        self.maxima = np.zeros((len(posted), self.blocks), np.float32)
         word_of = np.repeat(np.arange(len(posted)), np.diff(self.begin))
-        np.maximum.at(self.maxima, (word_of, self.items // BLOCK), self.impacts)
+        cells, cell = np.unique(word_of * max(1, self.blocks) + self.items // BLOCK, return_inverse=True)
+        self.maxima = np.zeros(len(cells))
+        np.maximum.at(self.maxima, cell, self.impacts)
+        self.block_of = cells % max(1, self.blocks)
+        self.block_begin = np.searchsorted(cells, np.arange(len(posted) + 1) * max(1, self.blocks))
+
+    def bounds(self, chunk: np.ndarray, word: np.ndarray, chunks: int) -> np.ndarray:
+        """Sums of the words' maxima per chunk and block."""
+        at, of = spread(self.block_begin, word)
+        cells = chunk[of] * self.blocks + self.block_of[at]
+        return np.bincount(cells, self.maxima[at], chunks * self.blocks).reshape(chunks, self.blocks)
 
     def search(self, found: list[bytes], threshold: float) -> Iterator[tuple[int, int, int, float]]:
         """``(first word, last word, item, score)`` of passages and items at the threshold.
 
-        A passage is two chunks of a text, each as long as the longest item.
+        A passage is two chunks of a text.
         """
         known = self.words.get
         numbers = np.fromiter(map(known, found, repeat(0)), np.int64, len(found))
@@ -105,30 +119,29 @@ class Index:
         if not len(at):
             return
         # A word counts once in a chunk.
-        size, chunks = len(self.maxima), -(-len(found) // self.longest)
-        pairs = np.unique(at // self.longest * size + numbers[at])
-        word = pairs % size
+        size, chunks = len(self.begin) - 1, -(-len(found) // self.chunk)
+        pairs = np.unique(at // self.chunk * size + numbers[at])
+        chunk, word = pairs // size, pairs % size
         edge = np.searchsorted(pairs, np.arange(chunks + 1) * size)
-        running = np.zeros((len(word) + 1, self.blocks))
-        np.cumsum(self.maxima[word], axis=0, out=running[1:])
-        passages = max(1, chunks - 1)
-        stop = np.minimum(np.arange(passages) + 2, chunks)
-        over = running[edge[stop]] - running[edge[:passages]] >= threshold - 1e-4
-        for passage in np.flatnonzero(over.any(axis=1)).tolist():
-            words = np.unique(word[edge[passage] : edge[stop[passage]]])
-            counts = self.begin[words + 1] - self.begin[words]
-            shift = np.repeat(self.begin[words] - (np.cumsum(counts) - counts), counts)
-            posting = shift + np.arange(len(shift))
-            posting = posting[over[passage][self.items[posting] // BLOCK]]
-            scores = np.bincount(self.items[posting], self.impacts[posting])
-            start = passage * self.longest
-            for item in np.flatnonzero(scores >= threshold).tolist():
-                yield start, min(start + 2 * self.longest, len(found)), item, float(scores[item])
-
-    def leaks(self, text: bytes | None, threshold: float, overlap: float) -> list[tuple]:
+        together = max(1, SUMS // self.blocks)
+        for low in range(0, max(1, chunks - 1), together):
+            high = min(low + together + 1, chunks)
+            part = slice(edge[low], edge[high])
+            sums = self.bounds(chunk[part] - low, word[part], high - low)
+            over = (sums[:-1] + sums[1:] if len(sums) > 1 else sums) >= threshold - 1e-4
+            for passage in np.flatnonzero(over.any(axis=1)).tolist():
+                stop = min(low + passage + 2, chunks)
+                words = np.unique(word[edge[low + passage] : edge[stop]])
+                posting, _ = spread(self.begin, words)
+                posting = posting[over[passage][self.items[posting] // BLOCK]]
+                scores = np.bincount(self.items[posting], self.impacts[posting])
+                start = (low + passage) * self.chunk
+                for item in np.flatnonzero(scores >= threshold).tolist():
+                    yield start, min(start + 2 * self.chunk, len(found)), item, float(scores[item])
+
+    def leaks(self, found: list[bytes], threshold: float, overlap: float) -> list[tuple]:
         """``(key, score, question overlap, answer overlap, first word, last word)``, the best
         passage of each item that is verified."""
-        found = tokens(text)
         best: dict[int, tuple] = {}
         for start, end, item, score in self.search(found, threshold):
             passage = found[start:end]
@@ -152,23 +165,99 @@ def split_item(text: Column, share: float = 2 / 3) -> tuple[Column, Column]:
     )
 
 
-def indexes(
+class ShortItems:
+    """Items too short to score, found word by word."""
+
+    def __init__(self, items: list[tuple[int, bytes, bytes]]):
+        self.by_first: dict[bytes, list[tuple[int, list[bytes]]]] = {}
+        for key, question, answer in items:
+            whole = tokens(question) + tokens(answer)
+            self.by_first.setdefault(whole[0], []).append((key, whole))
+
+    def leaks(self, found: list[bytes], threshold: float, overlap: float) -> list[tuple]:
+        """As :meth:`Index.leaks`: the first place of each item."""
+        best: dict[int, tuple] = {}
+        if self.by_first.keys().isdisjoint(found):
+            return []
+        for i, word in enumerate(found):
+            for key, whole in self.by_first.get(word, ()):
+                if key not in best and found[i : i + len(whole)] == whole:
+                    best[key] = key, 1.0, 1.0, 1.0, i, i + len(whole)
+        return [best[key] for key in sorted(best)]
+
+
+def impacts(words: Counter, count: int, mean: float, in_items: Mapping[bytes, int]) -> dict[bytes, float]:
+    """BM25 impact of the words of an item."""
+    length = words.total()
+    return {
+        word: math.log(1 + (count - in_items[word] + 0.5) / (in_items[word] + 0.5))
+        * (tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean)))
+        for word, tf in words.items()
+    }
+
+
+def spread(begin: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the chosen lists, and for each which of the chosen it is of."""
+    counts = begin[chosen + 1] - begin[chosen]
+    of = np.repeat(np.arange(len(chosen)), counts)
+    return np.arange(len(of)) + (begin[chosen] - (np.cumsum(counts) - counts))[of], of
+
+
+def bundles(
     items: DataFrame, key: str, question: Column, answer: Column, min_words: int, index_bytes: int
-) -> list[Index]:
+) -> Iterator[list[Index | ShortItems]]:
+    """Indexes over all items, in bundles over about ``index_bytes`` of them."""
     rows = items.select(
         F.col(key).cast("long").alias("key"),
         F.coalesce(question, F.lit("")).cast("binary").alias("question"),
         F.coalesce(answer, F.lit("")).cast("binary").alias("answer"),
     ).where("key is not null")
-    size = rows.agg(F.sum(F.length("question") + F.length("answer"))).first()[0] or 0
-    parts = size // index_bytes + 1
-    part = F.pmod(F.xxhash64("key"), F.lit(parts))
-    built = []
-    for i in range(parts):
-        chosen = rows.where(part == i).groupBy("key").agg(F.min(F.struct("question", "answer")).alias("x"))
-        found = chosen.select("key", "x.question", "x.answer").orderBy("key").collect()
-        built.append(Index([(r["key"], bytes(r["question"]), bytes(r["answer"])) for r in found], min_words))
-    return [index for index in built if index.keys]
+    single = rows.groupBy("key").agg(F.min(F.struct("question", "answer")).alias("x")).select("key", "x.*")
+
+    def measure(rows: Iterator[dict]) -> Iterator[tuple]:
+        for row in rows:
+            whole = tokens(row["question"]) + tokens(row["answer"])
+            # Class 0 for items too short to score, else the power of two that holds the item.
+            kind = (len(whole) - 1).bit_length() if len(whole) >= min_words else 0
+            if whole:
+                yield row["key"], row["question"], row["answer"], len(whole), kind, list(set(whole))
+
+    schema = "key bigint, question binary, answer binary, n int, kind int, words array<binary>"
+    measured = materialize(map_rows(single, measure, schema), "items")
+    scored = measured.where("kind > 0")
+    in_items = materialize(scored.select(F.explode("words").alias("word")).groupBy("word").count(), "item-words")
+    count, mean = scored.agg(F.count("*"), F.avg("n")).first()
+    size = F.sum(F.length("question") + F.length("answer"))
+    todo: list[tuple[int, int, int]] = []
+    held = 0
+    for kind, total in measured.groupBy("kind").agg(size).orderBy("kind").collect():
+        parts = total // index_bytes + 1
+        for part in range(parts):
+            if todo and held + total // parts > index_bytes:
+                yield _bundle(measured, in_items, todo, count, mean)
+                todo, held = [], 0
+            todo.append((kind, parts, part))
+            held += total // parts
+    if todo:
+        yield _bundle(measured, in_items, todo, count, mean)
+
+
+def _bundle(
+    measured: DataFrame, in_items: DataFrame, todo: list[tuple[int, int, int]], count: int, mean: float
+) -> list[Index | ShortItems]:
+    found: list[Index | ShortItems] = []
+    for kind, parts, part in todo:
+        chosen = measured.where((F.col("kind") == kind) & (F.pmod(F.xxhash64("key"), F.lit(parts)) == part))
+        rows = [(r["key"], bytes(r["question"]), bytes(r["answer"])) for r in chosen.orderBy("key").collect()]
+        if not rows:
+            continue
+        if kind == 0:
+            found.append(ShortItems(rows))
+            continue
+        words = chosen.select(F.explode("words").alias("word")).distinct().join(in_items, "word")
+        numbers = {bytes(r["word"]): r["count"] for r in words.collect()}
+        found.append(Index(rows, count, mean, numbers, 1 << kind))
+    return found
 
 
 def find_leaks(
@@ -193,13 +282,15 @@ def find_leaks(
     )
     chosen = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
     result = spark.createDataFrame([], schema)
-    for index in indexes(items, item_key, question, answer, min_words, index_bytes):
-        shared = spark.sparkContext.broadcast(index)
+    for bundle in bundles(items, item_key, question, answer, min_words, index_bytes):
+        shared = spark.sparkContext.broadcast(bundle)
 
         def run(rows: Iterator[dict], shared=shared) -> Iterator[tuple]:
             for row in rows:
-                for leak in shared.value.leaks(row["text"], threshold, overlap):
-                    yield row["key"], *leak
+                found = tokens(row["text"])
+                for index in shared.value:
+                    for leak in index.leaks(found, threshold, overlap):
+                        yield row["key"], *leak
 
         result = result.union(map_rows(chosen, run, schema))
     return result
@@ -219,12 +310,16 @@ def drop_leaking(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no test item; rows stay where they are."""
     spark, left = docs.sparkSession, docs
-    for index in indexes(items, item_key, question, answer, min_words, index_bytes):
-        shared = spark.sparkContext.broadcast(index)
-
-        @F.udf("boolean", useArrow=True)
-        def leaking(value, shared=shared):
-            return bool(shared.value.leaks(value, threshold, overlap))
-
+    for bundle in bundles(items, item_key, question, answer, min_words, index_bytes):
+        leaking = _leaking(spark.sparkContext.broadcast(bundle), threshold, overlap)
         left = left.where(~leaking(F.col(text).cast("binary")))
     return left
+
+
+def _leaking(shared: Broadcast, threshold: float, overlap: float) -> Callable[..., Column]:
+    @F.pandas_udf("boolean")
+    def leaking(texts: pd.Series) -> pd.Series:
+        found = map(tokens, texts)
+        return pd.Series([any(index.leaks(f, threshold, overlap) for index in shared.value) for f in found], dtype=bool)
+
+    return leaking

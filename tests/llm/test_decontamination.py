@@ -1,4 +1,5 @@
-import numpy as np
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from replyloom.llm import decontamination as D
@@ -39,26 +40,89 @@ def test_near_and_far(spark, documents, prose):
     assert leaks(documents(texts), items(spark, [" ".join(test)])) == {(0, 0)}
 
 
-def test_search_equals_brute_force(prose):
+def test_search_equals_brute_force(prose, monkeypatch):
     """The block bounds leave out nothing: scores by index and by definition agree."""
-    index = D.Index([(i, prose(3000 + i, 12 + i % 20, 300).encode(), b"") for i in range(70)], 1)
+    rows = [(i, prose(3000 + i, 12 + i % 20, 300).encode(), b"") for i in range(70)]
+    split = [Counter(D.tokens(q)) for _, q, _ in rows]
+    in_items = Counter(w for c in split for w in c)
+    index = D.Index(rows, 90, 21.5, {w: n + 3 for w, n in in_items.items()}, 32)
     text = " ".join(prose(3000 + i, 12 + i % 20, 300) for i in range(0, 70, 7)) + " " + prose(9, 500, 300)
     words = D.tokens(text.encode())
-    owner = np.repeat(np.arange(len(index.maxima)), np.diff(index.begin)).tolist()
-    impact = dict(zip(zip(owner, index.items.tolist()), index.impacts.tolist()))
-    found = {(s, item): score for s, _, item, score in index.search(words, 0.4)}
-    for start in range(0, max(1, (-(-len(words) // index.longest) - 1) * index.longest), index.longest):
-        passage = {index.words.get(w) for w in words[start : start + 2 * index.longest]}
-        for item in range(len(index.keys)):
-            score = sum(impact.get((n, item), 0) for n in passage)
-            assert ((start, item) in found) == (score >= 0.4) or abs(score - 0.4) < 1e-9
-            if (start, item) in found:
-                assert abs(found[start, item] - score) < 1e-9
+    impact = {}
+    for key, question, _ in rows:
+        of_item = D.impacts(Counter(D.tokens(question)), 90, 21.5, {w: n + 3 for w, n in in_items.items()})
+        impact[key] = {w: v / sum(of_item.values()) for w, v in of_item.items()}
+    for sums in (1 << 22, 40):
+        monkeypatch.setattr(D, "SUMS", sums)
+        found = {(s, index.keys[item]): score for s, _, item, score in index.search(words, 0.4)}
+        for start in range(0, max(1, -(-len(words) // 32) - 1) * 32, 32):
+            passage = set(words[start : start + 64])
+            for key in impact:
+                score = sum(v for w, v in impact[key].items() if w in passage)
+                assert ((start, key) in found) == (score >= 0.4) or abs(score - 0.4) < 1e-9
+                if (start, key) in found:
+                    assert abs(found[start, key] - score) < 1e-9
+
+
+def brute(texts, tests, threshold=0.5, overlap=0.8, min_words=8):
+    """Every passage of every text with every item, word for word as defined."""
+    split = {}
+    for key, test in enumerate(tests):
+        w = test.split()
+        cut = -(-len(w) * 2 // 3)
+        split[key] = D.tokens(" ".join(w[:cut]).encode()), D.tokens(" ".join(w[cut:]).encode())
+    long = {k: Counter(q + a) for k, (q, a) in split.items() if len(q) + len(a) >= min_words}
+    in_items = Counter(w for c in long.values() for w in c)
+    mean = sum(c.total() for c in long.values()) / max(1, len(long))
+    found = set()
+    for doc, text in enumerate(texts):
+        words = D.tokens((text or "").encode())
+        for key, (question, answer) in split.items():
+            whole = question + answer
+            if key not in long:
+                if whole and any(words[i : i + len(whole)] == whole for i in range(len(words))):
+                    found.add((doc, key, 1.0, 1.0, 1.0))
+                continue
+            impact = D.impacts(long[key], len(long), mean, in_items)
+            chunk = 1 << (len(whole) - 1).bit_length()
+            best = None
+            for start in range(0, max(1, -(-len(words) // chunk) - 1) * chunk, chunk):
+                passage = words[start : start + 2 * chunk]
+                score = sum(v for w, v in impact.items() if w in set(passage)) / sum(impact.values())
+                q = len(D.shingles(question) & D.shingles(passage)) / len(D.shingles(question))
+                a = (Counter(answer) & Counter(passage)).total() / max(1, len(answer)) if answer else 1.0
+                if score >= threshold and q >= overlap and a >= overlap:
+                    best = max(best or (), (q + a, score, -start, q, a))
+            if best:
+                found.add((doc, key, round(best[1], 9), best[3], best[4]))
+    return found
+
+
+def test_whole_result_equals_brute_force(spark, documents, prose):
+    """Items of all lengths, some too short to score, and edited ones; any size of the indexes."""
+    tests = [prose(5000 + i, n, 400) for i, n in enumerate([8, 9, 15, 16, 17, 31, 40, 64, 65, 90, 130, 3, 1, 7, 12, 12])]
+    texts = [None, ""]
+    for i in range(30):
+        words = prose(6000 + i, 60 + 23 * (i % 9), 400).split()
+        for j in (i % 16, (5 * i + 3) % 16):
+            item = tests[j].split()
+            if i % 3 == 1 and len(item) > 12:
+                item[len(item) * 5 // 6] = "edited"
+            place = (17 * i + j) % len(words)
+            words[place:place] = item
+        texts.append(" ".join(words))
+    want = brute(texts, tests)
+    assert len({k for _, k, *_ in want}) > 12
+    for index_bytes in (1 << 20, 700, 60):
+        found = D.find_leaks(documents(texts), items(spark, tests), *D.split_item(F.col("text")), index_bytes=index_bytes).collect()
+        assert {(r.doc_id, r.item_id, round(r.score, 9), r.question_overlap, r.answer_overlap) for r in found} == want
+        assert len(found) == len(want)
 
 
 def test_odd_rows(spark, documents, odd_texts):
-    tests = items(spark, [None, "", "too short", "x"])
+    tests = items(spark, [None, "", "too short", "x", " . "])
     assert leaks(documents(odd_texts), tests) == set()
+    assert leaks(documents(["x-ray, too", "was too, SHORT!", "short too", "y"]), tests) == {(0, 3), (1, 2)}
     assert leaks(documents([]), items(spark, ["a b c d e f g h i j"])) == set()
     assert leaks(documents(odd_texts), tests.limit(0)) == set()
     rows = documents(odd_texts)
