@@ -140,7 +140,7 @@ def fit(
         .join(F.broadcast(chosen), "key")
         .withColumn("shard", F.pmod("h", F.lit(shards)))
         .withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(passes))))
-        .repartition(shards, "shard")
+        .repartitionById(shards, F.col("shard").cast("int"))
         .sortWithinPartitions("shard", "pass", "h", "key", "label", F.xxhash64("text"))
         .select("shard", "pass", "label", "text")
     )
