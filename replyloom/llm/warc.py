@@ -192,8 +192,10 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 raise ValueError(f"{row['file']} differs from its manifest")
 
     schema = "key bigint, record_type string, url string, n_bytes bigint, digest string, refers_to bigint, payload binary"
-    files = manifest.select("file", "records", "sha256").repartition(F.col("file"))
-    return map_rows(files, parse, schema)
+    # One task per file; the window sees one row of each.
+    number = (F.row_number().over(Window.orderBy("file")) - 1).alias("number")
+    files = manifest.select("file", "records", "sha256", number)
+    return map_rows(files.repartitionById(max(manifest.count(), 1), "number"), parse, schema)
 
 
 def members(source, digest) -> Iterator[bytes]:
