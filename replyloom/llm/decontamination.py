@@ -113,13 +113,15 @@ class Index:
 
         A passage is two chunks of a text.
         """
-        known = self.words.get
-        numbers = np.fromiter(map(known, found, repeat(0)), np.int64, len(found))
+        yield from self.search_numbers(numbered(self.words, found), threshold)
+
+    def search_numbers(self, numbers: np.ndarray, threshold: float) -> Iterator[tuple[int, int, int, float]]:
+        """:meth:`search` for words by their numbers in :attr:`words`, 0 for others."""
         at = np.flatnonzero(numbers)
         if not len(at):
             return
         # A word counts once in a chunk.
-        size, chunks = len(self.begin) - 1, -(-len(found) // self.chunk)
+        size, chunks = len(self.begin) - 1, -(-len(numbers) // self.chunk)
         pairs = np.unique(at // self.chunk * size + numbers[at])
         chunk, word = pairs // size, pairs % size
         edge = np.searchsorted(pairs, np.arange(chunks + 1) * size)
@@ -137,13 +139,13 @@ class Index:
                 scores = np.bincount(self.items[posting], self.impacts[posting])
                 start = (low + passage) * self.chunk
                 for item in np.flatnonzero(scores >= threshold).tolist():
-                    yield start, min(start + 2 * self.chunk, len(found)), item, float(scores[item])
+                    yield start, min(start + 2 * self.chunk, len(numbers)), item, float(scores[item])
 
-    def leaks(self, found: list[bytes], threshold: float, overlap: float) -> list[tuple]:
+    def leaks(self, found: list[bytes], numbers: np.ndarray, threshold: float, overlap: float) -> list[tuple]:
         """``(key, score, question overlap, answer overlap, first word, last word)``, the best
         passage of each item that is verified."""
         best: dict[int, tuple] = {}
-        for start, end, item, score in self.search(found, threshold):
+        for start, end, item, score in self.search_numbers(numbers, threshold):
             passage = found[start:end]
             question, answer = self.questions[item], self.answers[item]
             q = len(question & shingles(passage)) / len(question) if question else 1.0
@@ -174,7 +176,7 @@ class ShortItems:
             whole = tokens(question) + tokens(answer)
             self.by_first.setdefault(whole[0], []).append((key, whole))
 
-    def leaks(self, found: list[bytes], threshold: float, overlap: float) -> list[tuple]:
+    def leaks(self, found: list[bytes]) -> list[tuple]:
         """As :meth:`Index.leaks`: the first place of each item."""
         best: dict[int, tuple] = {}
         if self.by_first.keys().isdisjoint(found):
@@ -186,6 +188,35 @@ class ShortItems:
         return [best[key] for key in sorted(best)]
 
 
+class Bundle:
+    """Indexes that texts are searched in together: their words are looked up once."""
+
+    def __init__(self, indexes: list[Index], short: ShortItems | None):
+        self.indexes, self.short = indexes, short
+        self.words: dict[bytes, int] = {}
+        for index in indexes:
+            for word in index.words:
+                self.words.setdefault(word, len(self.words) + 1)
+        self.own: list[np.ndarray] = []
+        for index in indexes:
+            own = np.zeros(len(self.words) + 1, np.int64)
+            own[[self.words[word] for word in index.words]] = list(index.words.values())
+            self.own.append(own)
+
+    def leaks(self, text: bytes | None, threshold: float, overlap: float) -> list[tuple]:
+        found = tokens(text)
+        rows = self.short.leaks(found) if self.short else []
+        numbers = numbered(self.words, found)
+        if numbers.any():
+            for index, own in zip(self.indexes, self.own, strict=True):
+                rows += index.leaks(found, own[numbers], threshold, overlap)
+        return rows
+
+
+def numbered(words: Mapping[bytes, int], found: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(words.get, found, repeat(0)), np.int64, len(found))
+
+
 def impacts(words: Counter, count: int, mean: float, in_items: Mapping[bytes, int]) -> dict[bytes, float]:
     """BM25 impact of the words of an item."""
     length = words.total()
@@ -205,7 +236,7 @@ def spread(begin: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def bundles(
     items: DataFrame, key: str, question: Column, answer: Column, min_words: int, index_bytes: int
-) -> Iterator[list[Index | ShortItems]]:
+) -> Iterator[Bundle]:
     """Indexes over all items, in bundles over about ``index_bytes`` of them."""
     rows = items.select(
         F.col(key).cast("long").alias("key"),
@@ -244,20 +275,21 @@ def bundles(
 
 def _bundle(
     measured: DataFrame, in_items: DataFrame, todo: list[tuple[int, int, int]], count: int, mean: float
-) -> list[Index | ShortItems]:
-    found: list[Index | ShortItems] = []
+) -> Bundle:
+    found: list[Index] = []
+    short: list[tuple[int, bytes, bytes]] = []
     for kind, parts, part in todo:
         chosen = measured.where((F.col("kind") == kind) & (F.pmod(F.xxhash64("key"), F.lit(parts)) == part))
         rows = [(r["key"], bytes(r["question"]), bytes(r["answer"])) for r in chosen.orderBy("key").collect()]
         if not rows:
             continue
         if kind == 0:
-            found.append(ShortItems(rows))
+            short += rows
             continue
         words = chosen.select(F.explode("words").alias("word")).distinct().join(in_items, "word")
         numbers = {bytes(r["word"]): r["count"] for r in words.collect()}
         found.append(Index(rows, count, mean, numbers, 1 << kind))
-    return found
+    return Bundle(found, ShortItems(short) if short else None)
 
 
 def find_leaks(
@@ -287,10 +319,8 @@ def find_leaks(
 
         def run(rows: Iterator[dict], shared=shared) -> Iterator[tuple]:
             for row in rows:
-                found = tokens(row["text"])
-                for index in shared.value:
-                    for leak in index.leaks(found, threshold, overlap):
-                        yield row["key"], *leak
+                for leak in shared.value.leaks(row["text"], threshold, overlap):
+                    yield row["key"], *leak
 
         result = result.union(map_rows(chosen, run, schema))
     return result
@@ -319,7 +349,6 @@ def drop_leaking(
 def _leaking(shared: Broadcast, threshold: float, overlap: float) -> Callable[..., Column]:
     @F.pandas_udf("boolean")
     def leaking(texts: pd.Series) -> pd.Series:
-        found = map(tokens, texts)
-        return pd.Series([any(index.leaks(f, threshold, overlap) for index in shared.value) for f in found], dtype=bool)
+        return pd.Series([bool(shared.value.leaks(text, threshold, overlap)) for text in texts], dtype=bool)
 
     return leaking
