@@ -140,6 +140,11 @@ SCORE_RANGES = {
 DIMENSIONS = ("correctness", "logic", "clarity", "completeness")
 NO_SCORE_STRICT = "Unable to extract score JSON"
 NO_SCORE_ROBUST = "Failed to extract score JSON"
+MISSING_FIELD = "Missing field: {name}"
+NOT_A_NUMBER = "{name} is not a number"
+OUT_OF_RANGE = "{name} out of range"
+SEEN_VALUE = ": "
+RANGE_AND_VALUE = " [{low}, {high}]: "
 BAD_LINE = "JSON parse error"
 
 # --- Fixed values: report bins, percentiles, verdict thresholds ---

@@ -180,15 +180,16 @@ def first_error(
     """
     absent = F.lit(fixed.NO_SCORE_STRICT if strict else fixed.NO_SCORE_ROBUST)
     missing = [
-        F.when(value.isNull(), F.lit(f"Missing field: {name}")) for name, value in values.items()
+        F.when(value.isNull(), F.lit(fixed.MISSING_FIELD.format(name=name))) for name, value in values.items()
     ]
     checks = []
     for name, (low, high) in fixed.SCORE_RANGES.items():
-        not_number, outside = F.lit(f"{name} is not a number"), F.lit(f"{name} out of range")
+        not_number = F.lit(fixed.NOT_A_NUMBER.format(name=name))
+        outside = F.lit(fixed.OUT_OF_RANGE.format(name=name))
         if strict:
             shown = _shown(values[name])
-            not_number = F.concat(not_number, F.lit(": "), shown)
-            outside = F.concat(outside, F.lit(f" [{low}, {high}]: "), shown)
+            not_number = F.concat(not_number, F.lit(fixed.SEEN_VALUE), shown)
+            outside = F.concat(outside, F.lit(fixed.RANGE_AND_VALUE.format(low=low, high=high)), shown)
         number = numbers[name]
         checks.append(
             F.when(number.isNull(), not_number).when(~number.between(low, high), outside)
