@@ -43,6 +43,8 @@ INSIDE_PERCENT = 50
 SCALE = 1_000_000
 #: Words counted together, and bytes of a text that are split together.
 WORDS, BLOCK = 1 << 19, 1 << 20
+#: Rows handed from Python to Spark together.
+ROWS_OUT = 1 << 14
 #: Size of the largest bitmap as a power of two: 32 MB.
 MOST_BITS = 28
 SEGMENT = 15
@@ -229,10 +231,15 @@ class Block:
 
 
 def _map_blocks(rows: DataFrame, function: Callable[[Block], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``function`` over blocks. What it yields goes out in batches of ROWS_OUT rows, so neither side
+    holds all rows of a block a second time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                yield from function(Block(batch.slice(i, 1).to_pylist()[0]))
+                for out in function(Block(batch.slice(i, 1).to_pylist()[0])):
+                    for first in range(0, out.num_rows, ROWS_OUT):
+                        yield out.slice(first, ROWS_OUT)
 
     return rows.mapInArrow(run, schema)
 
