@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from replyloom.llm import substrings, suffixes
 
@@ -73,3 +74,33 @@ def test_suffix_arrays_by_sorting():
         at = np.arange(max(0, len(s) - 4))
         counts = Counter(tuple(s[i : i + 4]) for i in range(len(s) - 3))
         assert suffixes.common_prefixes(s, order, at, 4).tolist() == [counts[tuple(s[i : i + 4])] > 1 for i in at]
+
+
+def test_contexts_of_hot_anchors_are_not_taken_apart_into_windows(spark, documents, prose):
+    """Blocks of windows decide for most of them; the spans are those of all windows."""
+    r, passage = random.Random(4), prose(7, 300).encode()[:300]
+    place = substrings.anchor_place(np.frombuffer(passage[:200], np.uint8), 40)
+    contexts = []
+    for i in range(300):
+        data = bytearray(passage[: 200 + r.randrange(1, 100)])
+        if i % 3:  # an edit to the right or left of the anchor
+            at = r.choice([*range(place), *range(place + 40, len(data))])
+            data[at] = 65 + i % 20
+        if substrings.anchor_place(np.frombuffer(bytes(data[-200:]), np.uint8), 40) == place - (len(data) - 200):
+            contexts.append(bytes(data))
+    contexts = [c for c in dict.fromkeys(contexts) if substrings.anchor_place(np.frombuffer(c[:200], np.uint8), 40) == place]
+    assert len(contexts) > 50
+    counts = Counter(c[i : i + 200] for c in contexts for i in range(len(c) - 199))
+    rows = [(k, 0, 1000, True, c) for k, c in enumerate(contexts)]
+    cuts = spark.createDataFrame(rows, "k long, k2 long, first long, single boolean, bytes binary")
+    covered = {}
+    for s in substrings.hot_spans(cuts, 200, 40).collect():
+        covered.setdefault(s.k, set()).update(range(s.start - 1000, s.end - 1000))
+    for k, c in enumerate(contexts):
+        agree = [i for i in range(len(c) - 199) if counts[c[i : i + 200]] > 1]
+        assert covered.get(k, set()) == {j for i in agree for j in range(i, i + 200)}
+    blocks = substrings.hot_blocks(cuts, 200, 40)
+    names = ["common1", "common2", "whole1", "whole2"]
+    one = F.min(F.struct("k", "k2", "first", "start", "windows", "single")).alias("one")
+    different = blocks.groupBy(*names).agg(F.count("*").alias("n"), one)
+    assert blocks.count() + substrings.open_windows(cuts, different, 200).count() < sum(len(c) - 199 for c in contexts) / 2
