@@ -29,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -116,7 +117,8 @@ def bitmap(rows: DataFrame, key: Column, most: int = MOST_BITS) -> Bitmap:
 
 #: Consecutive words of many texts of one shard: their languages, how many words in a row have
 #: which, the different words, and which of them follow each other. The first of the different
-#: words is BREAK; the first ``counted`` words were in the block before, too.
+#: words is BREAK; the first ``counted`` words were in the block before, too. Words and ids are compressed
+#: here and not by Parquet, whose codecs hold pages, here whole files, in memory beside the heap.
 BLOCK_ROW = "shard int, langs array<string>, runs binary, words binary, ids binary, counted int"
 
 
@@ -128,6 +130,7 @@ def cut_blocks(batches: Iterator[pa.RecordBatch], overlap: int, size: int) -> It
     ids: list[np.ndarray] = []
     runs: list[tuple[int, int]] = []
     held = counted = shard = 0
+    compress = zstandard.ZstdCompressor(level=1).compress
 
     def start(last: list[bytes], lang: str) -> None:
         nonlocal held, counted
@@ -144,8 +147,8 @@ def cut_blocks(batches: Iterator[pa.RecordBatch], overlap: int, size: int) -> It
             "shard": shard,
             "langs": list(langs),
             "runs": np.array(runs, "<i4").tobytes(),
-            "words": b" ".join(numbers),
-            "ids": np.concatenate(ids).tobytes(),
+            "words": compress(b" ".join(numbers)),
+            "ids": compress(np.concatenate(ids).tobytes()),
             "counted": counted,
         }
 
@@ -182,8 +185,8 @@ class Block:
         from xxhash import xxh64_intdigest
 
         self.shard, self.langs, self.counted = row["shard"], row["langs"], row["counted"]
-        self.ids = np.frombuffer(row["ids"], "<u4")
-        self.words = row["words"].split(b" ")
+        self.ids = np.frombuffer(zstandard.decompress(row["ids"]), "<u4")
+        self.words = zstandard.decompress(row["words"]).split(b" ")
         lang, length = np.frombuffer(row["runs"], "<i4").reshape(-1, 2).T
         self.lang = np.repeat(lang.astype(np.int32), length)
         hashes = np.fromiter(map(xxh64_intdigest, self.words), np.uint64, len(self.words))
@@ -320,7 +323,7 @@ def frequent(
             yield pa.RecordBatch.from_pylist([row], arrow)
 
     arrow = to_arrow_schema(spark.createDataFrame([], BLOCK_ROW).schema)
-    rows = materialize(dealt.mapInArrow(cut, BLOCK_ROW), "phrase-blocks")
+    rows = materialize(dealt.mapInArrow(cut, BLOCK_ROW), "phrase-blocks", compression="uncompressed")
     schema = "lang string, shard int, word string, key long, n long"
     counted = _map_blocks(rows, _count_words, schema)
     words = materialize(counted.groupBy("lang", "shard", "word").agg(F.min("key").alias("key"), F.sum("n").alias("n")), "words")

@@ -2,9 +2,11 @@ import random
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 from replyloom.llm import phrases
+from replyloom.session import materialize
 
 
 def pieces(text):
@@ -117,3 +119,21 @@ def test_nothing_to_find(spark):
 def test_long_text_and_repeated_rows(spark):
     text = "aa bb " * 200_000
     assert rows_of(spark, [("en", text)] * 3) == sorted(brute([("en", text)] * 3))
+
+
+def test_blocks_are_not_compressed_by_the_file_format(spark, monkeypatch):
+    """Its codecs hold whole files of blocks beside the heap; blocks are compressed one by one."""
+    written = {}
+
+    def write(df, label, **options):
+        written[label] = materialize(df, label, **options)
+        return written[label]
+
+    monkeypatch.setattr(phrases, "materialize", write)
+    rows_of(spark, list(some_texts(6)), support=3)
+    blocks = written["phrase-blocks"]
+    meta = pq.ParquetFile(blocks.inputFiles()[0].removeprefix("file://")).metadata.row_group(0)
+    assert {meta.column(i).compression for i in range(meta.num_columns)} == {"UNCOMPRESSED"}
+    row = max(blocks.collect(), key=lambda r: len(r.ids))
+    block = phrases.Block(row.asDict())
+    assert len(row.ids) < block.ids.nbytes and block.ids.max() < len(block.words)
