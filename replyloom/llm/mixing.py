@@ -13,7 +13,9 @@ from the longest size that still fits to the shortest. Within a size the copies
 by the hash of their key, with the rank taken in salted cells, so that a size that a third of
 all documents share is no single task's work.
 
-Only DataFrame functions are used, and only one number per iteration comes to the driver.
+Only DataFrame functions are used, and only one number per iteration comes to the driver. What
+is written between steps is small and goes to few files: an executor that writes to a local
+folder runs a command for each of them, which for a moment counts with all memory of the executor.
 
 Defined results: a null or blank text has size 0 and takes nothing; the null source comes last
 in the cycle of weights; repeated rows are documents of their own; an empty table gives no
@@ -31,6 +33,8 @@ from replyloom.session import materialize
 CELLS = 256
 MAX_ROUNDS = 60
 TOLERANCE = 1e-9
+#: Files of a frame with one row per source.
+STATE_FILES = 4
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, cap: float) -> DataFrame:
@@ -79,7 +83,7 @@ def tilts(sizes: DataFrame, goals: DataFrame, cap: float) -> DataFrame:
         (unit >= cap * (1 - 1e-12)).alias("full"),
     )
     state = materialize(
-        state.withColumn("tilt", F.when(F.col("full"), F.col("high")).otherwise(F.col("tilt"))), "tilts"
+        state.withColumn("tilt", F.when(F.col("full"), F.col("high")).otherwise(F.col("tilt"))).coalesce(STATE_FILES), "tilts"
     )
     for _ in range(MAX_ROUNDS):
         rate = F.exp(F.col("tilt") * F.col("size"))
@@ -102,9 +106,8 @@ def tilts(sizes: DataFrame, goals: DataFrame, cap: float) -> DataFrame:
         step = F.when(F.col("full") | (F.col("error") < TOLERANCE), F.col("tilt")).otherwise(
             F.when(inside, F.col("newton")).otherwise((F.col("low") + F.col("high")) / 2)
         )
-        state = materialize(
-            near.select("source", "target", "low", "high", step.alias("tilt"), "full", "error"), "tilts"
-        )
+        state = near.select("source", "target", "low", "high", step.alias("tilt"), "full", "error")
+        state = materialize(state.coalesce(STATE_FILES), "tilts")
         worst = state.agg(F.max("error")).first()[0]
         if worst is None or worst < TOLERANCE:
             break
@@ -180,8 +183,10 @@ def mix(
         ),
         "sizes",
     )
-    cells = materialize(sized.groupBy("source", "size", "cell").agg(F.count("*").alias("in_cell")), "cells")
-    sizes = materialize(cells.groupBy("source", "size").agg(F.sum("in_cell").alias("n")), "counts")
+    cells = sized.groupBy("source", "size", "cell").agg(F.count("*").alias("in_cell"))
+    # A source has as many rows as its texts have different sizes; in order, so that sums agree.
+    sizes = sized.groupBy("source", "size").agg(F.count("*").alias("n")).repartition("source").sortWithinPartitions("source", "size")
+    sizes = materialize(sizes, "counts")
     goals = materialize(targets(sizes, weights, share, cap), "targets")
     copies = quotas(sizes, goals, tilts(sizes, goals, cap), cap)
 
@@ -196,11 +201,10 @@ def mix(
         F.expr("copies div n").alias("whole"),
         (F.col("copies") % F.col("n")).alias("more"),
     )
-    per_cell = materialize(
+    per_cell = (
         offsets.join(dealt, F.expr("s1 <=> s2 and z1 = z2"), "left")
         .join(goals.select(F.col("source").alias("s4"), "source_size", "target"), F.expr("s1 <=> s4"))
-        .select("s1", "z1", "c1", "offset", "whole", "more", "source_size", "target"),
-        "quotas",
+        .select("s1", "z1", "c1", "offset", "whole", "more", "source_size", "target")
     )
     rank = F.row_number().over(Window.partitionBy("source", "size", "cell").orderBy("h", "key")) - 1
     joined = sized.join(per_cell, F.expr("source <=> s1 and size = z1 and cell = c1"))

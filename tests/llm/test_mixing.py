@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from replyloom import session
 from replyloom.llm import mixing
 
 
@@ -61,3 +62,23 @@ def test_one_size_for_all_and_nothing(spark, documents):
     assert abs(sum(r.taken for r in found) - 1.5 * 1500) <= 3
     assert mixing.mix(documents([])).count() == 0
     assert [r.taken for r in mixing.mix(documents([None, ""])).collect()] == [0, 0]
+
+
+def test_few_files_between_steps(spark, documents, monkeypatch, tmp_path):
+    """Every file costs a local executor a command, whatever the number of shuffle partitions."""
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert mixing.mix(documents(texts(1)).coalesce(2)).count() == 400
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {}
+    for path in (tmp_path / "replyloom").glob("*/part-*"):
+        label = path.parent.name.rpartition("-")[0]
+        files.setdefault(label, {}).setdefault(path.parent, []).append(path)
+    # Six sources at most, and the first partition has a file even if it is empty.
+    assert files and max(len(f) for folders in files.values() for f in folders.values()) <= 7
